@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,9 +35,12 @@ NULL_TOKENS = (
 FALSE_TOKENS = ("false", "0")
 
 
-def blank_to_null(text: Column) -> Column:
-    """NULL for any text that stands for a missing value."""
-    return F.when(~text.isin(*NULL_TOKENS), text)
+_NULL_LIST = ", ".join(f"'{token}'" for token in NULL_TOKENS)
+
+
+def blank_to_null(column: str) -> Column:
+    """NULL for any text of a column that stands for a missing value."""
+    return F.expr(f"case when `{column}` not in ({_NULL_LIST}) then `{column}` end")
 
 
 def as_timestamp(text: Column) -> Column:
@@ -52,7 +58,8 @@ def as_number(text: Column) -> Column:
 
     A trailing ``d`` or ``f`` is Java's type suffix and not part of a number.
     """
-    suffixed = F.lower(F.right(F.trim(text), F.lit(1))).isin("d", "f")
+    digits = F.rtrim(text)
+    suffixed = reduce(or_, [digits.endswith(letter) for letter in "dDfF"])
     return F.when(~suffixed, text.try_cast("double"))
 
 

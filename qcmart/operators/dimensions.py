@@ -72,7 +72,7 @@ def dim_date(
     holidays: Sequence[str] = HOLIDAYS,
 ) -> DataFrame:
     """One row per calendar day; its size is fixed by ``start`` and ``end``."""
-    days = spark.range(1).select(
+    days = spark.range(0, 1, 1, 1).select(
         F.explode(F.sequence(F.lit(start), F.lit(end))).alias("date_day")
     )
     day = F.col("date_day")

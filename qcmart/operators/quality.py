@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,15 +30,15 @@ class Rule:
             object.__setattr__(self, "name", f"{self.kind}_{self.table}_{self.column}")
 
 
-def _violates(rule: Rule) -> Column:
-    """Condition of a failing row for the rules that look at single rows."""
-    column = F.col(rule.column)
+def violation(rule: Rule) -> str:
+    """SQL condition of a failing row, for the rules that look at single rows."""
     if rule.kind == "not_null":
-        return column.isNull()
+        return f"{rule.column} is null"
     if rule.kind == "accepted_values":
-        return ~column.isin(*rule.values)
+        accepted = ", ".join(f"'{v}'" for v in rule.values)
+        return f"{rule.column} not in ({accepted})"
     if rule.kind == "expression":
-        return ~F.expr(f"{rule.column} {rule.expression}")
+        return f"not ({rule.column} {rule.expression})"
     raise ValueError(f"unknown rule kind: {rule.kind}")
 
 
@@ -48,10 +48,10 @@ def failing_rows(df: DataFrame, rule: Rule) -> DataFrame:
     Except for ``not_null``, a NULL passes.
     """
     if rule.kind == "unique":
-        present = df.where(F.col(rule.column).isNotNull())
-        counts = present.groupBy(rule.column).agg(F.count(F.lit(1)).alias("n_records"))
+        present = df.where(f"{rule.column} is not null")
+        counts = present.groupBy(rule.column).agg(F.expr("count(*) as n_records"))
         return counts.where("n_records > 1")
-    return df.where(_violates(rule))
+    return df.where(violation(rule))
 
 
 def failure_counts(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
@@ -60,31 +60,22 @@ def failure_counts(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> Da
     All single-row rules of a table share one scan; each ``unique`` rule needs a
     grouping of its own.
     """
-    by_table: dict[str, list[Rule]] = defaultdict(list)
+    together: dict[str, list[str]] = defaultdict(list)
     parts: list[DataFrame] = []
-
-    def labelled(rule: Rule, failing: Column) -> Column:
-        return F.struct(
-            F.lit(rule.table).alias("table_name"),
-            F.lit(rule.column).alias("column_name"),
-            F.lit(rule.kind).alias("test"),
-            failing.cast("bigint").alias("failing"),
-        )
-
     for rule in rules:
+        label = (
+            f"'{rule.table}' as table_name, '{rule.column}' as column_name, "
+            f"'{rule.kind}' as test"
+        )
         if rule.kind == "unique":
             repeated = failing_rows(tables[rule.table], rule)
-            counted = repeated.agg(F.count(F.lit(1)).alias("n"))
-            parts.append(counted.select(labelled(rule, F.col("n")).alias("r")))
+            parts.append(repeated.selectExpr(f"inline(array(struct({label}, count(*) as failing)))"))
         else:
-            by_table[rule.table].append(rule)
-    for name, together in by_table.items():
-        counted = tables[name].agg(
-            *[F.count_if(_violates(r)).alias(f"n{i}") for i, r in enumerate(together)]
-        )
-        rows = [labelled(r, F.col(f"n{i}")) for i, r in enumerate(together)]
-        parts.append(counted.select(F.explode(F.array(*rows)).alias("r")))
-    return reduce(DataFrame.unionAll, parts).select("r.*")
+            failing = f"count_if({violation(rule)}) as failing"
+            together[rule.table].append(f"struct({label}, {failing})")
+    for name, rows in together.items():
+        parts.append(tables[name].selectExpr(f"inline(array({', '.join(rows)}))"))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def daily_order_counts(raw_orders: DataFrame, min_rows: int = 100) -> DataFrame:

@@ -25,15 +25,33 @@ LINE_ORDER = (
 SAMPLE_TIER_1 = tuple(f"NATION_{n}" for n in range(6))
 
 
+# Given layouts spare the look into file footers that inference needs.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text_id(prefix: str, key: str, width: int = 8) -> Column:
     """Zero-padded id; a key longer than ``width`` keeps all its digits."""
-    digits = F.col(key).cast("string")
-    padded = F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
-    return F.concat(F.lit(prefix), padded)
+    limit = 10**width
+    padded = F.substr((F.col(key) + limit).cast("string"), F.lit(2))
+    digits = F.when(F.col(key) < limit, padded).otherwise(F.col(key).cast("string"))
+    return F.concat(F.lit(prefix), digits)
 
 
 def _nations(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
