@@ -1,0 +1,302 @@
+"""Edge cases of the operators on hand-made frames."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from qcmart.operators import cleaning, dimensions, facts, marts, profiling, quality, staging
+from qcmart.operators.quality import Rule
+from qcmart.plans.rules import ALL_RULES, MODEL_RULES, SOURCE_RULES
+from qcmart.sources import schemas
+from tests.rawfiles import ITEM_HEADER, ORDER_HEADER, item, order
+
+DAY = dt.date(2024, 3, 15)
+
+
+def text_frame(spark, header, rows):
+    schema = ", ".join(f"{c} string" for c in header) + ", n int"
+    return spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], schema)
+
+
+def kinds(schema):
+    return [(f.name, f.dataType) for f in schema.fields]
+
+
+@pytest.fixture(scope="module")
+def cleaned_orders(spark):
+    rows = [
+        order(1, DAY, order_id="A", created_at="yesterday"),
+        order(2, DAY, order_id="B", total_amount="", is_late=""),
+        order(3, DAY, order_id="C", total_amount="abc", is_late="False"),
+        order(4, DAY, order_id=""),
+        order(5, DAY, order_id="D", status=" Delivered ", delivery_minutes="15"),
+        order(6, DAY, order_id="D", status="returned"),
+        order(7, DAY, order_id="E", total_amount="0"),
+        order(8, DAY, order_id="F", total_amount="-5"),
+        order(9, DAY, order_id="G", customer_id="NaN"),
+        order(10, DAY, order_id="H", delivery_minutes="soon"),
+    ]
+    return cleaning.clean_orders(text_frame(spark, ORDER_HEADER, rows), ["n"]).cache()
+
+
+def test_cleaning_orders(cleaned_orders):
+    got = {r.order_id: r for r in cleaned_orders.collect()}
+    assert sorted(got) == ["B", "C", "D", "E", "F", "H"]
+    assert got["B"].total_amount is None and got["B"].is_late is True
+    assert got["C"].total_amount is None and got["C"].is_late is False
+    assert got["D"].status == " Delivered "
+    assert got["H"].delivery_minutes is None
+    assert kinds(cleaned_orders.schema) == kinds(schemas.RAW_ORDERS)
+
+
+def test_staging_orders(cleaned_orders):
+    got = {r.order_id: r for r in staging.stg_orders(cleaned_orders).collect()}
+    assert sorted(got) == ["D", "H"]
+    assert got["D"].status == "delivered"
+    assert (got["D"].order_hour, got["D"].order_dow, got["D"].is_weekend) == (5, 5, False)
+
+
+def test_cleaning_items(spark):
+    rows = [
+        item(1, DAY, order_item_id="A", qty="0"),
+        item(2, DAY, order_item_id="B", qty=""),
+        item(3, DAY, order_item_id="C", qty="1.5"),
+        item(4, DAY, order_item_id="D", qty="2", line_total="10"),
+        item(5, DAY, order_item_id="D", qty="3"),
+        item(6, DAY, order_item_id="E", product_id=""),
+        item(7, DAY, order_item_id="F", qty="3.0"),
+    ]
+    text = text_frame(spark, ITEM_HEADER, rows)
+    clean = cleaning.clean_order_items(text, ["n"])
+    got = {r.order_item_id: r.qty for r in clean.collect()}
+    assert got == {"A": 0, "B": None, "D": 2, "F": 3}
+    assert kinds(clean.schema) == kinds(schemas.RAW_ORDER_ITEMS)
+    assert [r.order_item_id for r in cleaning.rejected_order_items(text).collect()] == ["C"]
+    staged = staging.stg_order_items(clean).collect()
+    assert sorted(r.order_item_id for r in staged) == ["D", "F"]
+
+
+def test_first_copy_is_kept_per_day(spark):
+    df = spark.sql("select * from values (1,'x',2),(1,'x',1),(2,'x',3),(1,null,5),(1,null,4) t(d,k,n)")
+    kept = cleaning.keep_first(df, ["d", "k"], ["n"]).collect()
+    assert {(r.d, r.k, r.n) for r in kept} == {(1, "x", 1), (2, "x", 3), (1, None, 4)}
+
+
+def test_price_bands(spark):
+    prices = [49.99, 50.0, 149.99, 150.0, 499.99, 500.0, None]
+    raw = spark.createDataFrame(
+        [(f"P{i}", " a ", " b", "c ", p) for i, p in enumerate(prices)], schemas.RAW_PRODUCTS
+    )
+    got = staging.stg_products(raw).orderBy("product_id").collect()
+    assert [r.price_band for r in got] == [
+        "Budget",
+        "Mid-range",
+        "Mid-range",
+        "Premium",
+        "Premium",
+        "Luxury",
+        "Luxury",
+    ]
+    assert (got[0].product_name, got[0].category, got[0].subcategory) == ("a", "b", "c")
+
+
+def test_customer_segments(spark):
+    ages = [29, 30, 179, 180, 364, 365, None, -1]
+    today = dt.date(2024, 12, 31)
+    raw = spark.createDataFrame(
+        [
+            (f"C{i}", "n", None, "c", 1, "s", None if a is None else today - dt.timedelta(days=a))
+            for i, a in enumerate(ages)
+        ],
+        schemas.RAW_CUSTOMERS,
+    )
+    staged = staging.stg_customers(raw, F.lit(today))
+    got = dimensions.dim_customers(staged).orderBy("customer_id").collect()
+    assert [r.customer_age_days for r in got] == ages
+    assert [r.customer_segment for r in got] == [
+        "New",
+        "Growing",
+        "Growing",
+        "Established",
+        "Established",
+        "Loyal",
+        "Loyal",
+        "New",
+    ]
+
+
+def test_age_counts_to_today_by_default(spark):
+    raw = spark.sql("select 'C' customer_id, 'n' name, 'c' city, 1 tier, 's' state, date_sub(current_date(), 3) signup_date")
+    assert staging.stg_customers(raw).first().customer_age_days == 3
+
+
+def test_store_tiers(spark):
+    raw = spark.createDataFrame(
+        [("S1", "Pune", "z", 1.0, 2.0), ("S2", "Agra", "z", 1.0, 2.0), ("S3", None, "z", 1.0, 2.0), (None, "Pune", "z", 1.0, 2.0)],
+        schemas.RAW_STORES,
+    )
+    got = dimensions.dim_stores(staging.stg_stores(raw)).orderBy("store_id").collect()
+    assert [(r.store_id, r.city_tier) for r in got] == [("S1", 1), ("S2", 2), ("S3", None)]
+
+
+def test_calendar(spark):
+    days = {r.date_day: r for r in dimensions.dim_date(spark).collect()}
+    assert len(days) == 1461
+    first = days[dt.date(2023, 1, 1)]
+    assert (first.date_key, first.week_of_year, first.day_of_week) == (20230101, 52, 0)
+    assert (first.month_name, first.day_name, first.is_weekend) == ("January", "Sunday", True)
+    leap = days[dt.date(2024, 2, 29)]
+    assert leap.month_end == leap.date_day and leap.month_start == dt.date(2024, 2, 1)
+    assert sum(d.is_holiday for d in days.values()) == 24
+    short = dimensions.dim_date(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 3), ["01-02"])
+    assert [r.is_holiday for r in short.orderBy("date_key").collect()] == [False, True, False]
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    """Two stores, one of them unknown; a store-day without deliveries; a tie of hours."""
+    customers = spark.sql("select 'C1' customer_id, 'k1' customer_key")
+    stores = spark.sql(
+        "select * from values ('S1','s1','Pune','z',1),('S2','s2','Agra','z',2) "
+        "t(store_id, store_key, city, zone, city_tier)"
+    )
+    calendar = dimensions.dim_date(spark)
+    day, other, late = "2024-03-15", "2024-03-16", "2027-01-01"
+    rows = [
+        ("O1", "C1", "S1", "Pune", day, "delivered", 100.0, 15, False, 9),
+        ("O2", "C1", "S1", "Pune", day, "delivered", 50.0, 16, True, 8),
+        ("O3", "C9", "S1", "Pune", day, "cancelled", 25.0, None, True, 9),
+        ("O4", "C1", "S1", "Pune", day, "returned", 25.0, None, False, 8),
+        ("O5", "C1", "S2", "Agra", other, "cancelled", 10.0, None, True, 7),
+        ("O6", "C1", "S9", "Goa", day, "delivered", 10.0, None, False, 7),
+        ("O7", "C1", "S1", "Pune", late, "delivered", 10.0, 5, False, 7),
+    ]
+    raw = spark.createDataFrame(
+        rows,
+        "order_id string, customer_id string, store_id string, city string, day string, "
+        "status string, total_amount double, delivery_minutes int, is_late boolean, h int",
+    )
+    raw = raw.selectExpr(
+        "*",
+        "cast(day as timestamp_ntz) + make_dt_interval(0, h, 0, 0) as created_at",
+        "cast(day as date) as date",
+    )
+    orders = facts.fct_orders(staging.stg_orders(raw), customers, stores, calendar).cache()
+    return orders, stores, calendar
+
+
+def test_order_fact(star):
+    got = {r.order_id: r for r in star[0].collect()}
+    assert len(got) == 7
+    assert got["O3"].customer_key is None and got["O1"].customer_key == "k1"
+    assert got["O6"].store_key is None and got["O7"].date_key is None
+    assert [got[o].is_express for o in ("O1", "O2", "O3", "O6")] == [1, 0, 0, 0]
+    flags = ("is_delivered", "is_cancelled", "is_returned")
+    assert [got["O4"][f] for f in flags] == [0, 0, 1]
+
+
+def test_daily_sales(star):
+    orders, _, calendar = star
+    got = {(r.date_day.day, r.city): r for r in marts.mart_daily_sales(orders, calendar).collect()}
+    assert sorted(got) == [(15, "Goa"), (15, "Pune"), (16, "Agra")]
+    pune = got[15, "Pune"]
+    assert (pune.total_orders, pune.delivered_orders, pune.cancelled_orders, pune.returned_orders) == (4, 2, 1, 1)
+    assert pune.unique_customers == 1
+    assert (pune.total_gmv, pune.net_revenue, pune.avg_order_value) == (200, 150, 50.0)
+    assert (pune.avg_delivery_minutes, pune.cancellation_rate_pct) == (15.5, 25.0)
+    assert pune.late_delivery_rate_pct == 100.0
+    agra = got[16, "Agra"]
+    assert (agra.net_revenue, agra.avg_delivery_minutes, agra.late_delivery_rate_pct) == (0, None, None)
+    assert agra.is_weekend is True
+
+
+def test_store_performance(star):
+    got = {r.store_id: r for r in marts.mart_store_performance(*star).collect()}
+    assert sorted(got) == ["S1", "S2"]
+    assert got["S1"].peak_hour == 8
+    assert (got["S1"].city, got["S1"].city_tier, got["S1"].late_pct) == ("Pune", 1, 100.0)
+    assert got["S2"].late_pct is None and got["S2"].cancellation_pct == 100.0
+
+
+def test_product_rankings(spark, star):
+    orders, _, calendar = star
+    products = spark.sql(
+        "select *, 'n' product_name, 'sc' subcategory, cast(10 as decimal(10,2)) mrp, "
+        "'Budget' price_band from values ('p1','P1','A'),('p2','P2','A'),('p3','P3','B'),('p4','P4','A') "
+        "t(product_key, product_id, category)"
+    )
+    items = spark.sql(
+        "select i order_item_id, o order_id, p product_id, q qty, cast(u as decimal(10,2)) unit_price, "
+        "cast(t as decimal(12,2)) line_total, date'2024-03-15' order_date from values "
+        "('1','O1','P1',2,10,20),('2','O2','P1',1,20,20),('3','O1','P2',4,10,40),"
+        "('4','O1','P3',1,90,90),('5','O1','P4',3,10,30),('6','O3','P4',1,500,500),"
+        "('7','O1','P9',1,5,5),('8','O99','P1',1,5,5) v(i,o,p,q,u,t)"
+    )
+    lines = facts.fct_order_items(items, orders, products).cache()
+    got = {r.order_item_id: r for r in lines.collect()}
+    assert got["7"].product_key is None and got["8"].status is None
+    assert got["5"].effective_unit_price == 10.0 and got["1"].date_key == 20240315
+    ranks = {r.product_id: r for r in marts.mart_product_rankings(lines, products, calendar).collect()}
+    assert {p: (r.rank_in_category, r.overall_rank) for p, r in ranks.items()} == {
+        "P3": (1, 1),
+        "P1": (1, 2),
+        "P2": (1, 2),
+        "P4": (2, 3),
+    }
+    p1 = ranks["P1"]
+    assert (p1.orders_containing_product, p1.total_units_sold, p1.total_revenue) == (2, 3, 40)
+    assert (p1.avg_selling_price, p1.avg_qty_per_order, p1.revenue_per_unit) == (15.0, 1.5, 13.33)
+
+
+def test_mart_order(star):
+    orders, _, calendar = star
+    sales = marts.in_mart_order(marts.mart_daily_sales(orders, calendar), "mart_daily_sales")
+    assert [r.city for r in sales.collect()] == ["Agra", "Goa", "Pune"]
+
+
+def test_null_profile_of_no_rows(spark):
+    row = profiling.profile_nulls(spark.createDataFrame([], schemas.RAW_ORDER_ITEMS)).first()
+    assert (row.total_rows, row.null_order_id, row.null_qty) == (0, None, None)
+
+
+def test_there_are_35_rules():
+    assert (len(SOURCE_RULES), len(MODEL_RULES), len(set(ALL_RULES))) == (15, 20, 35)
+    kinds = [r.kind for r in ALL_RULES]
+    assert {k: kinds.count(k) for k in set(kinds)} == {
+        "not_null": 18,
+        "unique": 13,
+        "accepted_values": 2,
+        "expression": 2,
+    }
+
+
+@pytest.mark.parametrize(
+    "rule, failing",
+    [
+        (Rule("t", "k", "not_null"), 1),
+        (Rule("t", "k", "unique"), 1),
+        (Rule("t", "s", "accepted_values", values=("a", "b")), 1),
+        (Rule("t", "v", "expression", expression="> 0"), 2),
+    ],
+)
+def test_each_rule_finds_its_violation(spark, rule, failing):
+    df = spark.sql("select * from values ('x','a',1),('x','b',0),(null,'z',-1),('y',null,null) t(k,s,v)")
+    assert quality.failing_rows(df, rule).count() == failing
+    row = quality.failure_counts({"t": df}, [rule]).first()
+    assert (row.table_name, row.column_name, row.test, row.failing) == ("t", rule.column, rule.kind, failing)
+
+
+def test_unknown_rule_kind_is_an_error(spark):
+    with pytest.raises(ValueError, match="odd"):
+        quality.failing_rows(spark.range(1), Rule("t", "id", "odd"))
+
+
+def test_line_without_order_id_is_an_orphan(spark):
+    items = spark.sql("select * from values ('a', date'2024-01-01'),('a', date'2024-01-01'),(null, date'2024-01-01'),('b', date'2024-01-01') t(order_id, date)")
+    orders = spark.sql("select 'b' order_id union all select null")
+    for likely in (None, orders.where("false"), orders):
+        got = quality.daily_orphans(items, orders, likely).first()
+        assert (got.item_rows, got.orphaned_items) == (4, 3)
