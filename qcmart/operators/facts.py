@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qcmart.functions import ratio, sql_round
-from qcmart.operators.joins import lookup
+from qcmart.operators.joins import key_counts, lookup
 
 # Delivered within this many minutes counts as express.
 EXPRESS_MINUTES = 15
@@ -31,7 +31,13 @@ def fct_orders(
     keyed = lookup(
         orders, customers.select("customer_id", "customer_key"), ["customer_id"], **bounds
     )
-    keyed = lookup(keyed, stores.select("store_id", "store_key"), ["store_id"], **bounds)
+    keyed = lookup(
+        keyed,
+        stores.select("store_id", "store_key"),
+        ["store_id"],
+        counts=lambda: key_counts(orders, ["store_id"]),
+        **bounds,
+    )
     keyed = keyed.join(F.broadcast(days), "order_date", "left")
     status = F.col("status")
     express = (status == "delivered") & (F.col("delivery_minutes") <= EXPRESS_MINUTES)
@@ -69,7 +75,11 @@ def fct_order_items(
     )
     keyed = lookup(items, header, ["order_id"], **bounds)
     keyed = lookup(
-        keyed, products.select("product_id", "product_key"), ["product_id"], **bounds
+        keyed,
+        products.select("product_id", "product_key"),
+        ["product_id"],
+        counts=lambda: key_counts(items, ["product_id"]),
+        **bounds,
     )
     price = sql_round(ratio(F.col("line_total"), F.col("qty")), 2)
     return keyed.select(

@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qcmart.operators.sizing import (
-    BROADCAST_BYTES,
-    ONE_TASK_BYTES,
-    broadcast_if_small,
-    input_bytes,
-)
+from qcmart.operators.sizing import BROADCAST_BYTES, ONE_TASK_BYTES, input_bytes
 
 # A key with more than one row in this many is hot, so at most this many keys are.
 HOT_FRACTION = 10_000
@@ -29,26 +25,27 @@ def _both(columns: list[Column]) -> Column:
     return reduce(and_, columns)
 
 
-def hot_keys(facts: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys that hold a large share of all rows, at most ``HOT_FRACTION`` of them.
+def key_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key, as ``__rows``; NULL keys are left out.
 
     Counts are combined before the shuffle, so a hot key costs one row per task.
     """
-    counts = (
-        facts.where(_both([F.col(k).isNotNull() for k in keys]))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-    )
-    total = counts.agg(F.sum("__rows") / HOT_FRACTION).scalar()
-    return counts.where((F.col("__rows") > total) & (F.col("__rows") >= min_rows)).drop(
-        "__rows"
-    )
+    present = rows.where(_both([F.col(k).isNotNull() for k in keys]))
+    return present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+
+
+def hot_keys(counts: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys that hold a large share of all rows, at most ``HOT_FRACTION`` of them."""
+    share = counts.agg(F.sum("__rows") / HOT_FRACTION).scalar()
+    hot = (F.col("__rows") > share) & (F.col("__rows") >= min_rows)
+    return counts.where(hot).drop("__rows")
 
 
 def lookup(
     facts: DataFrame,
     table: DataFrame,
     keys: list[str],
+    counts: Callable[[], DataFrame] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     one_task_bytes: int = ONE_TASK_BYTES,
     hot_rows: int = HOT_ROWS,
@@ -61,6 +58,8 @@ def lookup(
     from the shuffle are spread over it evenly. Every row is kept either way. Inputs
     small enough for one task skip the search for hot keys.
 
+    Looking for hot keys reads ``facts`` once more. Where they are costly, ``counts``
+    names a cheaper source with the same keys; it only steers which way a row takes.
     ``table`` should hold at most a few rows per key, as a dimension does.
     """
     if input_bytes(table) <= broadcast_bytes:
@@ -69,7 +68,7 @@ def lookup(
         return facts.join(table, keys, "left")
 
     columns = [c for c in table.columns if c not in keys]
-    hot = hot_keys(facts, keys, hot_rows)
+    hot = hot_keys(counts() if counts else key_counts(facts, keys), hot_rows)
     found = table.join(F.broadcast(hot), keys, "left_semi")
     hot_table = hot.join(F.broadcast(found), keys, "left").select(
         *keys, F.lit(True).alias("__hot"), *[F.col(c).alias(f"__hot_{c}") for c in columns]
@@ -96,5 +95,3 @@ def lookup(
         ],
     )
 
-
-__all__ = ["broadcast_if_small", "hot_keys", "lookup"]

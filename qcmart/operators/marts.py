@@ -2,6 +2,7 @@
 
 Every mart groups by keys first and joins the dimensions to the few grouped rows,
 so dimension keys must be unique (the quality rules check it before facts are built).
+A grouped row stands for one key and one day or month, so no key is hot any more.
 """
 
 from __future__ import annotations
@@ -10,9 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qcmart.functions import davg, pct, ratio, sql_round
-from qcmart.operators.joins import lookup
 from qcmart.operators.ranking import dense_rank_desc, dense_rank_spread
-from qcmart.operators.sizing import ONE_TASK_BYTES, input_bytes
+from qcmart.operators.sizing import ONE_TASK_BYTES, broadcast_if_small, input_bytes
 
 # Presentation order of each mart: (column, descending?).
 MART_ORDER = {
@@ -99,19 +99,15 @@ def _peak_hour() -> Column:
 
 
 def mart_store_performance(
-    orders: DataFrame, stores: DataFrame, calendar: DataFrame, **bounds: int
+    orders: DataFrame, stores: DataFrame, calendar: DataFrame
 ) -> DataFrame:
     """Sales per day and store, with the store's own city. Orders of unknown stores
     or outside the calendar are left out."""
     known = orders.where("date_key is not null and store_key is not null")
     keys = ["date_key", "store_key"]
     sales = _grouped(known, keys, _order_measures() | {"peak_hour": _peak_hour()})
-    sales = lookup(
-        sales,
-        stores.select("store_key", "store_id", "city", "zone", "city_tier"),
-        ["store_key"],
-        **bounds,
-    ).where(F.col("store_id").isNotNull())
+    places = stores.select("store_key", "store_id", "city", "zone", "city_tier")
+    sales = sales.join(broadcast_if_small(places), "store_key")
     return sales.join(F.broadcast(calendar), "date_key").select(
         "date_day",
         "store_id",
@@ -156,11 +152,7 @@ def mart_product_rankings(
     sales = _grouped(
         sold.join(months, "date_key"), ["year", "month", "product_key"], measures
     )
-    sales = (
-        lookup(sales, products, ["product_key"], **bounds)
-        .where(F.col("product_id").isNotNull())
-        .drop("product_key")
-    )
+    sales = sales.join(broadcast_if_small(products), "product_key").drop("product_key")
     ranks = {
         "rank_in_category": ["year", "month", "category"],
         "overall_rank": ["year", "month"],
@@ -170,8 +162,7 @@ def mart_product_rankings(
             {out: dense_rank_desc(by, "total_revenue") for out, by in ranks.items()}
         )
     else:
-        for out, by in ranks.items():
-            sales = dense_rank_spread(sales, by, "total_revenue", out, **bounds)
+        sales = dense_rank_spread(sales, "total_revenue", ranks, **bounds)
     return sales.select(
         "year",
         "month",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qcmart.functions import davg, sql_round, to_dec
-from qcmart.operators.joins import lookup
+from qcmart.operators.sizing import broadcast_if_small
 
 
 def profile_orders(raw_orders: DataFrame) -> DataFrame:
@@ -44,9 +44,7 @@ def profile_nulls(raw_order_items: DataFrame) -> DataFrame:
     )
 
 
-def profile_category_gmv(
-    raw_order_items: DataFrame, raw_products: DataFrame, **bounds: int
-) -> DataFrame:
+def profile_category_gmv(raw_order_items: DataFrame, raw_products: DataFrame) -> DataFrame:
     """Order lines and rounded revenue per product category, largest first.
 
     Lines are summed per product before products are joined, so neither a hot
@@ -56,10 +54,9 @@ def profile_category_gmv(
         F.count(F.lit(1)).alias("lines"),
         F.sum(to_dec(F.col("line_total"), 12)).alias("revenue"),
     )
-    named = raw_products.select("product_id", "category", F.lit(True).alias("known"))
+    named = raw_products.select("product_id", "category")
     return (
-        lookup(per_product, named, ["product_id"], **bounds)
-        .where("known")
+        per_product.join(broadcast_if_small(named), "product_id")
         .groupBy("category")
         .agg(
             F.sum("lines").alias("line_items"),

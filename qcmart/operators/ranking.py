@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from qcmart.operators.joins import lookup
+from qcmart.operators.joins import key_counts, lookup
+from qcmart.operators.lineage import cut
 
 # Values per step of the ranking: a sorted group never holds more rows than this,
 # and no more than the range of a bigint allows at the top step.
@@ -22,24 +25,12 @@ def dense_rank_desc(groups: list[str], value: str) -> Column:
     return F.dense_rank().over(W.partitionBy(*groups).orderBy(order)).cast("bigint")
 
 
-def dense_rank_spread(
-    df: DataFrame, groups: list[str], value: str, out: str, **bounds: int
-) -> DataFrame:
-    """Add ``out``: dense rank of the money column ``value`` in ``groups``, highest first.
-
-    The rank of a value is one plus the number of distinct greater values. Distinct
-    values in whole cents are split by their leading digits into ranges, counted per
-    range, and the counts are summed from the top range down. Each window then sorts
-    at most ``STEP`` rows, however many rows a group has. NULL values rank last.
-    """
-    cents = F.coalesce((F.col(value) * 100).cast("bigint"), F.lit(LOWEST))
-    keyed = df.withColumns({"__group": F.struct(*groups), "__cents": cents})
-    values = (
-        keyed.select("__group", "__cents")
-        .distinct()
-        .withColumn("__upper", F.expr(f"(__cents - pmod(__cents, {STEP})) div {STEP}"))
-        .withColumn("__top", F.expr(f"(__upper - pmod(__upper, {STEP})) div {STEP}"))
-    )
+def _ranks(values: DataFrame, out: str) -> DataFrame:
+    """Rank of every (``__group``, ``__cents``), highest first, as column ``out``."""
+    upper = f"(__cents - pmod(__cents, {STEP})) div {STEP}"
+    top = f"(__upper - pmod(__upper, {STEP})) div {STEP}"
+    values = values.drop("__rows")
+    values = values.withColumn("__upper", F.expr(upper)).withColumn("__top", F.expr(top))
     ranges = values.groupBy("__group", "__top", "__upper").agg(F.count("*").alias("__n"))
     blocks = ranges.groupBy("__group", "__top").agg(F.sum("__n").alias("__n"))
 
@@ -53,12 +44,35 @@ def dense_rank_spread(
         "__group", "__top", "__upper", above(["__group", "__top"], "__upper").alias("__r")
     )
     place = W.partitionBy("__group", "__top", "__upper").orderBy(F.col("__cents").desc())
-    ranks = (
+    return (
         values.withColumn("__place", F.row_number().over(place))
         .join(ranges, ["__group", "__top", "__upper"])
         .join(blocks, ["__group", "__top"])
         .select("__group", "__cents", F.expr("__b + __r + __place").alias(out))
     )
-    return lookup(keyed, ranks, ["__group", "__cents"], **bounds).drop(
-        "__group", "__cents"
-    )
+
+
+def dense_rank_spread(
+    df: DataFrame, value: str, ranks: Mapping[str, list[str]], **bounds: int
+) -> DataFrame:
+    """Add a dense rank of the money column ``value``, highest first, for each of
+    ``ranks``: name of the rank to its grouping columns.
+
+    The rank of a value is one plus the number of distinct greater values. Distinct
+    values in whole cents are split by their leading digits into ranges, counted per
+    range, and the counts are summed from the top range down. Each window then sorts
+    at most ``STEP`` rows, however many rows a group has. NULL values rank last.
+    """
+    ranked = source = cut(df)
+    cents = F.coalesce((F.col(value) * 100).cast("bigint"), F.lit(LOWEST))
+    for out, groups in ranks.items():
+        keys = {"__group": F.struct(*groups), "__cents": cents}
+        values = key_counts(source.withColumns(keys), list(keys))
+        ranked = lookup(
+            ranked.withColumns(keys),
+            _ranks(values, out),
+            list(keys),
+            counts=lambda values=values: values,
+            **bounds,
+        ).drop(*keys)
+    return ranked

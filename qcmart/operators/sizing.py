@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A side whose input files are smaller than this may be broadcast.
-BROADCAST_BYTES = 16 << 20
+BROADCAST_BYTES = 10 << 20
 
 # Inputs smaller than this fit one task even if every row had the same key.
 ONE_TASK_BYTES = 256 << 20

@@ -3,24 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from qcmart.operators import cleaning, dimensions, quality
+from qcmart.operators import cleaning, dimensions, facts, marts, quality
 from qcmart.operators.marts import MART_ORDER, in_mart_order
 from qcmart.operators.quality import Rule
 from qcmart.plans import models as m
 from qcmart.plans.rules import ALL_RULES, DIMENSION_KEY_RULES
-from qcmart.sources import jdbc, raw_files, tables
+from qcmart.sources import files, jdbc, raw_files, tables
 from qcmart.sources.schemas import DAILY_TABLES, LOAD_DATE, RAW_TABLES, REFERENCE_TABLES
 from qcmart.sources.tables import MARTS, QUALITY, Warehouse
 
-# Day column by which each fact is stored.
-FACT_DAY = "order_date"
-
 # Models copied to the serving database.
 PUBLISHED = (
     "mart_daily_sales",
@@ -63,11 +60,12 @@ class Job:
 
 @dataclass
 class RunReport:
-    """What a run did: counts of the text that came in, rows loaded per raw table,
-    failures per rule, failed daily checks and rows published."""
+    """What a run did: counts of the text that came in, rows loaded per raw table, dates
+    whose rows came or went, failures per rule, failed daily checks, rows published."""
 
     extracted: dict[str, dict[str, int]] = field(default_factory=dict)
     loaded: dict[str, int] = field(default_factory=dict)
+    touched: dict[str, set[str]] = field(default_factory=dict)
     failures: dict[str, int] = field(default_factory=dict)
     failed_checks: int = 0
     published: dict[str, int] = field(default_factory=dict)
@@ -82,7 +80,8 @@ def load_days(job: Job, days: Sequence[dt.date], report: RunReport) -> None:
     """
     for table in DAILY_TABLES:
         present = raw_files.days_present(job.spark, job.raw_path, table, days)
-        report.loaded[f"raw_{table}"] = 0
+        name = f"raw_{table}"
+        report.loaded[name], report.touched[name] = 0, set()
         if not present:
             report.extracted[table] = {"rows": 0}
             continue
@@ -93,7 +92,7 @@ def load_days(job: Job, days: Sequence[dt.date], report: RunReport) -> None:
         metrics = cleaning.load_metrics(table)
         watched = text.observe(seen, *[c.alias(name) for name, c in metrics.items()])
         clean = CLEANERS[table](watched, order=raw_files.POSITION, per=[LOAD_DATE])
-        report.loaded[f"raw_{table}"] = tables.replace_days(
+        report.loaded[name], report.touched[name] = tables.replace_days(
             job.warehouse, table, clean, present
         )
         report.extracted[table] = seen.get
@@ -149,8 +148,132 @@ def build_models(job: Job) -> m.Models:
     for name in m.STAGING:
         tables.publish_view(built[name], name)
     for name in m.BUILD_ORDER:
-        day = FACT_DAY if name in m.FACTS else None
-        built.use(name, tables.materialize(job.warehouse, MARTS, name, built[name], day))
+        _store(job, built, name)
+    return built
+
+
+def _store(job: Job, built: m.Models, name: str) -> None:
+    by = m.PARTITIONS.get(name, ())
+    built.use(name, tables.materialize(job.warehouse, MARTS, name, built[name], by))
+
+
+# Dimensions that decide rows of other days: their key, the columns that matter, and
+# the raw table that refers to them.
+_REFERRED = (
+    ("dim_customers", "customer_id", ["customer_id"], "raw_orders"),
+    ("dim_stores", "store_id", None, "raw_orders"),
+    ("dim_products", "product_id", None, "raw_order_items"),
+)
+
+
+def _other_days_change(job: Job, built: m.Models, raw: Mapping[str, DataFrame], days) -> bool:
+    """True if the new dimensions alter rows of days other than ``days``: if something
+    was removed or altered, or an added key is referred to on another day."""
+    for name, key, columns, referring in _REFERRED:
+        new = built[name].select(*(columns or built[name].columns))
+        old = tables.read_model(job.warehouse, MARTS, name, new.schema)
+        if not old.exceptAll(new).isEmpty():
+            return True
+        added = new.select(key).join(old.select(key), key, "left_anti")
+        elsewhere = raw[referring].where(~_on(F.col("date"), days[referring])).select(key)
+        if not elsewhere.join(added, key, "left_semi").isEmpty():
+            return True
+    calendar = built["dim_date"]
+    old = tables.read_model(job.warehouse, MARTS, "dim_date", calendar.schema)
+    return not (old.exceptAll(calendar).isEmpty() and calendar.exceptAll(old).isEmpty())
+
+
+def _on(day: Column, days: Collection[str]) -> Column:
+    """True for the given days, false for all others and for no day."""
+    return F.coalesce(day.isin(*[dt.date.fromisoformat(d) for d in days]), F.lit(False))
+
+
+def _months(items: DataFrame) -> set[tuple[int, int]]:
+    keys = items.where("date_key is not null").selectExpr("date_key div 100 as m").distinct()
+    return {divmod(r.m, 100) for r in keys.collect()}
+
+
+def refresh_models(job: Job, touched: Mapping[str, Collection[str]]) -> m.Models:
+    """Bring the stored models up to date after rows of the ``touched`` dates changed.
+
+    Rewrites the facts and daily marts of those days and the rankings of the months
+    they reach, and equals a full build. Where that cannot be told from the days, after
+    a first load or a change of dimensions that reaches other days, all is built anew.
+    """
+    raw = raw_tables(job)
+    built = _models(job, raw)
+    wh = job.warehouse
+    stored = all(wh.exists(MARTS, name) for name in m.BUILD_ORDER)
+    dated = all("__" not in day for days in touched.values() for day in days)
+    if not (stored and dated) or _other_days_change(job, built, raw, touched):
+        return build_models(job)
+    require_unique_dimension_keys(raw)
+    for name in m.STAGING:
+        tables.publish_view(built[name], name)
+    for name in m.DIMENSIONS:
+        _store(job, built, name)
+
+    def replace(name: str, df: DataFrame, partitions) -> None:
+        by = m.PARTITIONS[name]
+        table = tables.replace_partitions(wh, MARTS, name, df, by, partitions)
+        built.use(name, table)
+
+    day = F.col("order_date")
+    order_days, item_days = set(touched["raw_orders"]), set(touched["raw_order_items"])
+    fresh = facts.fct_orders(
+        built.stg_orders.where(_on(day, order_days)),
+        built.dim_customers,
+        built.dim_stores,
+        built.dim_date,
+    )
+    old_orders = tables.read_model(wh, MARTS, "fct_orders", fresh.schema)
+    changed = old_orders.where(_on(day, order_days)).select("order_id")
+    changed = changed.unionAll(
+        built.stg_orders.where(_on(day, order_days)).select("order_id")
+    )
+    # Lines of other days that belong to a changed order change with it.
+    affected = built.stg_order_items.where(~_on(day, item_days))
+    affected = affected.join(changed, "order_id", "left_semi").select("order_date")
+    affected_days = [r.order_date for r in affected.distinct().collect()]
+    if None in affected_days:
+        return build_models(job)
+    item_days.update(d.isoformat() for d in affected_days)
+    items_schema = built.fct_order_items.schema
+    old_items = tables.read_model(wh, MARTS, "fct_order_items", items_schema)
+    months = _months(old_items.where(_on(day, item_days)))
+
+    replace("fct_orders", fresh, [[d] for d in order_days])
+    lines = built.stg_order_items.where(_on(day, item_days))
+    same_days = built.fct_orders.where(_on(day, order_days | item_days))
+    unmatched = lines.select("order_id").join(same_days, "order_id", "left_anti")
+    elsewhere = built.fct_orders.where(~_on(day, order_days | item_days))
+    headers = same_days.unionAll(elsewhere.join(unmatched, "order_id", "left_semi"))
+    replace(
+        "fct_order_items",
+        facts.fct_order_items(lines, headers, built.dim_products),
+        [[d] for d in item_days],
+    )
+    months |= _months(built.fct_order_items.where(_on(day, item_days)))
+
+    orders = built.fct_orders.where(_on(day, order_days))
+    replace(
+        "mart_daily_sales",
+        marts.mart_daily_sales(orders, built.dim_date),
+        [[d] for d in order_days],
+    )
+    replace(
+        "mart_store_performance",
+        marts.mart_store_performance(orders, built.dim_stores, built.dim_date),
+        [[d] for d in order_days],
+    )
+    in_months = F.expr("date_key div 100").isin(*[y * 100 + n for y, n in months])
+    replace(
+        "mart_product_rankings",
+        marts.mart_product_rankings(
+            built.fct_order_items.where(in_months), built.dim_products, built.dim_date
+        ),
+        months,
+    )
     return built
 
 
@@ -205,18 +328,28 @@ def read_mart(job: Job, name: str) -> DataFrame:
     return in_mart_order(stored, name) if name in MART_ORDER else stored
 
 
-def run_range(job: Job, start: dt.date, end: dt.date) -> RunReport:
+def run_range(
+    job: Job, start: dt.date, end: dt.date, incremental: bool = False
+) -> RunReport:
     """Load all days of the range in one go, build the models once, check, publish.
 
+    All models are rebuilt unless ``incremental``, which rewrites only what the days
+    reach and gives the same tables.
     A broken rule or check stops the run after its result has been written and
     before anything is published.
     """
     days = raw_files.days_between(start, end)
     tables.ensure_tables(job.warehouse)
     report = RunReport()
+    # Set from the first load to the last model: a run that finds it follows one that
+    # stopped in between, and cannot tell from its own days what is out of date.
+    pending = f"{job.warehouse.path}/_models_pending"
+    incremental = incremental and not files.exists(job.spark, pending)
+    files.mark(job.spark, pending)
     load_days(job, days, report)
     load_references(job, report)
-    built = build_models(job)
+    built = refresh_models(job, report.touched) if incremental else build_models(job)
+    files.remove_tree(job.spark, pending)
     report.failures = run_rules(job, built)
     broken = sorted(name for name, n in report.failures.items() if n)
     if broken:
@@ -229,6 +362,6 @@ def run_range(job: Job, start: dt.date, end: dt.date) -> RunReport:
     return report
 
 
-def run_day(job: Job, day: dt.date) -> RunReport:
+def run_day(job: Job, day: dt.date, incremental: bool = False) -> RunReport:
     """The daily job for one day."""
-    return run_range(job, day, day)
+    return run_range(job, day, day, incremental)

@@ -17,13 +17,21 @@ FACTS = ("fct_orders", "fct_order_items")
 MARTS = ("mart_daily_sales", "mart_store_performance", "mart_product_rankings")
 BUILD_ORDER = DIMENSIONS + FACTS + MARTS
 
+# Columns by which a stored model is partitioned.
+PARTITIONS = {
+    "fct_orders": ("order_date",),
+    "fct_order_items": ("order_date",),
+    "mart_daily_sales": ("date_day",),
+    "mart_store_performance": ("date_day",),
+    "mart_product_rankings": ("year", "month"),
+}
+
 
 @dataclass
 class Models:
     """The models over a set of raw tables, each built when first asked for.
 
-    ``raw`` maps ``raw_orders`` and its siblings to DataFrames. ``stored`` may supply
-    models that are already written, which are then read instead of derived.
+    ``raw`` maps ``raw_orders`` and its siblings to DataFrames.
     """
 
     spark: SparkSession

@@ -24,3 +24,9 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
 def remove_tree(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _resolve(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, hadoop_path = _resolve(spark, path)
+    fs.create(hadoop_path, True).close()

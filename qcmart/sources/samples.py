@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qcmart.operators.cleaning import keep_first
-from qcmart.operators.joins import lookup
+from qcmart.operators.joins import key_counts, lookup
 
 # Rows of one order line are told apart by these columns.
 LINE_ORDER = (
@@ -151,7 +151,12 @@ def _order_lines(spark: SparkSession, sf_dir: str, lineitem: DataFrame) -> DataF
         _moved("o_orderdate").cast("date").alias("date"),
         F.lit(True).alias("__known"),
     )
-    lines = lookup(lineitem, days, ["l_orderkey"]).where("__known")
+    lines = lookup(
+        lineitem,
+        days,
+        ["l_orderkey"],
+        counts=lambda: key_counts(table(spark, sf_dir, "lineitem"), ["l_orderkey"]),
+    ).where("__known")
     line = F.col("l_linenumber").cast("string")
     price = F.round(F.col("l_extendedprice") / F.col("l_quantity") * 100) / 100
     return lines.select(

@@ -8,7 +8,7 @@ are the warehouse tables; there is no second copy to load.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -90,53 +90,75 @@ def read_raw(wh: Warehouse, table: str) -> DataFrame:
     return wh.spark.read.schema(schema).parquet(wh.location(RAW, f"raw_{table}")).select(*columns)
 
 
-def _partition_path(root: str, date: dt.date | None, load_date: dt.date) -> str:
-    day = "__HIVE_DEFAULT_PARTITION__" if date is None else date.isoformat()
-    return f"{root}/date={day}/{LOAD_DATE}={load_date.isoformat()}"
+Partition = tuple[tuple[str, object], ...]
 
 
-def _stored_partitions(wh: Warehouse, root: str, load_dates: Sequence[dt.date]) -> set[str]:
-    """Partition directories holding rows that came from the files of ``load_dates``."""
-    if len(load_dates) == 1:
-        return set(files.glob(wh.spark, f"{root}/date=*/{LOAD_DATE}={load_dates[0]}"))
-    wanted = {f"{LOAD_DATE}={d}" for d in load_dates}
-    found = files.glob(wh.spark, f"{root}/date=*/{LOAD_DATE}=*")
-    return {p for p in found if p.rsplit("/", 1)[1] in wanted}
+def _directory(partition: Partition) -> str:
+    """Relative directory of a partition given as (column, value) pairs."""
+    return "/".join(
+        f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in partition
+    )
 
 
-def replace_days(
-    wh: Warehouse, table: str, rows: DataFrame, load_dates: Sequence[dt.date]
-) -> int:
-    """Replace everything that was loaded from the files of ``load_dates``; row count.
-
-    Other days stay untouched and a repeated load leaves the same table. New
-    partitions are committed in one step by the dynamic overwrite; partitions that
-    the new files no longer feed are dropped afterwards, so a failure in between
-    never leaves a day without its rows. The rebalance gives each day files of even
-    size: large days are split over tasks, small ones are packed.
+def _overwrite_partitions(
+    wh: Warehouse,
+    layer: str,
+    name: str,
+    rows: DataFrame,
+    by: Sequence[str],
+    replaced: Callable[[str], bool],
+) -> tuple[int, set[str]]:
+    """Write ``rows`` over the partitions they fall in and drop those that ``replaced``
+    names and no row falls in any more; row count and directories before and after.
+
+    The dynamic overwrite commits new partitions in one step and leaves all others
+    untouched; old ones are dropped afterwards, so a failure in between never leaves
+    a partition without its rows. The rebalance gives partitions files of even size:
+    large ones are split over tasks, small ones are packed.
     """
-    name = f"raw_{table}"
-    root = wh.location(RAW, name)
-    before = _stored_partitions(wh, root, load_dates)
+    root = wh.location(layer, name)
+    depth = len(by)
+    found = files.glob(wh.spark, "/".join([root, *[f"{c}=*" for c in by]]))
+    before = {"/".join(path.split("/")[-depth:]) for path in found}
+    before = {directory for directory in before if replaced(directory)}
     written = Observation()
-    counted = rows.select(*_stored_schema(table).names).observe(
+    counted = rows.observe(
         written,
         F.count(F.lit(1)).alias("rows"),
-        F.collect_set(F.struct(*DAY_PARTITIONS)).alias("partitions"),
+        F.collect_set(F.struct(*by)).alias("partitions"),
     )
     (
-        counted.hint("rebalance", *DAY_PARTITIONS)
+        counted.hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*DAY_PARTITIONS)
+        .partitionBy(*by)
         .parquet(root)
     )
-    kept = {_partition_path("", p["date"], p[LOAD_DATE]) for p in written.get["partitions"]}
-    for path in before:
-        if not any(path.endswith(k) for k in kept):
-            files.remove_tree(wh.spark, path)
-    sync_partitions(wh, RAW, name)
-    return written.get["rows"]
+    after = {_directory(tuple(zip(by, p))) for p in written.get["partitions"]}
+    for directory in before - after:
+        files.remove_tree(wh.spark, f"{root}/{directory}")
+    sync_partitions(wh, layer, name)
+    return written.get["rows"], before | after
+
+
+def replace_days(
+    wh: Warehouse, table: str, rows: DataFrame, load_dates: Sequence[dt.date]
+) -> tuple[int, set[str]]:
+    """Replace everything that was loaded from the files of ``load_dates``.
+
+    A repeated load leaves the same table. Returns the row count and the dates, as
+    text, of all rows that came or went.
+    """
+    suffixes = {f"{LOAD_DATE}={d}" for d in load_dates}
+    count, touched = _overwrite_partitions(
+        wh,
+        RAW,
+        f"raw_{table}",
+        rows.select(*_stored_schema(table).names),
+        DAY_PARTITIONS,
+        lambda directory: directory.rsplit("/", 1)[1] in suffixes,
+    )
+    return count, {d.split("/")[0].removeprefix("date=") for d in touched}
 
 
 def sync_partitions(wh: Warehouse, layer: str, name: str) -> None:
@@ -199,15 +221,14 @@ def materialize(
     layer: str,
     name: str,
     df: DataFrame,
-    partition_by: str | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Write a model as a table, replacing it, and return the table as written."""
     location = wh.location(layer, name)
-    if partition_by:
-        df = df.hint("rebalance", partition_by)
-    writer = df.write.mode("overwrite").format("parquet").option("path", location)
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
+    even = df.hint("rebalance", *by) if by else df
+    writer = even.write.mode("overwrite").format("parquet").option("path", location)
+    if by:
+        writer = writer.partitionBy(*by)
     writer.saveAsTable(wh.table(layer, name))
     return read_model(wh, layer, name, df.schema)
 
@@ -222,17 +243,20 @@ def read_model(
 
 
 def replace_partitions(
-    wh: Warehouse, layer: str, name: str, df: DataFrame, partition_by: str
+    wh: Warehouse,
+    layer: str,
+    name: str,
+    df: DataFrame,
+    by: Sequence[str],
+    partitions: Iterable[Sequence[object]],
 ) -> DataFrame:
-    """Replace only the partitions of a model that ``df`` has rows for."""
-    (
-        df.hint("rebalance", partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(wh.location(layer, name))
-    )
-    sync_partitions(wh, layer, name)
+    """Replace the named partitions of a model with ``df``; the table as written.
+
+    ``partitions`` holds the values of the ``by`` columns; ``df`` has rows of no other
+    partition.
+    """
+    named = {_directory(tuple(zip(by, values))) for values in partitions}
+    _overwrite_partitions(wh, layer, name, df, by, named.__contains__)
     return read_model(wh, layer, name, df.schema)
 
 

@@ -8,12 +8,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from qcmart.plans import daily, models
-from qcmart.sources import raw_files, tables
+from qcmart.sources import files, raw_files, tables
 from qcmart.sources.tables import MARTS, QUALITY, Warehouse
-from tests.rawfiles import ITEM_HEADER, item, order, write_day, write_full_day, write_references
+from tests.rawfiles import (
+    ITEM_HEADER,
+    REFERENCES,
+    item,
+    order,
+    write_day,
+    write_full_day,
+    write_references,
+)
 
 DAY = dt.date(2024, 3, 15)
 NEXT = dt.date(2024, 3, 16)
+LAST = dt.date(2024, 4, 1)
 COUNT = iter(range(1000))
 
 
@@ -262,3 +271,45 @@ def test_reference_values_must_fit(job):
     write_references(job.raw_path, products=[["P1", "a", "b", "c", "cheap"]])
     with pytest.raises(Exception, match="cheap"):
         raw_files.read_reference(job.spark, job.raw_path, "products").collect()
+
+
+def test_incremental_runs_equal_a_full_build(job, monkeypatch):
+    for day in (DAY, NEXT, LAST):
+        write_full_day(job.raw_path, day)
+    # A line of the last day that belongs to an order of the first.
+    late = item(700, LAST, order_id=f"O{DAY:%d}0001")
+    write_day(job.raw_path, "order_items", LAST, [*[item(i, LAST) for i in range(120)], late])
+    daily.run_range(job, DAY, LAST, incremental=True)
+
+    # The first day changes: fewer orders, one with a new status; a new customer comes.
+    orders = [order(i, DAY) for i in range(100)]
+    orders[1] = order(1, DAY, status="delivered", total_amount="999.99")
+    orders.append(order(800, DAY, customer_id="C3"))
+    write_day(job.raw_path, "orders", DAY, orders)
+    write_day(job.raw_path, "order_items", DAY, [item(i, DAY) for i in range(100)])
+    customers = REFERENCES["customers"][1] + [["C3", "Dev", "", "Pune", "1", "M", "2024-07-01"]]
+    write_references(job.raw_path, customers=customers)
+    builds = []
+    full_build = daily.build_models
+
+    def build(job):
+        builds.append("full")
+        return full_build(job)
+
+    monkeypatch.setattr(daily, "build_models", build)
+    daily.run_day(job, DAY, incremental=True)
+    assert not builds
+    refreshed = stored(job)
+
+    # A run after one that stopped half way builds everything.
+    files.mark(job.spark, f"{job.warehouse.path}/_models_pending")
+    daily.run_day(job, DAY, incremental=True)
+    assert builds == ["full"]
+    assert stored(job) == refreshed
+
+    # A known store moves, which reaches all days: everything is built.
+    write_references(job.raw_path, customers=customers, stores=[["S1", "Goa", "z", "1", "2"]])
+    daily.run_day(job, NEXT, incremental=True)
+    assert builds == ["full"] * 2
+    cities = {r.city for r in daily.read_mart(job, "mart_store_performance").collect()}
+    assert cities == {"Goa"}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from qcmart.operators.cleaning import keep_first
-from qcmart.operators.joins import hot_keys, lookup
+from qcmart.operators.joins import hot_keys, key_counts, lookup
 from qcmart.operators.ranking import dense_rank_spread
 from qcmart.operators.sizing import broadcast_if_small, input_bytes
 
@@ -92,8 +92,9 @@ def test_hot_rows_do_not_meet_in_one_task(spark, skewed):
 
 def test_hot_keys(skewed):
     facts, _ = skewed
-    assert {r.k for r in hot_keys(facts, ["k"], min_rows=1000).collect()} == {"hot", "nowhere"}
-    assert hot_keys(facts, ["k"], min_rows=1_000_000).count() == 0
+    counts = key_counts(facts, ["k"])
+    assert {r.k for r in hot_keys(counts, min_rows=1000).collect()} == {"hot", "nowhere"}
+    assert hot_keys(counts, min_rows=1_000_000).count() == 0
 
 
 def test_spread_rank_equals_window(spark):
@@ -108,7 +109,7 @@ def test_spread_rank_equals_window(spark):
     by_window = F.dense_rank().over(W.partitionBy("g").orderBy(F.col("v").desc_nulls_last()))
     expected = rows(df.withColumn("r", by_window))
     for bounds in ({}, LARGE):
-        assert rows(dense_rank_spread(df, ["g"], "v", "r", **bounds)) == expected
+        assert rows(dense_rank_spread(df, "v", {"r": ["g"]}, **bounds)) == expected
 
 
 def test_spread_rank_of_many_values(spark):
@@ -118,7 +119,10 @@ def test_spread_rank_of_many_values(spark):
         (F.pmod(F.hash("id"), F.lit(2_000_000_000)) / 100).cast("decimal(22,2)").alias("v"),
     )
     by_window = F.dense_rank().over(W.partitionBy("g").orderBy(F.col("v").desc()))
-    assert rows(dense_rank_spread(df, ["g"], "v", "r")) == rows(df.withColumn("r", by_window))
+    overall = F.dense_rank().over(W.orderBy(F.col("v").desc()))
+    expected = df.withColumn("r", by_window).withColumn("o", overall)
+    spread = dense_rank_spread(df.withColumn("one", F.lit(1)), "v", {"r": ["g"], "o": ["one"]})
+    assert rows(spread.drop("one")) == rows(expected)
 
 
 def test_rankings_of_a_large_product_dimension(spark):
