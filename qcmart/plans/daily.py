@@ -3,313 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Collection, Mapping, Sequence
-from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from qcmart.operators import cleaning, dimensions, facts, marts, quality
 from qcmart.operators.marts import MART_ORDER, in_mart_order
-from qcmart.operators.quality import Rule
+from qcmart.plans import building, checking, loading
 from qcmart.plans import models as m
-from qcmart.plans.rules import ALL_RULES, DIMENSION_KEY_RULES
+from qcmart.plans.job import Job, QualityError, RunReport
 from qcmart.sources import files, jdbc, raw_files, tables
-from qcmart.sources.schemas import DAILY_TABLES, LOAD_DATE, RAW_TABLES, REFERENCE_TABLES
-from qcmart.sources.tables import MARTS, QUALITY, Warehouse
-
-# Models copied to the serving database.
-PUBLISHED = (
-    "mart_daily_sales",
-    "mart_store_performance",
-    "mart_product_rankings",
-    "dim_customers",
-    "dim_products",
-    "dim_stores",
-    "fct_orders",
-)
-
-CLEANERS: Mapping[str, Callable[..., DataFrame]] = {
-    "orders": cleaning.clean_orders,
-    "order_items": cleaning.clean_order_items,
-}
-
-
-class QualityError(RuntimeError):
-    """At least one check failed; its result is in the audit trail or kept failures."""
-
-
-@dataclass
-class Job:
-    """Settings of a run. ``raw_path`` holds the CSV files, ``warehouse`` the tables."""
-
-    spark: SparkSession
-    raw_path: str
-    warehouse: Warehouse
-    min_daily_rows: int = 100
-    as_of: Column | None = None
-    tier_1: Sequence[str] = dimensions.TIER_1_CITIES
-    calendar_start: dt.date = dimensions.CALENDAR_START
-    calendar_end: dt.date = dimensions.CALENDAR_END
-    holidays: Sequence[str] = dimensions.HOLIDAYS
-    rules: Sequence[Rule] = ALL_RULES
-    serving: jdbc.ServingDatabase | None = None
-    published: Sequence[str] = PUBLISHED
-    multiline: bool = False
-
-
-@dataclass
-class RunReport:
-    """What a run did: counts of the text that came in, rows loaded per raw table, dates
-    whose rows came or went, failures per rule, failed daily checks, rows published."""
-
-    extracted: dict[str, dict[str, int]] = field(default_factory=dict)
-    loaded: dict[str, int] = field(default_factory=dict)
-    touched: dict[str, set[str]] = field(default_factory=dict)
-    failures: dict[str, int] = field(default_factory=dict)
-    failed_checks: int = 0
-    published: dict[str, int] = field(default_factory=dict)
-
-
-def load_days(job: Job, days: Sequence[dt.date], report: RunReport) -> None:
-    """Read, clean and store the daily tables for ``days``.
-
-    Days without a file are left as they are. All days of a table are one Spark job,
-    which also counts what came in; only if quantities were rejected is the text read
-    again to keep those lines.
-    """
-    for table in DAILY_TABLES:
-        present = raw_files.days_present(job.spark, job.raw_path, table, days)
-        name = f"raw_{table}"
-        report.loaded[name], report.touched[name] = 0, set()
-        if not present:
-            report.extracted[table] = {"rows": 0}
-            continue
-        text = raw_files.read_raw_days(
-            job.spark, job.raw_path, table, present, job.multiline
-        )
-        seen = Observation()
-        metrics = cleaning.load_metrics(table)
-        watched = text.observe(seen, *[c.alias(name) for name, c in metrics.items()])
-        clean = CLEANERS[table](watched, order=raw_files.POSITION, per=[LOAD_DATE])
-        report.loaded[name], report.touched[name] = tables.replace_days(
-            job.warehouse, table, clean, present
-        )
-        report.extracted[table] = seen.get
-        if table == "order_items":
-            rejected = cleaning.rejected_order_items(text)
-            some = report.extracted[table]["fractional_qty"] > 0
-            tables.keep_rejects(job.warehouse, table, rejected if some else None, present)
-
-
-def load_references(job: Job, report: RunReport) -> None:
-    """Replace the reference tables that have a file."""
-    for table in REFERENCE_TABLES:
-        name = f"raw_{table}"
-        report.loaded[name] = 0
-        if raw_files.reference_present(job.spark, job.raw_path, table):
-            rows = raw_files.read_reference(job.spark, job.raw_path, table, job.multiline)
-            report.loaded[name] = tables.replace_reference(job.warehouse, table, rows)
-
-
-def raw_tables(job: Job) -> dict[str, DataFrame]:
-    return {f"raw_{t}": tables.read_raw(job.warehouse, t) for t in RAW_TABLES}
-
-
-def _models(job: Job, raw: Mapping[str, DataFrame]) -> m.Models:
-    return m.Models(
-        job.spark,
-        raw,
-        as_of=job.as_of,
-        tier_1=job.tier_1,
-        calendar_start=job.calendar_start,
-        calendar_end=job.calendar_end,
-        holidays=job.holidays,
-    )
-
-
-def require_unique_dimension_keys(raw: Mapping[str, DataFrame]) -> None:
-    """Stop before facts are built if a repeated dimension key would multiply them."""
-    counts = quality.failure_counts(raw, DIMENSION_KEY_RULES).where("failing > 0")
-    repeated = [f"{r.table_name}.{r.column_name}" for r in counts.collect()]
-    if repeated:
-        raise QualityError(f"repeated keys in {', '.join(sorted(repeated))}")
-
-
-def build_models(job: Job) -> m.Models:
-    """Write dimensions, facts and marts in dependency order; staging stays a view.
-
-    Each model reads the written tables of those before it, so nothing is computed
-    twice and a lost executor costs at most the work of one model.
-    """
-    raw = raw_tables(job)
-    require_unique_dimension_keys(raw)
-    built = _models(job, raw)
-    for name in m.STAGING:
-        tables.publish_view(built[name], name)
-    for name in m.BUILD_ORDER:
-        _store(job, built, name)
-    return built
-
-
-def _store(job: Job, built: m.Models, name: str) -> None:
-    by = m.PARTITIONS.get(name, ())
-    built.use(name, tables.materialize(job.warehouse, MARTS, name, built[name], by))
-
-
-# Dimensions that decide rows of other days: their key, the columns that matter, and
-# the raw table that refers to them.
-_REFERRED = (
-    ("dim_customers", "customer_id", ["customer_id"], "raw_orders"),
-    ("dim_stores", "store_id", None, "raw_orders"),
-    ("dim_products", "product_id", None, "raw_order_items"),
-)
-
-
-def _other_days_change(job: Job, built: m.Models, raw: Mapping[str, DataFrame], days) -> bool:
-    """True if the new dimensions alter rows of days other than ``days``: if something
-    was removed or altered, or an added key is referred to on another day."""
-    for name, key, columns, referring in _REFERRED:
-        new = built[name].select(*(columns or built[name].columns))
-        old = tables.read_model(job.warehouse, MARTS, name, new.schema)
-        if not old.exceptAll(new).isEmpty():
-            return True
-        added = new.select(key).join(old.select(key), key, "left_anti")
-        elsewhere = raw[referring].where(~_on(F.col("date"), days[referring])).select(key)
-        if not elsewhere.join(added, key, "left_semi").isEmpty():
-            return True
-    calendar = built["dim_date"]
-    old = tables.read_model(job.warehouse, MARTS, "dim_date", calendar.schema)
-    return not (old.exceptAll(calendar).isEmpty() and calendar.exceptAll(old).isEmpty())
-
-
-def _on(day: Column, days: Collection[str]) -> Column:
-    """True for the given days, false for all others and for no day."""
-    return F.coalesce(day.isin(*[dt.date.fromisoformat(d) for d in days]), F.lit(False))
-
-
-def _months(items: DataFrame) -> set[tuple[int, int]]:
-    keys = items.where("date_key is not null").selectExpr("date_key div 100 as m").distinct()
-    return {divmod(r.m, 100) for r in keys.collect()}
-
-
-def refresh_models(job: Job, touched: Mapping[str, Collection[str]]) -> m.Models:
-    """Bring the stored models up to date after rows of the ``touched`` dates changed.
-
-    Rewrites the facts and daily marts of those days and the rankings of the months
-    they reach, and equals a full build. Where that cannot be told from the days, after
-    a first load or a change of dimensions that reaches other days, all is built anew.
-    """
-    raw = raw_tables(job)
-    built = _models(job, raw)
-    wh = job.warehouse
-    stored = all(wh.exists(MARTS, name) for name in m.BUILD_ORDER)
-    dated = all("__" not in day for days in touched.values() for day in days)
-    if not (stored and dated) or _other_days_change(job, built, raw, touched):
-        return build_models(job)
-    require_unique_dimension_keys(raw)
-    for name in m.STAGING:
-        tables.publish_view(built[name], name)
-    for name in m.DIMENSIONS:
-        _store(job, built, name)
-
-    def replace(name: str, df: DataFrame, partitions) -> None:
-        by = m.PARTITIONS[name]
-        table = tables.replace_partitions(wh, MARTS, name, df, by, partitions)
-        built.use(name, table)
-
-    day = F.col("order_date")
-    order_days, item_days = set(touched["raw_orders"]), set(touched["raw_order_items"])
-    fresh = facts.fct_orders(
-        built.stg_orders.where(_on(day, order_days)),
-        built.dim_customers,
-        built.dim_stores,
-        built.dim_date,
-    )
-    old_orders = tables.read_model(wh, MARTS, "fct_orders", fresh.schema)
-    changed = old_orders.where(_on(day, order_days)).select("order_id")
-    changed = changed.unionAll(
-        built.stg_orders.where(_on(day, order_days)).select("order_id")
-    )
-    # Lines of other days that belong to a changed order change with it.
-    affected = built.stg_order_items.where(~_on(day, item_days))
-    affected = affected.join(changed, "order_id", "left_semi").select("order_date")
-    affected_days = [r.order_date for r in affected.distinct().collect()]
-    if None in affected_days:
-        return build_models(job)
-    item_days.update(d.isoformat() for d in affected_days)
-    items_schema = built.fct_order_items.schema
-    old_items = tables.read_model(wh, MARTS, "fct_order_items", items_schema)
-    months = _months(old_items.where(_on(day, item_days)))
-
-    replace("fct_orders", fresh, [[d] for d in order_days])
-    lines = built.stg_order_items.where(_on(day, item_days))
-    same_days = built.fct_orders.where(_on(day, order_days | item_days))
-    unmatched = lines.select("order_id").join(same_days, "order_id", "left_anti")
-    elsewhere = built.fct_orders.where(~_on(day, order_days | item_days))
-    headers = same_days.unionAll(elsewhere.join(unmatched, "order_id", "left_semi"))
-    replace(
-        "fct_order_items",
-        facts.fct_order_items(lines, headers, built.dim_products),
-        [[d] for d in item_days],
-    )
-    months |= _months(built.fct_order_items.where(_on(day, item_days)))
-
-    orders = built.fct_orders.where(_on(day, order_days))
-    replace(
-        "mart_daily_sales",
-        marts.mart_daily_sales(orders, built.dim_date),
-        [[d] for d in order_days],
-    )
-    replace(
-        "mart_store_performance",
-        marts.mart_store_performance(orders, built.dim_stores, built.dim_date),
-        [[d] for d in order_days],
-    )
-    in_months = F.expr("date_key div 100").isin(*[y * 100 + n for y, n in months])
-    replace(
-        "mart_product_rankings",
-        marts.mart_product_rankings(
-            built.fct_order_items.where(in_months), built.dim_products, built.dim_date
-        ),
-        months,
-    )
-    return built
-
-
-def run_rules(job: Job, built: m.Models, keep_failures: bool = True) -> dict[str, int]:
-    """Evaluate the declared rules; failing rows of a broken rule go to its own table.
-
-    Returns the failures of every rule by rule name.
-    """
-    checked = raw_tables(job) | {name: built[name] for name in m.BUILD_ORDER}
-    counts = quality.failure_counts(checked, job.rules).collect()
-    by_rule = {(r.table_name, r.column_name, r.test): r.failing for r in counts}
-    failures = {r.name: by_rule[(r.table, r.column, r.kind)] for r in job.rules}
-    for rule in job.rules if keep_failures else ():
-        if failures[rule.name]:
-            rows = quality.failing_rows(checked[rule.table], rule)
-            tables.materialize(job.warehouse, QUALITY, rule.name, rows)
-        elif job.warehouse.exists(QUALITY, rule.name):
-            tables.drop_model(job.warehouse, QUALITY, rule.name)
-    return failures
-
-
-def run_checks(job: Job, days: Sequence[dt.date]) -> int:
-    """Evaluate the daily checks for all of ``days`` together and write the audit trail.
-
-    Days without orders are skipped. Returns the number of failed checks.
-    """
-    raw = raw_tables(job)
-    on_days = F.col("date").isin(*days)
-    results = quality.daily_check_results(
-        raw["raw_orders"].where(on_days),
-        raw["raw_order_items"].where(on_days),
-        all_orders=raw["raw_orders"],
-        min_rows=job.min_daily_rows,
-    )
-    return tables.append_audit(job.warehouse, results)
-
+from qcmart.sources.tables import MARTS
 
 def publish(job: Job, built: m.Models) -> dict[str, int]:
     """Copy the published models to the serving database; rows per table."""
@@ -346,16 +48,19 @@ def run_range(
     pending = f"{job.warehouse.path}/_models_pending"
     incremental = incremental and not files.exists(job.spark, pending)
     files.mark(job.spark, pending)
-    load_days(job, days, report)
-    load_references(job, report)
-    built = refresh_models(job, report.touched) if incremental else build_models(job)
+    loading.load_days(job, days, report)
+    loading.load_references(job, report)
+    if incremental:
+        built = building.refresh_models(job, report.touched)
+    else:
+        built = building.build_models(job)
     files.remove_tree(job.spark, pending)
-    report.failures = run_rules(job, built)
+    report.failures = checking.run_rules(job, built)
     broken = sorted(name for name, n in report.failures.items() if n)
     if broken:
         raise QualityError(f"failed rules: {', '.join(broken)}")
     if report.loaded["raw_orders"]:
-        report.failed_checks = run_checks(job, days)
+        report.failed_checks = checking.run_checks(job, days)
     if report.failed_checks:
         raise QualityError(f"{report.failed_checks} daily checks failed")
     report.published = publish(job, built)

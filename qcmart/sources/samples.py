@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from qcmart.operators.cleaning import keep_first
 from qcmart.operators.joins import key_counts, lookup
+from qcmart.sources.schemas import RAW_ORDERS
 
 # Rows of one order line are told apart by these columns.
 LINE_ORDER = (
@@ -104,7 +105,8 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders with the number behind their id as ``key``."""
     stores = raw_stores(spark, sf_dir).select("store_id", "city")
     n_stores = table(spark, sf_dir, "supplier").count()
     time_of_day = F.expr(
@@ -116,6 +118,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "orders")
         .withColumn("__store", F.col("o_orderkey") % n_stores)
         .select(
+            F.col("o_orderkey").alias("key"),
             text_id("ORD", "o_orderkey").alias("order_id"),
             text_id("C", "o_custkey").alias("customer_id"),
             text_id("DS", "__store", 6).alias("store_id"),
@@ -131,18 +134,11 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     placed = lookup(orders, stores.withColumn("__known", F.lit(True)), ["store_id"])
-    return placed.where("__known").select(
-        "order_id",
-        "customer_id",
-        "store_id",
-        "city",
-        "created_at",
-        "status",
-        "total_amount",
-        "delivery_minutes",
-        "is_late",
-        "date",
-    )
+    return placed.where("__known").drop("__known")
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keyed_orders(spark, sf_dir).select(*RAW_ORDERS.names)
 
 
 def _order_lines(spark: SparkSession, sf_dir: str, lineitem: DataFrame) -> DataFrame:
@@ -192,11 +188,8 @@ def raw_order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``key`` and ``copy`` give the order of the rows in the file.
     """
-    text = raw_orders(spark, sf_dir)
-    text = text.select(
-        F.expr("cast(substr(order_id, 4) as bigint)").alias("key"),
-        F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"),
-        *[F.col(c).cast("string").alias(c) for c in text.columns],
+    text = _keyed_orders(spark, sf_dir).select(
+        "key", *[F.col(c).cast("string").alias(c) for c in RAW_ORDERS.names]
     )
     nothing, blank = F.lit(None).cast("string"), F.lit("")
     created = _planted("key", 103, blank, F.col("created_at"))
@@ -204,12 +197,12 @@ def raw_order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = _planted("key", 71, F.lit("-5.00"), total)
     late = _planted("key", 79, blank, F.col("is_late"))
     status = _planted("key", 67, F.concat(F.lit(" "), F.upper("status")), F.col("status"))
-    return text.withColumns(
+    planted = text.withColumns(
         {
             "order_id": _planted("key", 211, nothing, F.col("order_id")),
             "customer_id": _planted("key", 107, F.lit("NA"), F.col("customer_id")),
             "created_at": _planted("key", 101, F.lit("not a time"), created),
-            "status": F.when(F.col("copy") == 1, "lost").otherwise(status),
+            "status": status,
             "total_amount": _planted("key", 97, F.lit("abc"), total),
             "delivery_minutes": _planted(
                 "key", 83, F.lit("soon"), F.col("delivery_minutes")
@@ -217,3 +210,6 @@ def raw_order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             "is_late": _planted("key", 73, F.lit("maybe"), late),
         }
     )
+    copies = planted.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    lost = F.when(F.col("copy") == 1, "lost").otherwise(F.col("status"))
+    return copies.withColumn("status", lost)

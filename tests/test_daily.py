@@ -7,7 +7,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from qcmart.plans import daily, models
+from qcmart.plans import building, checking, daily, loading, models
+from qcmart.plans.job import Job, QualityError, RunReport, raw_tables
 from qcmart.sources import files, raw_files, tables
 from qcmart.sources.tables import MARTS, QUALITY, Warehouse
 from tests.rawfiles import (
@@ -31,7 +32,7 @@ def job(spark, tmp_path):
     raw = tmp_path / "raw"
     write_references(raw)
     warehouse = Warehouse(spark, str(tmp_path / "warehouse"), prefix=f"t{next(COUNT)}_")
-    return daily.Job(spark, str(raw), warehouse, as_of=F.lit("2024-12-31").cast("date"))
+    return Job(spark, str(raw), warehouse, as_of=F.lit("2024-12-31").cast("date"))
 
 
 def rows(df):
@@ -40,7 +41,7 @@ def rows(df):
 
 def stored(job):
     found = {n: rows(tables.read_model(job.warehouse, MARTS, n)) for n in models.BUILD_ORDER}
-    return found | {n: rows(df) for n, df in daily.raw_tables(job).items()}
+    return found | {n: rows(df) for n, df in raw_tables(job).items()}
 
 
 def test_one_day(job):
@@ -76,7 +77,7 @@ def test_backfill_equals_single_days_and_a_reload(job, spark, tmp_path):
     for day in (DAY, NEXT):
         write_full_day(job.raw_path, day)
     daily.run_range(job, DAY, NEXT)
-    single = daily.Job(
+    single = Job(
         spark,
         job.raw_path,
         Warehouse(spark, str(tmp_path / "single"), prefix=f"t{next(COUNT)}_"),
@@ -89,13 +90,13 @@ def test_backfill_equals_single_days_and_a_reload(job, spark, tmp_path):
 
 def load(job, *days):
     tables.ensure_tables(job.warehouse)
-    report = daily.RunReport()
-    daily.load_days(job, days, report)
+    report = RunReport()
+    loading.load_days(job, days, report)
     return report
 
 
 def raw_counts(job, table):
-    raw = daily.raw_tables(job)[table]
+    raw = raw_tables(job)[table]
     return {r["date"]: r["count"] for r in raw.groupBy("date").count().collect()}
 
 
@@ -143,7 +144,7 @@ def test_failed_check_is_audited_before_it_stops_the_run(job):
     job.min_daily_rows = 500
     write_full_day(job.raw_path, DAY)
     write_day(job.raw_path, "orders", DAY, [order(i, DAY) for i in range(119)])
-    with pytest.raises(daily.QualityError, match="2 daily checks"):
+    with pytest.raises(QualityError, match="2 daily checks"):
         daily.run_day(job, DAY)
     assert failed_checks(job) == {
         ("raw_orders: min daily rows", "119", 119),
@@ -164,7 +165,7 @@ def test_each_order_check_finds_its_violation(job):
     again = [order(i, DAY) for i in range(118)] + [order(1, NEXT)]
     write_day(job.raw_path, "orders", DAY, bad + again[-1:])
     load(job, DAY)
-    assert daily.run_checks(job, [DAY, NEXT]) == 2
+    assert checking.run_checks(job, [DAY, NEXT]) == 2
     assert failed_checks(job) == {
         ("raw_orders: positive total_amount", "2", 120),
         ("raw_orders: no duplicate order_ids", "1", 122),
@@ -178,7 +179,7 @@ def test_item_of_an_earlier_day_is_no_orphan(job):
     lines = [item(i, NEXT) for i in range(120)]
     write_day(job.raw_path, "order_items", NEXT, [*lines, extra])
     load(job, DAY, NEXT)
-    assert daily.run_checks(job, [NEXT]) == 0
+    assert checking.run_checks(job, [NEXT]) == 0
 
 
 def test_broken_rule_keeps_its_rows(job):
@@ -186,7 +187,7 @@ def test_broken_rule_keeps_its_rows(job):
     bad = [order(i, DAY) for i in range(119)] + [order(119, DAY, status="lost")]
     write_day(job.raw_path, "orders", DAY, bad)
     rule = "accepted_values_raw_orders_status"
-    with pytest.raises(daily.QualityError, match=rule):
+    with pytest.raises(QualityError, match=rule):
         daily.run_day(job, DAY)
     kept = tables.read_model(job.warehouse, QUALITY, rule).collect()
     assert [r.order_id for r in kept] == [f"O{DAY:%d}0119"]
@@ -198,7 +199,7 @@ def test_broken_rule_keeps_its_rows(job):
 def test_repeated_dimension_key_stops_before_facts(job):
     write_references(job.raw_path, stores=[["S1", "Pune", "a", "1", "2"], ["S1", "Pune", "b", "1", "2"]])
     write_full_day(job.raw_path, DAY)
-    with pytest.raises(daily.QualityError, match="raw_stores.store_id"):
+    with pytest.raises(QualityError, match="raw_stores.store_id"):
         daily.run_day(job, DAY)
     assert not job.warehouse.exists(MARTS, "fct_orders")
 
@@ -290,13 +291,13 @@ def test_incremental_runs_equal_a_full_build(job, monkeypatch):
     customers = REFERENCES["customers"][1] + [["C3", "Dev", "", "Pune", "1", "M", "2024-07-01"]]
     write_references(job.raw_path, customers=customers)
     builds = []
-    full_build = daily.build_models
+    full_build = building.build_models
 
     def build(job):
         builds.append("full")
         return full_build(job)
 
-    monkeypatch.setattr(daily, "build_models", build)
+    monkeypatch.setattr(building, "build_models", build)
     daily.run_day(job, DAY, incremental=True)
     assert not builds
     refreshed = stored(job)

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from qcmart.operators import facts, marts
 from qcmart.operators.cleaning import keep_first
 from qcmart.operators.joins import hot_keys, key_counts, lookup
 from qcmart.operators.ranking import dense_rank_spread
@@ -125,11 +126,18 @@ def test_spread_rank_of_many_values(spark):
     assert rows(spread.drop("one")) == rows(expected)
 
 
+def test_facts_over_large_inputs(spark):
+    models = entry._models(spark, "/root/testdata/sf0.001")
+    dims = (models.dim_customers, models.dim_stores, models.dim_date)
+    orders = facts.fct_orders(models.stg_orders, *dims, **LARGE)
+    assert rows(orders) == rows(models.fct_orders)
+    lines = (models.stg_order_items, models.fct_orders, models.dim_products)
+    assert rows(facts.fct_order_items(*lines, **LARGE)) == rows(models.fct_order_items)
+
+
 def test_rankings_of_a_large_product_dimension(spark):
     sf_dir = "/root/testdata/sf0.001"
     models = entry._models(spark, sf_dir)
-    from qcmart.operators import marts
-
     args = (models.fct_order_items, models.dim_products, models.dim_date)
     expected = rows(marts.mart_product_rankings(*args))
     assert rows(marts.mart_product_rankings(*args, one_task_bytes=0)) == expected
