@@ -10,7 +10,7 @@ from qcmart.functions.coercion import (
     blank_to_null,
 )
 from qcmart.functions.keys import surrogate_key
-from qcmart.functions.numeric import davg, pct, ratio, sql_round, to_dec
+from qcmart.functions.numeric import davg, pct, quotient_avg, ratio, sql_round, to_dec
 from qcmart.functions.timeparts import dow0, is_weekend
 
 __all__ = [
@@ -25,6 +25,7 @@ __all__ = [
     "dow0",
     "is_weekend",
     "pct",
+    "quotient_avg",
     "ratio",
     "sql_round",
     "surrogate_key",

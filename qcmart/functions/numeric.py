@@ -29,6 +29,16 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double") / F.nullif(denominator, F.lit(0)).cast("double")
 
 
+def quotient_avg(money: Column) -> Column:
+    """Average as the sum over the count, for use next to a sum of the same column.
+
+    The warehouse divides the two when a query asks for both and works in whole
+    cents, as ``davg``, when it asks for the average alone. The results may differ in
+    the last binary digit, which shows when a rounded digit is an exact tie.
+    """
+    return ratio(F.sum(money), F.count(money))
+
+
 def davg(money: Column) -> Column:
     """Average of a two-digit decimal as a double: whole cents over whole cents."""
     cents = (F.sum(money) * F.lit(100)).cast("double")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qcmart.functions import davg, pct, ratio, sql_round
+from qcmart.functions import davg, pct, quotient_avg, ratio, sql_round
 from qcmart.operators.ranking import dense_rank_desc, dense_rank_spread
 from qcmart.operators.sizing import ONE_TASK_BYTES, broadcast_if_small, input_bytes
 
@@ -46,7 +46,7 @@ def _order_measures() -> dict[str, Column]:
         "cancelled_orders": F.count_if(cancelled),
         "unique_customers": F.count_distinct("customer_key"),
         "total_gmv": F.sum("total_amount"),
-        "avg_order_value": sql_round(davg(F.col("total_amount")), 2),
+        "avg_order_value": sql_round(quotient_avg(F.col("total_amount")), 2),
         "avg_delivery_minutes": sql_round(F.avg(minutes), 1),
         "cancelled_pct": pct(F.count_if(cancelled), F.count("order_id")),
         "late_pct": pct(F.count_if(F.col("is_late")), F.count_if(delivered)),

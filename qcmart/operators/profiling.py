@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qcmart.functions import davg, sql_round, to_dec
+from qcmart.functions import quotient_avg, sql_round, to_dec
 from qcmart.operators.sizing import broadcast_if_small
 
 
@@ -18,7 +18,7 @@ def profile_orders(raw_orders: DataFrame) -> DataFrame:
         F.max("created_at").alias("latest"),
         F.count_distinct("store_id").alias("distinct_stores"),
         F.count_distinct("customer_id").alias("distinct_customers"),
-        sql_round(davg(money), 2).alias("avg_order_value"),
+        sql_round(quotient_avg(money), 2).alias("avg_order_value"),
         F.sum(money).alias("total_gmv"),
     )
 

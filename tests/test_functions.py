@@ -34,6 +34,20 @@ def test_ratios_of_zero_are_null(spark):
     assert one(spark, Q.pct(F.lit(1), F.lit(3))) == 33.33
 
 
+def test_two_averages_of_the_same_money(spark):
+    # Six amounts of 303163.155 on average: an exact tie at the third digit.
+    df = spark.sql(
+        "select cast(v as decimal(12,2)) v from values (319818.60), (257096.50), "
+        "(151384.20), (401362.20), (383324.19), (305993.24) t(v)"
+    )
+    row = df.agg(
+        Q.sql_round(Q.davg(F.col("v")), 2).alias("cents"),
+        Q.sql_round(Q.quotient_avg(F.col("v")), 2).alias("quotient"),
+    ).first()
+    assert (row.cents, row.quotient) == (303163.16, 303163.15)
+    assert df.where("false").agg(Q.quotient_avg(F.col("v")).alias("x")).first().x is None
+
+
 def test_average_of_money(spark):
     df = spark.sql("select cast(v as decimal(12,2)) v from values (1.10), (2.25), (null) t(v)")
     assert df.agg(Q.davg(F.col("v")).alias("x")).first().x == 1.675
