@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from qcmart.operators import cleaning, profiling
 from qcmart.plans import building, checking, daily, loading, models
 from qcmart.plans.job import Job, QualityError, RunReport, raw_tables
 from qcmart.sources import files, raw_files, tables
@@ -314,3 +315,22 @@ def test_incremental_runs_equal_a_full_build(job, monkeypatch):
     assert builds == ["full"] * 2
     cities = {r.city for r in daily.read_mart(job, "mart_store_performance").collect()}
     assert cities == {"Goa"}
+
+
+def test_profiles_of_raw_files(job):
+    write_references(job.raw_path)
+    write_full_day(job.raw_path, DAY, 4)
+    write_full_day(job.raw_path, NEXT, 2)
+    orders = cleaning.coerce_orders(raw_files.read_raw_all(job.spark, job.raw_path, "orders"))
+    row = profiling.profile_orders(orders).first()
+    assert (row.total_orders, row.distinct_stores, row.distinct_customers) == (6, 2, 2)
+    assert (float(row.total_gmv), row.avg_order_value) == (610.0, 101.67)
+    shares = [(r.status, r.cnt, r.pct) for r in profiling.profile_status(orders).collect()]
+    assert shares == [("delivered", 4, 66.7), *sorted(shares[1:])]
+    lines = cleaning.coerce_order_items(
+        raw_files.read_raw_all(job.spark, job.raw_path, "order_items")
+    )
+    assert profiling.profile_nulls(lines).first().total_rows == 6
+    products = raw_files.read_reference(job.spark, job.raw_path, "products")
+    gmv = {r.category: r.line_items for r in profiling.profile_category_gmv(lines, products).collect()}
+    assert gmv == {"Dairy": 3, "Grocery": 3}
