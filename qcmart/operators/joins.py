@@ -77,13 +77,14 @@ def lookup(
     has_no_partner = F.col("__hot").isNotNull() | ~_both(
         [F.col(k).isNotNull() for k in keys]
     )
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(SPREAD)) + 1
-    marked = marked.withColumn(
-        "__slot", F.when(has_no_partner, spread).otherwise(F.lit(0).cast("long"))
-    )
-    joined = marked.join(
-        table.withColumn("__slot", F.lit(0).cast("long")), [*keys, "__slot"], "left"
-    )
+    # The slot joins the shuffle key. Rows with a partner share the key's own hash,
+    # never negative; all others get negative slots, which meet nothing. The hash keeps
+    # the optimizer from reducing the slot to a constant and dropping it from the key.
+    kinds = {f.name: f.dataType for f in facts.schema.fields}
+    own = F.shiftrightunsigned(F.xxhash64(*[F.col(k).cast(kinds[k]) for k in keys]), 1)
+    spread = -1 - F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(SPREAD))
+    marked = marked.withColumn("__slot", F.when(has_no_partner, spread).otherwise(own))
+    joined = marked.join(table.withColumn("__slot", own), [*keys, "__slot"], "left")
     return joined.select(
         *keys,
         *[F.col(c) for c in facts.columns if c not in keys],

@@ -12,6 +12,10 @@ def cut(df: DataFrame) -> DataFrame:
     shared, so that what is written outlives an executor. Without one the frame is
     returned as it is and later steps derive it again.
     """
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        return df
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            return df
+        context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -12,6 +12,7 @@ import __spark_entry__ as entry
 from qcmart.operators import facts, marts
 from qcmart.operators.cleaning import keep_first
 from qcmart.operators.joins import hot_keys, key_counts, lookup
+from qcmart.operators.lineage import cut
 from qcmart.operators.ranking import dense_rank_spread
 from qcmart.operators.sizing import broadcast_if_small, input_bytes
 
@@ -49,10 +50,10 @@ def skewed(spark):
         .otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string")))
     )
     facts = spark.range(0, 60_000, 1, 4).select("id", key.alias("k"))
+    name = F.concat(F.lit("k"), F.col("id").cast("string"))
     table = spark.range(0, 400).select(
-        F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), F.col("id").alias("v")
+        F.when(F.col("id") == 7, "hot").otherwise(name).alias("k"), F.col("id").alias("v")
     )
-    table = table.unionAll(spark.sql("select 'hot', 7L union all select 'twice', 8L"))
     return facts, table
 
 
@@ -88,7 +89,10 @@ def test_hot_rows_do_not_meet_in_one_task(spark, skewed):
 
     with settings(spark, **conf):
         assert largest_share(facts.join(table, ["k"], "left")) > 0.3
-        assert largest_share(lookup(facts, table, ["k"], **LARGE)) < 0.2
+        spread = lookup(facts, table, ["k"], **LARGE)
+        assert largest_share(spread) < 0.2
+        shuffles = [line for line in plan(spread).splitlines() if "Exchange hash" in line]
+        assert sum("__slot" in line for line in shuffles) == 2
 
 
 def test_hot_keys(skewed):
@@ -143,6 +147,13 @@ def test_rankings_of_a_large_product_dimension(spark):
     assert rows(marts.mart_product_rankings(*args, one_task_bytes=0)) == expected
 
 
+def test_lineage_is_cut_in_the_named_folder(spark):
+    df = spark.range(10).groupBy((F.col("id") % 2).alias("k")).count()
+    assert "HashAggregate" in plan(df) and "HashAggregate" not in plan(cut(df))
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert named in spark.sparkContext.getCheckpointDir()
+
+
 def test_copies_are_dropped_before_the_shuffle(spark):
     df = spark.range(10).select((F.col("id") % 3).cast("string").alias("k"), "id")
     tree = plan(keep_first(df, ["k"], ["id"]))
