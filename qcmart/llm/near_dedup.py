@@ -30,7 +30,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from qcmart.llm import common
@@ -41,6 +41,7 @@ SLOTS = BANDS * ROWS
 PERMUTATIONS = 4096
 SEED = 7
 EMPTY = np.uint32(0xFFFFFFFF)
+STEP = 0xD6E8FEB86659FD93
 
 SIGNED = "doc_id long, n_shingles long, digest string, bands array<long>"
 SETS = "id long, shingles array<long>"
@@ -74,7 +75,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     for j in range(SLOTS):
         if not len(element):
             break
-        fraction = common.mixed(element + np.uint64(j + 1) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)
+        fraction = common.mixed(element + np.uint64((j + 1) * STEP % 2**64)) >> np.uint64(40)
         offer = (np.uint64(j << 24) | fraction).astype(np.uint32)
         np.minimum.at(flat, doc * SLOTS + table[row, j], offer)
         worst = best.max(axis=1)
@@ -196,8 +197,6 @@ def links(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
 
 def _across(rows: DataFrame, pivots: int, percent: int) -> DataFrame:
     """Members of buckets against so many pivots of other components of their bucket."""
-    from pyspark.sql import Window
-
     best = Window.partitionBy("bucket").orderBy(F.col("degree").desc(), "id")
     chosen = rows.withColumn("place", F.row_number().over(best)).where(F.col("place") <= pivots)
     chosen = chosen.select(
