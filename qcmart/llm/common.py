@@ -38,7 +38,7 @@ def stored(df: DataFrame) -> DataFrame:
     """The rows written once to the shared folder and read from there: later reads
     neither compute them again nor depend on the executors that made them."""
     path = scratch(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

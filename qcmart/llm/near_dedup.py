@@ -8,12 +8,12 @@
 2. Equal sets are one class, named by its smallest doc_id; copies count once from here on.
 3. Banding. Classes that agree in all slots of a band share a bucket. 32 bands of 5 slots miss a pair
    of similarity 0.8 with a chance of 3e-6.
-4. Verification on full sets, exact to the last shingle. In a bucket members are compared with
-   pivots, not with each other: first each with the smallest pivot of its buckets; then, only in
-   buckets that still hold several components, with 4, 16, 64, ... pivots, best connected first, and
-   only across components. A pair is verified once. This ends when every bucket is one component or
-   all its members have been pivots, so no link is lost and a group of near copies costs about as
-   many pairs as it has members.
+4. Verification on full sets, exact to the last shingle. First every candidate is compared with the
+   smallest pivot of its buckets, which joins a group of copies at the cost of a pair per member.
+   Links that this leaves out are sought by prefix filtering among the candidates: similar sets
+   share one of their rarest shingles, so only sets that do, and are not yet in one component, are
+   compared, with 4, 16, 64, ... smaller sets of a shingle, until all have been or all are one.
+   No link is lost, and documents that share a passage, however many, meet in no pair.
 5. Components by union-find (see components). The smallest doc_id of each stays.
 
 Defined results: null text, or one without words, has an empty set: it is linked with nothing and
@@ -42,6 +42,8 @@ PERMUTATIONS = 4096
 SEED = 7
 EMPTY = np.uint32(0xFFFFFFFF)
 STEP = 0xD6E8FEB86659FD93
+#: Shingles in so many candidate sets are ranked by their number, all others before them.
+FREQUENT = 16
 
 SIGNED = "doc_id long, n_shingles long, digest string, bands array<long>"
 SETS = "id long, shingles array<long>"
@@ -158,48 +160,66 @@ def _near_in_size(pairs: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(bucket, id, size, short): the rarest shingles of each set. Of two similar sets the larger
+    has in its prefix one of the short prefix of the smaller (prefix filtering), so a passage that
+    many documents share, whose shingles are not rare, brings none of them together."""
+    each = sets.select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("x"))
+    frequent = each.groupBy("x").count().where(F.col("count") >= FREQUENT)
+    dealt = sets.repartition("id").select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("x"))
+    ranked = dealt.join(common.small_side(common.stored(frequent)), "x", "left").select(
+        "id", "size", F.struct(F.coalesce("count", F.lit(0)).alias("count"), "x").alias("s")
+    )
+    ordered = ranked.groupBy("id", "size").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    size = F.col("size")
+    # similar sets share at least percent of the larger, and 2p / (100 + p) of the smaller of both
+    long = size - F.ceil(size * percent / 100) + 1
+    short = size - F.ceil(size * (2 * percent) / (100 + percent)) + 1
+    rows = ordered.select("id", "size", short.alias("n"), F.posexplode(F.slice("s", 1, long.cast("int"))).alias("at", "x"))
+    rows = rows.select(F.col("x.x").alias("bucket"), "id", "size", (F.col("at") < F.col("n")).alias("short"))
+    rows = common.stored(rows)
+    useful = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count_if("short").alias("shorts"))
+    return common.stored(rows.join(useful.where("n > 1 and shorts > 0"), "bucket"))
+
+
 def links(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Verified pairs of classes (id, size, bands) that connect all that is linked."""
     bands = classes.select("id", "size", F.explode("bands").alias("bucket"))
     shared = bands.groupBy("bucket").agg(
         F.min(F.struct("id", "size")).alias("pivot"), F.count(F.lit(1)).alias("n")
     )
-    hits = common.stored(bands.join(shared.where("n > 1"), "bucket"))
-    sets = common.stored(sets_of(docs, common.stored(hits.select("id").distinct()), width))
-    first = hits.groupBy("id", "size").agg(F.min("pivot").alias("p"))
+    hits = bands.join(shared.where("n > 1"), "bucket")
+    first = common.stored(hits.groupBy("id", "size").agg(F.min("pivot").alias("p")))
+    sets = common.stored(sets_of(docs, first.select("id"), width))
     first = first.select(
         F.col("id").alias("u"), F.col("size").alias("size_u"), F.col("p.id").alias("v"), F.col("p.size").alias("size_v")
     )
     tested = common.stored(_near_in_size(first, percent))
     found = common.stored(verified(tested, sets, percent))
+    members = prefixes(sets, percent)
     pivots = 1
     while True:
         pivots *= 4
-        groups = components(found)
-        degree = found.select(F.explode(F.array("u", "v")).alias("id")).groupBy("id").count()
-        known = degree.withColumnRenamed("count", "degree").join(groups, "id")
-        rows = hits.select("bucket", "id", "size", "n").join(common.small_side(common.stored(known)), "id", "left")
-        rows = rows.withColumns(
-            {"component": F.coalesce("component", "id"), "degree": F.coalesce("degree", F.lit(0))}
-        )
+        groups = common.small_side(common.stored(components(found)))
+        rows = members.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
         split = rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
         rows = common.stored(rows.join(split.where("a <> b").select("bucket"), "bucket", "left_semi"))
-        largest = rows.agg(F.max("n")).first()[0]
-        if largest is None:
+        most = rows.agg(F.max("shorts")).first()[0]
+        if most is None:
             return found
         pairs = common.stored(_across(rows, pivots, percent).join(tested, ["u", "v"], "left_anti"))
-        more = common.stored(verified(pairs, sets, percent))
-        found = common.stored(found.unionByName(more))
-        tested = common.stored(tested.unionByName(pairs))
-        if pivots >= largest:
+        found = common.stored(found.unionByName(verified(pairs, sets, percent)))
+        if pivots >= most:
             return found
+        tested = common.stored(tested.unionByName(pairs))
 
 
 def _across(rows: DataFrame, pivots: int, percent: int) -> DataFrame:
-    """Members of buckets against so many pivots of other components of their bucket."""
-    best = Window.partitionBy("bucket").orderBy(F.col("degree").desc(), "id")
-    chosen = rows.withColumn("place", F.row_number().over(best)).where(F.col("place") <= pivots)
-    chosen = chosen.select(
+    """Members of buckets against so many smaller members, within their short prefix, of other
+    components."""
+    best = Window.partitionBy("bucket").orderBy("size", "id")
+    chosen = rows.where("short").withColumn("place", F.row_number().over(best))
+    chosen = chosen.where(F.col("place") <= pivots).select(
         "bucket",
         F.col("id").alias("v"),
         F.col("size").alias("size_v"),
@@ -208,7 +228,9 @@ def _across(rows: DataFrame, pivots: int, percent: int) -> DataFrame:
     members = rows.select(
         "bucket", F.col("id").alias("u"), F.col("size").alias("size_u"), "component"
     )
-    return _near_in_size(members.join(chosen, "bucket").where("component <> other"), percent)
+    larger = F.struct("size_u", "u") > F.struct(F.col("size_v").alias("size_u"), F.col("v").alias("u"))
+    pairs = members.join(chosen, "bucket").where((F.col("component") != F.col("other")) & larger)
+    return _near_in_size(pairs, percent)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
