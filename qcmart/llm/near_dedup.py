@@ -12,7 +12,7 @@
    smallest pivot of its buckets, which joins a group of copies at the cost of a pair per member.
    Links that this leaves out are sought by prefix filtering among the candidates: similar sets
    share one of their rarest shingles, so only sets that do, and are not yet in one component, are
-   compared, with 4, 16, 64, ... smaller sets of a shingle, until all have been or all are one.
+   compared, with 16, 256, ... smaller sets of a shingle, until all have been or all are one.
    No link is lost, and documents that share a passage, however many, meet in no pair.
 5. Components by union-find (see components). The smallest doc_id of each stays.
 
@@ -25,7 +25,6 @@ it has an id, and connect nothing. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,14 +41,11 @@ PERMUTATIONS = 4096
 SEED = 7
 EMPTY = np.uint32(0xFFFFFFFF)
 STEP = 0xD6E8FEB86659FD93
-#: Shingles in so many candidate sets are ranked by their number, all others before them.
-FREQUENT = 16
 
 SIGNED = "doc_id long, n_shingles long, digest string, bands array<long>"
 SETS = "id long, shingles array<long>"
 
 
-@cache
 def permutations() -> np.ndarray:
     random = np.random.default_rng(SEED)
     rows = np.tile(np.arange(SLOTS, dtype=np.int64), (PERMUTATIONS, 1))
@@ -66,13 +62,14 @@ def shingle_sets(texts: list[bytes], width: int, hashes: common.WordHashes) -> l
     return out
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """The SuperMinHash signature of each set, as 8 bits of round and 24 of fraction."""
+def signatures(sets: list[np.ndarray], table: np.ndarray) -> np.ndarray:
+    """The SuperMinHash signature of each set, as 8 bits of round and 24 of fraction. table:
+    permutations()."""
     lengths = np.array([len(s) for s in sets], np.int64)
     element = np.concatenate([*sets, np.empty(0, np.uint64)])
     doc = np.repeat(np.arange(len(sets)), lengths)
     best = np.full((len(sets), SLOTS), EMPTY, np.uint32)
-    flat, table = best.reshape(-1), permutations()
+    flat = best.reshape(-1)
     row = (common.mixed(element ^ np.uint64(SEED)) % np.uint64(PERMUTATIONS)).astype(np.int64)
     for j in range(SLOTS):
         if not len(element):
@@ -104,10 +101,10 @@ def sign(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n_shingles, digest and bands of every document; both null for an empty set."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = common.WordHashes()
+        hashes, table = common.WordHashes(), permutations()
         for batch in common.batches(rows):
             sets = shingle_sets(list(common.texts(batch.column("text"))), width, hashes)
-            keys = band_keys(signatures(sets))
+            keys = band_keys(signatures(sets, table))
             full = [len(s) > 0 for s in sets]
             yield pa.RecordBatch.from_pydict(
                 {
@@ -165,21 +162,42 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     has in its prefix one of the short prefix of the smaller (prefix filtering), so a passage that
     many documents share, whose shingles are not rare, brings none of them together."""
     each = sets.select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("x"))
-    frequent = each.groupBy("x").count().where(F.col("count") >= FREQUENT)
+    counted = each.groupBy("x").count().where(F.col("count") > 1)
     dealt = sets.repartition("id").select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("x"))
-    ranked = dealt.join(common.small_side(common.stored(frequent)), "x", "left").select(
-        "id", "size", F.struct(F.coalesce("count", F.lit(0)).alias("count"), "x").alias("s")
+    ranked = dealt.join(common.small_side(common.stored(counted)), "x", "left").select(
+        "id", "size", F.struct(F.coalesce("count", F.lit(1)).alias("count"), "x").alias("s")
     )
     ordered = ranked.groupBy("id", "size").agg(F.array_sort(F.collect_list("s")).alias("s"))
     size = F.col("size")
     # similar sets share at least percent of the larger, and 2p / (100 + p) of the smaller of both
     long = size - F.ceil(size * percent / 100) + 1
     short = size - F.ceil(size * (2 * percent) / (100 + percent)) + 1
-    rows = ordered.select("id", "size", short.alias("n"), F.posexplode(F.slice("s", 1, long.cast("int"))).alias("at", "x"))
-    rows = rows.select(F.col("x.x").alias("bucket"), "id", "size", (F.col("at") < F.col("n")).alias("short"))
+    rows = ordered.select(
+        "id", "size", short.alias("n"), F.posexplode(F.slice("s", 1, long.cast("int"))).alias("at", "x")
+    )
+    rows = rows.where("x.count > 1").select(
+        F.col("x.x").alias("bucket"),
+        "id",
+        "size",
+        # two sets meet first at the rarest shingle they share, so there they share no rarer one
+        (size - F.col("at")).alias("shared"),
+        (F.col("at") < F.col("n")).alias("short"),
+    )
     rows = common.stored(rows)
-    useful = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count_if("short").alias("shorts"))
-    return common.stored(rows.join(useful.where("n > 1 and shorts > 0"), "bucket"))
+    useful = rows.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("short").alias("shorts"),
+        F.min(F.when(F.col("short"), F.col("size"))).alias("least"),
+    )
+    rows = rows.join(useful.where("n > 1 and shorts > 0"), "bucket")
+    # what a member must share even with the smallest set that it can be similar to here
+    least = F.greatest(F.col("least"), size * percent / 100)
+    return common.stored(rows.where(_can_share(F.col("shared"), size + least, percent)))
+
+
+def _can_share(shared, sizes, percent: int):
+    """Whether two sets of these sizes together can be similar, sharing no more than so many."""
+    return shared * (100 + percent) >= percent * sizes
 
 
 def links(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -197,23 +215,31 @@ def links(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     tested = common.stored(_near_in_size(first, percent))
     found = common.stored(verified(tested, sets, percent))
     members = prefixes(sets, percent)
-    pivots = 1
+    pivots, rows = 1, None
     while True:
-        pivots *= 4
-        groups = common.small_side(common.stored(components(found)))
-        rows = members.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        split = rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-        rows = common.stored(rows.join(split.where("a <> b").select("bucket"), "bucket", "left_semi"))
-        most = rows.agg(F.max("shorts")).first()[0]
+        pivots *= 16
+        if rows is None:
+            rows = _undecided(members, components(found))
+            most = rows.agg(F.max("shorts")).first()[0]
         if most is None:
             return found
         pairs = common.stored(_across(rows, pivots, percent).join(tested, ["u", "v"], "left_anti"))
-        found = common.stored(found.unionByName(verified(pairs, sets, percent)))
+        more = common.stored(verified(pairs, sets, percent))
+        if not more.isEmpty():
+            found, rows = common.stored(found.unionByName(more)), None
         if pivots >= most:
             return found
         tested = common.stored(tested.unionByName(pairs))
 
 
+def _undecided(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with theirs."""
+    groups = common.small_side(common.stored(groups))
+    rows = members.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    split = rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+    return common.stored(rows.join(split.where("a <> b").select("bucket"), "bucket", "left_semi"))
+
+
 def _across(rows: DataFrame, pivots: int, percent: int) -> DataFrame:
     """Members of buckets against so many smaller members, within their short prefix, of other
     components."""
@@ -223,13 +249,15 @@ def _across(rows: DataFrame, pivots: int, percent: int) -> DataFrame:
         "bucket",
         F.col("id").alias("v"),
         F.col("size").alias("size_v"),
+        F.col("shared").alias("shared_v"),
         F.col("component").alias("other"),
     )
     members = rows.select(
-        "bucket", F.col("id").alias("u"), F.col("size").alias("size_u"), "component"
+        "bucket", F.col("id").alias("u"), F.col("size").alias("size_u"), F.col("shared").alias("shared_u"), "component"
     )
     larger = F.struct("size_u", "u") > F.struct(F.col("size_v").alias("size_u"), F.col("v").alias("u"))
-    pairs = members.join(chosen, "bucket").where((F.col("component") != F.col("other")) & larger)
+    can = _can_share(F.least("shared_u", "shared_v"), F.col("size_u") + F.col("size_v"), percent)
+    pairs = members.join(chosen, "bucket").where((F.col("component") != F.col("other")) & larger & can)
     return _near_in_size(pairs, percent)
 
 
