@@ -89,9 +89,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ).where(F.size("item_tokens") >= LEAST_TOKENS)
     found = common.stored(alignments(docs, items.withColumnRenamed("item_tokens", "tokens")))
     texts = items.select("item", "item_tokens").dropDuplicates(["item"])
-    found = found.join(common.small_side(common.stored(texts), 100_000), "item")
     rows = docs.join(common.small_side(found.select("key").distinct()), "key", "left_semi")
-    rows = rows.join(common.small_side(common.stored(found), 100_000), "key")
+    rows = rows.join(common.small_side(found), "key").join(texts, "item")
     same, agreed = agreement()
     rows = rows.withColumn("same", same).withColumn("n_agree", agreed)
     need = F.when(F.size("item_tokens") >= WINDOW, F.lit(AGREE)).otherwise(F.size("item_tokens"))
