@@ -225,7 +225,7 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
     wanted = schema if payloads else common.schema_of(RECORDS.rsplit(",", 1)[0])
     # a file is read by one task; the names alone are dealt out
     names_only = manifest.select("file")
-    return names_only.repartition(F.col("file")).mapInArrow(run, wanted)
+    return names_only.repartition(max(1, manifest.count()), "file").mapInArrow(run, wanted)
 
 
 def _rows(held: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
