@@ -54,13 +54,14 @@ def as_day(text: Column) -> Column:
 
 
 def as_number(text: Column) -> Column:
-    """Double, NULL when unreadable.
+    """Finite double, NULL when unreadable. Infinity and NaN, however spelled, are unreadable.
 
     A trailing ``d`` or ``f`` is Java's type suffix and not part of a number.
     """
     digits = F.rtrim(text)
     suffixed = reduce(or_, [digits.endswith(letter) for letter in "dDfF"])
-    return F.when(~suffixed, text.try_cast("double"))
+    number = text.try_cast("double")
+    return F.when(~suffixed & (F.abs(number) < float("inf")), number)
 
 
 def as_whole_number(text: Column) -> Column:

@@ -35,7 +35,8 @@ def violation(rule: Rule) -> str:
     if rule.kind == "not_null":
         return f"{rule.column} is null"
     if rule.kind == "accepted_values":
-        accepted = ", ".join(f"'{v}'" for v in rule.values)
+        quoted = (str(v).replace("\\", "\\\\").replace("'", "\\'") for v in rule.values)
+        accepted = ", ".join(f"'{v}'" for v in quoted)
         return f"{rule.column} not in ({accepted})"
     if rule.kind == "expression":
         return f"not ({rule.column} {rule.expression})"

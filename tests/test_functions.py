@@ -120,3 +120,9 @@ def test_surrogate_keys(spark):
     assert one(spark, Q.surrogate_key(F.lit("P1"))) == md5("P1")
     assert one(spark, Q.surrogate_key(F.lit(None))) == md5(missing)
     assert one(spark, Q.surrogate_key(F.lit("a"), F.lit(None))) == md5(f"a-{missing}")
+
+
+def test_infinite_numbers_are_unreadable(spark):
+    text = ["Infinity", "-Infinity", "inf", "NaN", "1e400", " 2.5 "]
+    rows = spark.createDataFrame([(t,) for t in text], "t string").select(Q.as_number(F.col("t")).alias("n"))
+    assert [r.n for r in rows.collect()] == [None, None, None, None, None, 2.5]

@@ -300,3 +300,9 @@ def test_line_without_order_id_is_an_orphan(spark):
     for likely in (None, orders.where("false"), orders):
         got = quality.daily_orphans(items, orders, likely).first()
         assert (got.item_rows, got.orphaned_items) == (4, 3)
+
+
+def test_accepted_values_may_hold_quotes(spark):
+    rule = quality.Rule("t", "c", "accepted_values", values=("it's", "a"))
+    rows = spark.createDataFrame([("it's",), ("a",), ("b",)], "c string")
+    assert [r.c for r in quality.failing_rows(rows, rule).collect()] == ["b"]

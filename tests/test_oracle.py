@@ -19,11 +19,15 @@ def duck():
     con.close()
 
 
+#: The training-data queries have tests of their own.
+NAMES = [n for n in entry.queries() if not n.startswith("op") and n != "pipeline"]
+
+
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert set(NAMES) <= entry.oracle_sql().keys() <= entry.queries().keys()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_matches_sql(spark, duck, name):
     sql = entry.oracle_sql()[name]
     df = entry.queries()[name](spark, SF_DIR)
