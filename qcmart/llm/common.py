@@ -77,7 +77,7 @@ def texts(column: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
 class WordHashes(dict):
     """64-bit hashes of words, each computed once while the table is small."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -130,6 +130,8 @@ def batches(rows: Iterable[pa.RecordBatch], words: int = 400_000, text: str = "t
         for a, b in zip(edges, edges[1:], strict=False):
             if b > a:
                 yield batch.slice(a, b - a)
+        del batch, sizes, cut
+        pa.default_memory_pool().release_unused()  # or a worker keeps the most that it ever held
 
 
 def added(df: DataFrame, width: int = 64) -> DataFrame:

@@ -127,7 +127,7 @@ class Codes(dict):
         self.lexicon = lexicon
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         value = self[word] = self.lexicon.code(word)
         return value
