@@ -84,6 +84,30 @@ BLOCKS: dict[str, str] = {
                try_cast(delivery_minutes as integer) as delivery_minutes,
                coalesce(try_cast(is_late as boolean), true) as is_late, date, key, copy
         from order_text""",
+    "line_text": """
+        select case when key % 211 <> 0 then order_item_id end as order_item_id, order_id,
+               case when key % 107 = 0 then 'NA' else product_id end as product_id,
+               case when key % 97 = 0 then qty::varchar || '.5'
+                    when key % 83 = 0 then '99999999999' when key % 89 = 0 then 'inf'
+                    when key % 103 = 0 then '' when key % 101 = 0 then 'abc'
+                    else qty::varchar end as qty,
+               case when key % 79 = 0 then 'Infinity' when key % 73 = 0 then ''
+                    else unit_price::varchar end as unit_price,
+               case when key % 71 = 0 then 'NaN' when key % 67 = 0 then '12f'
+                    else line_total::varchar end as line_total,
+               date, copy
+        from (select *, substr(order_id, 4)::bigint * 10
+                        + split_part(order_item_id, '-', 2)::bigint as key
+              from order_lines)""",
+    "typed_lines": """
+        select order_item_id, order_id, nullif(product_id, 'NA') as product_id, qty as qty_text,
+               case when isfinite(try_cast(qty as double)) then try_cast(qty as double) end as qty,
+               case when isfinite(try_cast(unit_price as double))
+                    then try_cast(unit_price as double) end as unit_price,
+               case when isfinite(try_cast(line_total as double))
+                    then try_cast(line_total as double) end as line_total,
+               product_id as product_text, date, copy
+        from line_text""",
     "stg_orders": """
         select order_id, customer_id, store_id, city, created_at, date as order_date,
                lower(trim(status)) as status, total_amount::decimal(12, 2) as total_amount,
@@ -315,6 +339,17 @@ def oracle_sql() -> dict[str, str]:
             where order_id is not null and customer_id is not null
               and store_id is not null and created_at is not null
             qualify row_number() over (partition by order_id order by key, copy) = 1"""),
+        "clean_order_items_coerce": _query("""
+            select order_item_id, order_id, product_id,
+                   try_cast(try_cast(qty as integer) as bigint) as qty, unit_price, line_total, date
+            from typed_lines
+            where order_item_id is not null and product_id is not null
+              and (qty is null or qty = trunc(qty))
+            qualify row_number() over (partition by order_item_id order by copy) = 1"""),
+        "rejected_order_items": _query("""
+            select order_item_id, order_id, product_text as product_id, qty_text as qty,
+                   date::varchar as date, line_total
+            from typed_lines where qty <> trunc(qty)"""),
         "stg_orders": _surface("stg_orders", "order_hour order_dow delivery_minutes", "total_amount"),
         "stg_order_items": _surface("stg_order_items", "qty", "unit_price line_total"),
         "stg_products": _surface("stg_products", money="mrp"),

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and go on from there.
+    """Write ``df`` to a new folder in the one that driver and executors share, and read it there.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``; it must be
-    shared, so that what is written outlives an executor. Without one the frame is
-    returned as it is and later steps derive it again.
+    The session names the shared folder in ``spark.checkpoint.dir``. Only where it names
+    none, as on a single machine, a temporary one is named here.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            return df
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="qcmart-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder.rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qcmart.functions import davg, pct, quotient_avg, ratio, sql_round
-from qcmart.operators.ranking import dense_rank_desc, dense_rank_spread
-from qcmart.operators.sizing import ONE_TASK_BYTES, broadcast_if_small, input_bytes
+from qcmart.operators.ranking import dense_rank_spread
+from qcmart.operators.sizing import broadcast_if_small
 
 # Presentation order of each mart: (column, descending?).
 MART_ORDER = {
@@ -131,13 +131,12 @@ def mart_product_rankings(
     items: DataFrame,
     products: DataFrame,
     calendar: DataFrame,
-    one_task_bytes: int = ONE_TASK_BYTES,
     **bounds: int,
 ) -> DataFrame:
     """Delivered sales per month and product, ranked by revenue.
 
-    A rank group holds at most one row per product. While the product dimension fits
-    one task a plain window ranks it; a larger one is ranked in ranges.
+    A rank group holds one row per product. The monthly rows are written once and ranked
+    in ranges, however few or many products there are.
     """
     months = F.broadcast(calendar.select("date_key", "year", "month"))
     sold = items.where(_with_status("delivered") & F.col("product_key").isNotNull())
@@ -157,12 +156,7 @@ def mart_product_rankings(
         "rank_in_category": ["year", "month", "category"],
         "overall_rank": ["year", "month"],
     }
-    if input_bytes(products) <= one_task_bytes:
-        sales = sales.withColumns(
-            {out: dense_rank_desc(by, "total_revenue") for out, by in ranks.items()}
-        )
-    else:
-        sales = dense_rank_spread(sales, "total_revenue", ranks, **bounds)
+    sales = dense_rank_spread(sales, "total_revenue", ranks, **bounds)
     return sales.select(
         "year",
         "month",

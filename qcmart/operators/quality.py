@@ -103,19 +103,23 @@ def daily_orphans(
     match nearly all lines, leaves only the rest to be sought among all orders.
     """
     items = raw_order_items.where("date is not null")
-    unmatched = items.groupBy("date", "order_id").agg(F.count(F.lit(1)).alias("lines"))
-    orders = raw_orders.select("order_id")
+    lines = items.groupBy("date", "order_id").agg(F.count(F.lit(1)).alias("lines"))
+    first = raw_orders if likely_orders is None else likely_orders
+    lines = lines.join(_ids(first, "__known"), "order_id", "left")
+    orphaned = F.col("__known").isNull()
     if likely_orders is not None:
-        likely = likely_orders.select("order_id")
-        unmatched = unmatched.join(likely, "order_id", "left_anti")
-        orders = orders.join(unmatched.select("order_id"), "order_id", "left_semi")
-    orphans = (
-        unmatched.join(orders, "order_id", "left_anti")
-        .groupBy("date")
-        .agg(F.sum("lines").alias("orphaned_items"))
+        rest = lines.where(orphaned).select("order_id")
+        others = raw_orders.join(rest, "order_id", "left_semi")
+        lines = lines.join(_ids(others, "__found"), "order_id", "left")
+        orphaned &= F.col("__found").isNull()
+    return lines.groupBy("date").agg(
+        F.sum("lines").alias("item_rows"),
+        F.sum(F.when(orphaned, F.col("lines")).otherwise(0)).alias("orphaned_items"),
     )
-    rows = items.groupBy("date").agg(F.count(F.lit(1)).alias("item_rows"))
-    return rows.join(orphans, "date", "left").na.fill(0, ["orphaned_items"])
+
+
+def _ids(orders: DataFrame, mark: str) -> DataFrame:
+    return orders.select("order_id").distinct().withColumn(mark, F.lit(True))
 
 
 # Name, checked table, measured value and passing condition of each daily check.
@@ -131,16 +135,19 @@ DAILY_CHECKS: Sequence[tuple[str, str, str, str, str]] = (
 def daily_check_results(
     raw_orders: DataFrame,
     raw_order_items: DataFrame,
-    all_orders: DataFrame,
+    all_orders: DataFrame | None = None,
     min_rows: int = 100,
 ) -> DataFrame:
     """One row per day with orders and per check, shaped like the audit trail.
 
     ``raw_orders`` and ``raw_order_items`` hold the days to check; ``all_orders`` the
-    orders of every day. Days without orders are not checked.
+    orders of every day, where those are more. Days without orders are not checked.
     """
     days = daily_order_counts(raw_orders, min_rows).where("date is not null")
-    orphans = daily_orphans(raw_order_items, all_orders, likely_orders=raw_orders)
+    if all_orders is None:
+        orphans = daily_orphans(raw_order_items, raw_orders)
+    else:
+        orphans = daily_orphans(raw_order_items, all_orders, likely_orders=raw_orders)
     days = days.join(orphans, "date", "left").na.fill(0, ["item_rows", "orphaned_items"])
     checks = [
         F.struct(

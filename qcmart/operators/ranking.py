@@ -11,26 +11,25 @@ from pyspark.sql import functions as F
 from qcmart.operators.joins import key_counts, lookup
 from qcmart.operators.lineage import cut
 
-# Values per step of the ranking: a sorted group never holds more rows than this,
-# and no more than the range of a bigint allows at the top step.
-STEP = 1_000_000
+# Width of a range of values: with two digits, a range holds at most a million of them.
+STEP = 10_000
 
-# Stands for a NULL value, below every real amount.
-LOWEST = -9_000_000_000_000_000_000
-
-
-def dense_rank_desc(groups: list[str], value: str) -> Column:
-    """Plain window rank, for groups known to fit one task."""
-    order = F.col(value).desc_nulls_last()
-    return F.dense_rank().over(W.partitionBy(*groups).orderBy(order)).cast("bigint")
+# Width of a block of ranges: a block holds at most a million.
+BLOCK = 10_000_000_000
 
 
 def _ranks(values: DataFrame, out: str) -> DataFrame:
-    """Rank of every (``__group``, ``__cents``), highest first, as column ``out``."""
-    upper = f"(__cents - pmod(__cents, {STEP})) div {STEP}"
-    top = f"(__upper - pmod(__upper, {STEP})) div {STEP}"
-    values = values.drop("__rows")
-    values = values.withColumn("__upper", F.expr(upper)).withColumn("__top", F.expr(top))
+    """Rank of every (``__group``, ``__value``), highest first, as column ``out``.
+
+    Values, ranges and blocks are structs, in which a NULL equals a NULL and sorts last.
+    """
+    value = "__value.v"
+    values = values.drop("__rows").withColumns(
+        {
+            "__upper": F.expr(f"struct({value} - pmod({value}, {STEP}BD) as v)"),
+            "__top": F.expr(f"struct({value} - pmod({value}, {BLOCK}BD) as v)"),
+        }
+    )
     ranges = values.groupBy("__group", "__top", "__upper").agg(F.count("*").alias("__n"))
     blocks = ranges.groupBy("__group", "__top").agg(F.sum("__n").alias("__n"))
 
@@ -43,12 +42,12 @@ def _ranks(values: DataFrame, out: str) -> DataFrame:
     ranges = ranges.select(
         "__group", "__top", "__upper", above(["__group", "__top"], "__upper").alias("__r")
     )
-    place = W.partitionBy("__group", "__top", "__upper").orderBy(F.col("__cents").desc())
+    place = W.partitionBy("__group", "__top", "__upper").orderBy(F.col("__value").desc())
     return (
         values.withColumn("__place", F.row_number().over(place))
         .join(ranges, ["__group", "__top", "__upper"])
         .join(blocks, ["__group", "__top"])
-        .select("__group", "__cents", F.expr("__b + __r + __place").alias(out))
+        .select("__group", "__value", F.expr("__b + __r + __place").alias(out))
     )
 
 
@@ -59,14 +58,14 @@ def dense_rank_spread(
     ``ranks``: name of the rank to its grouping columns.
 
     The rank of a value is one plus the number of distinct greater values. Distinct
-    values in whole cents are split by their leading digits into ranges, counted per
-    range, and the counts are summed from the top range down. Each window then sorts
-    at most ``STEP`` rows, however many rows a group has. NULL values rank last.
+    values are split into ranges, counted per range, and the counts are summed from the
+    top range down, all in exact decimals. No window sorts more than a million rows of a
+    group, short of values beyond 10^16. NULL values rank last. ``df`` is written once to
+    the shared folder, so that what made it is not derived again.
     """
     ranked = source = cut(df)
-    cents = F.coalesce((F.col(value) * 100).cast("bigint"), F.lit(LOWEST))
     for out, groups in ranks.items():
-        keys = {"__group": F.struct(*groups), "__cents": cents}
+        keys = {"__group": F.struct(*groups), "__value": F.struct(F.col(value).alias("v"))}
         values = key_counts(source.withColumns(keys), list(keys))
         ranked = lookup(
             ranked.withColumns(keys),

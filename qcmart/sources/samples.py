@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from qcmart.operators.cleaning import keep_first
 from qcmart.operators.joins import key_counts, lookup
-from qcmart.sources.schemas import RAW_ORDERS
+from qcmart.sources.schemas import RAW_ORDER_ITEMS, RAW_ORDERS
 
 # Rows of one order line are told apart by these columns.
 LINE_ORDER = (
@@ -213,3 +213,27 @@ def raw_order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = planted.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
     lost = F.when(F.col("copy") == 1, "lost").otherwise(F.col("status"))
     return copies.withColumn("status", lost)
+
+
+def raw_order_line_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as untrusted text, with all their copies and unreadable, infinite, too
+    large and fractional values throughout. LINE_ORDER gives the order of the copies."""
+    lines = raw_order_lines(spark, sf_dir)
+    number = F.substring("order_id", 4, 20).cast("bigint") * 10
+    key = number + F.substring_index("order_item_id", "-", -1).cast("bigint")
+    text = lines.withColumns({c: F.col(c).cast("string") for c in RAW_ORDER_ITEMS.names} | {"key": key})
+    qty = _planted("key", 101, F.lit("abc"), F.col("qty"))
+    qty = _planted("key", 103, F.lit(""), qty)
+    qty = _planted("key", 89, F.lit("inf"), qty)
+    qty = _planted("key", 83, F.lit("99999999999"), qty)
+    price = _planted("key", 73, F.lit(""), F.col("unit_price"))
+    total = _planted("key", 67, F.lit("12f"), F.col("line_total"))
+    return text.withColumns(
+        {
+            "order_item_id": _planted("key", 211, F.lit(None).cast("string"), F.col("order_item_id")),
+            "product_id": _planted("key", 107, F.lit("NA"), F.col("product_id")),
+            "qty": _planted("key", 97, F.concat("qty", F.lit(".5")), qty),
+            "unit_price": _planted("key", 79, F.lit("Infinity"), price),
+            "line_total": _planted("key", 71, F.lit("NaN"), total),
+        }
+    )
