@@ -105,7 +105,12 @@ def mart_store_performance(
     or outside the calendar are left out."""
     known = orders.where("date_key is not null and store_key is not null")
     keys = ["date_key", "store_key"]
-    sales = _grouped(known, keys, _order_measures() | {"peak_hour": _peak_hour()})
+    measures = _order_measures() | {"peak_hour": _peak_hour()}
+    # counted apart, or every customer's row of the shuffle would carry all counters
+    del measures["unique_customers"]
+    buyers = known.select(*keys, "customer_key").distinct()
+    buyers = buyers.groupBy(*keys).agg(F.count("customer_key").alias("unique_customers"))
+    sales = _grouped(known, keys, measures).join(buyers, keys)
     places = stores.select("store_key", "store_id", "city", "zone", "city_tier")
     sales = sales.join(broadcast_if_small(places), "store_key")
     return sales.join(F.broadcast(calendar), "date_key").select(
