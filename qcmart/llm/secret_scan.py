@@ -6,7 +6,8 @@
    and owner are made distinct before they are counted, so a value in a third of all documents is a
    few rows per owner.
 3. A value that ``widely`` owners hold is a copied example. Any other value that looks random is taken
-   for a live credential of its owner; the rest is weak.
+   for a live credential of its owner; the rest is weak. Placeholders within a value don't count for
+   it, and those in private keys, jwt and github tokens not against it.
 
 Here a document is a repository and its source the owner; both are parameters.
 
@@ -51,6 +52,10 @@ KINDS = (*BASE, *MORE)
 
 WIDELY = 3
 LEAST_ENTROPY = 2.5
+#: So many characters must be left of a value without its placeholders: as many as a hex span has.
+LEAST_LEFT = 16
+#: Kinds whose format proves a value, whatever it spells: encoded keys hold runs of A for their zeros.
+PROVEN = frozenset({"github", "jwt", "pem"})
 PLACEHOLDER = re.compile(r"example|sample|dummy|changeme|placeholder|your[_-]?|x{4,}|(.)\1{5,}", re.I)
 
 FOUND = (
@@ -80,10 +85,14 @@ def find(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(out)
 
 
-def looks_random(value: str) -> bool:
-    """Whether a value is no placeholder and its characters vary as those of a random one."""
-    if PLACEHOLDER.search(value):
-        return False
+def looks_random(value: str, kind: str) -> bool:
+    """Whether the characters of a value vary as those of a random one; those that are left without
+    placeholders, if its kind doesn't prove it."""
+    if kind not in PROVEN:
+        left = PLACEHOLDER.sub("", value)
+        if left != value and len(left) < LEAST_LEFT:
+            return False
+        value = left
     n = len(value)
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) >= LEAST_ENTROPY
 
@@ -111,7 +120,7 @@ def _scan(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         "start": a,
                         "stop": b,
                         "value": hashlib.sha256(v.encode()).hexdigest(),
-                        "random": looks_random(v),
+                        "random": looks_random(v, KINDS[k]),
                     }
                     for a, k, b, v in spans
                 ]
