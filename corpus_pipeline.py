@@ -33,11 +33,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: its smallest doc_id."""
-    groups = near_dedup.near_duplicates(docs.select("doc_id", "text"))
-    gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    gone = common.small_side(common.stored(gone))
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    """One document of each group of near copies stays: its smallest doc_id. Rows are told apart by id
+    and text; one without an id goes only if its words are those of one with an id."""
+    own = F.col("doc_id").cast("long")
+    rows = docs.select(_key().alias("key"), own.alias("own"), F.when(own.isNotNull(), _key()).alias("doc_id"), "text")
+    rows = common.stored(near_dedup.near_duplicates(rows, keep="key long, own long"))
+    # of groups of one key nothing goes
+    smallest = rows.groupBy("component_id").agg(
+        F.min("own").alias("smallest"), F.min("key").alias("a"), F.max("key").alias("b")
+    )
+    smallest = common.small_side(common.stored(smallest.where("a <> b").select("component_id", "smallest")))
+    gone = rows.join(smallest, "component_id").where("own is null or own <> smallest")
+    gone = common.small_side(common.stored(gone.select("key").distinct()))
+    return docs.join(gone, _key() == F.col("key"), "left_anti")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

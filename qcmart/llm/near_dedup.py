@@ -97,8 +97,10 @@ def digest_of(shingles: np.ndarray) -> str:
     return xxhash.xxh3_128_hexdigest(shingles.tobytes())
 
 
-def sign(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, digest and bands of every document; both null for an empty set."""
+def sign(docs: DataFrame, width: int, keep: str = "") -> DataFrame:
+    """doc_id, n_shingles, digest and bands of every document; both null for an empty set. keep: more
+    columns to keep (a DDL list)."""
+    names = common.schema_of(keep).names if keep else []
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, table = common.WordHashes(), permutations()
@@ -107,7 +109,8 @@ def sign(docs: DataFrame, width: int) -> DataFrame:
             keys = band_keys(signatures(sets, table))
             full = [len(s) > 0 for s in sets]
             yield pa.RecordBatch.from_pydict(
-                {
+                {k: batch.column(k) for k in names}
+                | {
                     "doc_id": batch.column("doc_id"),
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                     "digest": pa.array(
@@ -119,7 +122,7 @@ def sign(docs: DataFrame, width: int) -> DataFrame:
                 }
             )
 
-    return docs.mapInArrow(run, SIGNED)
+    return docs.mapInArrow(run, ", ".join([*([keep] if keep else []), SIGNED]))
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -261,10 +264,11 @@ def _across(rows: DataFrame, pivots: int, percent: int) -> DataFrame:
     return _near_in_size(pairs, percent)
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row."""
-    docs = common.clean_columns(docs, {"doc_id": "long", "text": "string"})
-    signed = common.stored(sign(docs, width))
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, keep: str = "") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row, after the columns to keep (a DDL list)."""
+    kept = {f.name: f.dataType.simpleString() for f in common.schema_of(keep)} if keep else {}
+    docs = common.clean_columns(docs, kept | {"doc_id": "long", "text": "string"})
+    signed = common.stored(sign(docs, width, keep))
     classes = signed.where("digest is not null").groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands")
     )
@@ -272,10 +276,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     groups = components(links(named, docs, width, percent))
     names = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"))
     names = names.join(groups, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
-    rows = signed.select("doc_id", "n_shingles", "digest").join(names, "digest", "left")
+    rows = signed.select(*kept, "doc_id", "n_shingles", "digest").join(names, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        *kept, "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
 
 
