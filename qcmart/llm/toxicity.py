@@ -1,7 +1,9 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
 Training rows are labelled documents outside the held-out fold; at most TRAIN_ROWS of them, those of
-the smallest hashed ids, are used, which bounds what fitting costs. From them are learned
+the smallest hashed ids, are used, which bounds what fitting costs. A label that fewer than
+LEAST_OF_LABEL of these have is filled up to as many from all rows, and rows weigh as many as they
+stand for. From them are learned
 
 1. a lexicon: words and word beginnings, with how many toxic and clean documents hold each, kept if
    much likelier in toxic ones (at most LEXICON terms), beside a few common insults;
@@ -15,7 +17,8 @@ Only the text is an input of a score. Features are computed over whole texts.
 
 Defined results: null or empty text has features of zero and is scored by them. Labels that are null
 don't count; a document with several labels is toxic if one says so. Without labels of both kinds
-every score is the share of toxic labels, zero if there are none. Repeated rows get equal scores.
+every score is the share of toxic labels, zero if there are none. With fewer than LEAST_TO_FIT of a
+kind among all labels, texts with a common insult are toxic. Repeated rows get equal scores.
 Other columns are ignored.
 """
 
@@ -38,6 +41,8 @@ from pyspark.sql import functions as F
 from qcmart.llm import common
 
 TRAIN_ROWS = 20_000
+LEAST_OF_LABEL = 2_000
+LEAST_TO_FIT = 5
 LEXICON = 4_096
 FOLDS = 5
 STEPS = 1_000
@@ -189,15 +194,30 @@ def fold(mod: int) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:
-    """doc_id, text, label of at most so many labelled documents outside the held-out fold."""
+    """doc_id, text, label and stands_for of at most so many labelled documents outside the held-out fold, and
+    of some more with a rare label."""
     labels = common.clean_columns(labels, {"doc_id": "long", "toxic": "int"})
     labels = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(FOLDS) != 0))
     labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    some = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = docs.join(F.broadcast(common.stored(some)), "doc_id")
+    labels = common.stored(labels)
+    order = F.xxhash64("doc_id"), "doc_id"
+    some = common.stored(labels.orderBy(*order).limit(most))
+    least, all_, taken = min(LEAST_OF_LABEL, most // 2), _by_label(labels), _by_label(some)
+    for label, n in all_.items():
+        if taken.get(label, 0) < min(n, least):
+            more = labels.where(F.col("label") == label).orderBy(*order).limit(least)
+            some = common.stored(some.where(F.col("label") != label).unionByName(more))
+            taken[label] = min(n, least)
+    weight = {label: n / taken[label] for label, n in all_.items()}
+    some = some.withColumn("stands_for", F.when(F.col("label") == 1, weight.get(1, 1.0)).otherwise(weight.get(0, 1.0)))
+    rows = docs.join(F.broadcast(some), "doc_id")
     return common.stored(rows.dropDuplicates(["doc_id"]))
 
 
+def _by_label(rows: DataFrame) -> dict[int, int]:
+    return {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+
+
 def learned(rows: DataFrame) -> Lexicon:
     """The lexicon of training rows."""
 
@@ -221,7 +241,7 @@ def learned(rows: DataFrame) -> Lexicon:
                     yield told()
         yield told()
 
-    totals = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    totals = _by_label(rows)
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     counts = rows.mapInArrow(count, "term string, clean long, toxic long").groupBy("term")
     counts = counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -261,18 +281,21 @@ class Model:
         self.share = toxic / (toxic + clean) if toxic + clean else 0.0
         self.trees = self.curve = None
         self.assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-        if min(toxic, clean) < 5:
+        self.few = 0 < min(toxic, clean) < LEAST_TO_FIT
+        if min(toxic, clean) < LEAST_TO_FIT:
             return
-        known = featured(rows, self.lexicon, "doc_id long, label int", with_label=True)
-        known = common.stored(self.assembler.transform(known).select("doc_id", "label", "features"))
+        known = featured(rows, self.lexicon, "doc_id long, label int, stands_for double", with_label=True)
+        known = common.stored(self.assembler.transform(known).select("doc_id", "label", "stands_for", "features"))
         apart = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(5)) == 0
         trees = GBTClassifier(
-            labelCol="label", maxIter=25, maxDepth=4, stepSize=0.2, subsamplingRate=0.8, seed=5, checkpointInterval=-1
+            labelCol="label", weightCol="stands_for", maxIter=25, maxDepth=4, stepSize=0.2, subsamplingRate=0.8, seed=5, checkpointInterval=-1
         )
         self.trees = trees.fit(known.where(~apart).coalesce(6))
         judged = self.raw(known.where(apart))
         steps = judged.groupBy(F.round(F.col("raw") * STEPS).alias("step")).agg(
-            F.avg("raw").alias("raw"), F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight")
+            F.avg("raw").alias("raw"),
+            (F.sum(F.col("label") * F.col("stands_for")) / F.sum("stands_for")).alias("label"),
+            F.sum("stands_for").alias("weight"),
         )
         curve = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight")
         self.curve = curve.fit(common.stored(steps).coalesce(1))
@@ -284,6 +307,8 @@ class Model:
 
     def transform(self, docs: DataFrame, keep: str) -> DataFrame:
         rows = featured(docs, self.lexicon, keep)
+        if self.few:
+            return rows.withColumn("score", F.when(F.col("insults") > 0, 0.5 + F.col("insults") / 2).otherwise(0.0))
         if self.trees is None:
             return rows.withColumn("score", F.lit(self.share))
         rows = self.raw(self.assembler.transform(rows))
