@@ -1,11 +1,11 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
-
-Documents are dealt into blocks. Every block is a reference to every other: a document is
-factored greedily against all of them, a factor being a maximal run of words whose every window
-of ``width`` words also starts earlier in the corpus (smaller doc_id, or earlier in the same
-document). Windows that straddle two factors are looked up like any other, so a factor ends
-exactly where the corpus stops repeating. Factors are at least ``width`` words long and are the
-duplicate spans.
+"""Substring dedup by looking up windows of words.
+
+Documents are dealt into blocks, and every block is compared with every other. Every window of
+``width`` words that also starts earlier in the corpus (smaller doc_id, or earlier in the same
+document) is repeated, and so are its words. The duplicate spans, called factors, are the maximal
+runs of repeated words, at least ``width`` long. They are no factors of a relative Lempel-Ziv
+parsing: they have no source, and where two repeated passages abut they are one run, though the
+windows across the seam are not repeated.
 
 The index is exchanged as packed arrays. A window is named by the smallest of its 8-word hashes
 (equal windows have equal smallest hashes); first only these, one seventh of the words, meet
