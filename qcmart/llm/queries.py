@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and the SQL that checks them."""
 
-from qcmart.llm import chat_format, decontamination, near_dedup, warc
+from qcmart.llm import chat_format, decontamination, filter_audit, near_dedup, warc
 from qcmart.llm.chat_format import op3_chat_format
 from qcmart.llm.decontamination import op6_decontamination
+from qcmart.llm.filter_audit import op11_filter_audit
 from qcmart.llm.lm_scoring import op1_lm_scoring
 from qcmart.llm.multi_index import op4_multi_index
 from qcmart.llm.near_dedup import op10_minhash_near_dedup
@@ -25,6 +26,7 @@ QUERIES = {
         op8_warc,
         op9_secret_scan,
         op10_minhash_near_dedup,
+        op11_filter_audit,
     )
 }
 
@@ -33,4 +35,5 @@ ORACLE_SQL = {
     "op6_decontamination": decontamination.ORACLE,
     "op8_warc": warc.ORACLE,
     "op10_minhash_near_dedup": near_dedup.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
 }
