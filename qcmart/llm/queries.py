@@ -12,6 +12,7 @@ from qcmart.llm.source_mixing import op2_source_mixing
 from qcmart.llm.substring_dedup import op5_substring_dedup
 from qcmart.llm.toxicity import op7_toxicity
 from qcmart.llm.warc import op8_warc
+from qcmart.llm.whitening import op13_embedding_whitening
 
 QUERIES = {
     f.__name__: f
@@ -27,6 +28,7 @@ QUERIES = {
         op9_secret_scan,
         op10_minhash_near_dedup,
         op11_filter_audit,
+        op13_embedding_whitening,
     )
 }
 
