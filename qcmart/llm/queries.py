@@ -4,6 +4,7 @@ from qcmart.llm import chat_format, decontamination, filter_audit, near_dedup, w
 from qcmart.llm.chat_format import op3_chat_format
 from qcmart.llm.decontamination import op6_decontamination
 from qcmart.llm.filter_audit import op11_filter_audit
+from qcmart.llm.language_mixture import op12_language_mixture
 from qcmart.llm.lm_scoring import op1_lm_scoring
 from qcmart.llm.multi_index import op4_multi_index
 from qcmart.llm.near_dedup import op10_minhash_near_dedup
@@ -28,6 +29,7 @@ QUERIES = {
         op9_secret_scan,
         op10_minhash_near_dedup,
         op11_filter_audit,
+        op12_language_mixture,
         op13_embedding_whitening,
     )
 }
