@@ -102,7 +102,7 @@ def bits(failing: Sequence[Column]) -> Column:
 def failures(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """part, mask, good, toxic of every document; mask has the bits of the filters A to E that it fails.
 
-    Both joins are on narrow rows and spread by Spark where a text or null id has very many.
+    Both joins are of narrow rows with stored tables, so Spark can split a text or null id that has very many.
     """
     docs = common.clean_columns(docs, {"doc_id": "long", "text": "string", "lang": "string"})
     docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
@@ -116,13 +116,13 @@ def failures(docs: DataFrame, labels: DataFrame) -> DataFrame:
         )
     )
     first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    first = first.where("first < last").select("digest", "first")
+    first = common.stored(first.where("first < last").select("digest", "first"))
     labels = common.clean_columns(labels, {"doc_id": "long", "quality": "int", "toxic": "int"})
     labels = labels.where("doc_id is not null").groupBy("doc_id").agg(
         F.max((F.col("quality") == 1).cast("int")).alias("good"),
         F.max((F.col("toxic") == 1).cast("int")).alias("toxic"),
     )
-    rows = rows.join(labels, "doc_id", "left").join(first, "digest", "left")
+    rows = rows.join(common.stored(labels), "doc_id", "left").join(first, "digest", "left")
     copied = F.when(F.col("doc_id") > F.col("first"), 1 << len(filters)).otherwise(0)
     return rows.select(
         "part",
