@@ -146,7 +146,8 @@ def rounds(n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for _ in range(len(ring) - 1):
         half = len(ring) // 2
         pairs = [(p, q) for p, q in zip(ring[:half], ring[:half - 1 : -1], strict=True) if p >= 0 and q >= 0]
-        yield tuple(np.array(side, np.int64) for side in zip(*pairs, strict=True))
+        if pairs:
+            yield tuple(np.array(side, np.int64) for side in zip(*pairs, strict=True))
         ring = [ring[0], ring[-1], *ring[1:-1]]
 
 
