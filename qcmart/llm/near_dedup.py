@@ -3,33 +3,41 @@
 1. Signatures. The shingles of a document offer values to the slots of its signature in rounds: in
    round j every shingle offers j plus a fraction of its own to the j-th slot of its own permutation,
    so one shingle's ranks are correlated and no slot is empty for long. Rounds stop as soon as no slot
-   of the document can still improve; long documents need one or two. Permutations are rows of a
-   fixed table drawn from a seed.
+   of the document can still improve; long documents need one or two. Eight bits of each slot are kept.
 2. Equal sets are one class, named by its smallest doc_id; copies count once from here on.
 3. Banding. Classes that agree in all slots of a band share a bucket. 32 bands of 5 slots miss a pair
    of similarity 0.8 with a chance of 3e-6.
-4. Verification on full sets, exact to the last shingle. First every candidate is compared with the
-   smallest pivot of its buckets, which joins a group of copies at the cost of a pair per member.
-   Links that this leaves out are sought by prefix filtering among the candidates: similar sets
-   share one of their rarest shingles, so only sets that do, and are not yet in one component, are
-   compared, with 16, 256, ... smaller sets of a shingle, until all have been or all are one.
-   No link is lost, and documents that share a passage, however many, meet in no pair.
-5. Components by union-find (see components). The smallest doc_id of each stays.
+4. Verification on full sets, exact to the last shingle, in three steps of which each leaves out what
+   the components (by union-find, see components) have already joined:
+   a. every member of a bucket against the smallest id of its buckets: one pair a class;
+   b. in buckets that still hold several components, every member against its BEST most similar
+      partners by signature, in chunks of CHUNK members;
+   c. in larger buckets that still do, all members against all that are not of the bucket's largest
+      component. Their texts meet in a grid of chunks, in which only verified links become rows.
+   Two sets are compared in the first band that they share only, and only if their signatures agree
+   in as many slots as all but 1 in 10 million pairs of that similarity do.
+   So what is moved grows with the members of a bucket, not with their pairs, and no link is left out.
+5. Components again. The smallest doc_id of each stays.
+
+Texts travel compressed, and shingles are made where they are compared: text is a third of the size
+of the hashes of its shingles.
 
 Defined results: null text, or one without words, has an empty set: it is linked with nothing and
 kept. With fewer words than a shingle has, all words are one shingle. Rows that repeat a doc_id are
-classed each by its own text. Rows with a null doc_id join the class of their text, are not kept if
-it has an id, and connect nothing. Other columns are ignored.
+classed each by its own text; classes named by one doc_id are one node. Rows with a null doc_id join
+the class of their text, are not kept if it has an id, and connect nothing. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qcmart.llm import common
@@ -37,19 +45,18 @@ from qcmart.llm.components import components
 
 BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
-PERMUTATIONS = 4096
 SEED = 7
 EMPTY = np.uint32(0xFFFFFFFF)
 STEP = 0xD6E8FEB86659FD93
+#: Partners by signature that a member of a bucket proposes, and members in a chunk of a bucket.
+BEST, CHUNK = 16, 1_000
+#: Members compared with one hub in one task, and shingles in a chunk of texts (8 MB of hashes).
+AROUND_HUB, CHUNK_SHINGLES = 500, 1 << 20
+#: Standard deviations below the expected number of equal slots at which a pair is still compared.
+DEVIATIONS = 5.4
 
-SIGNED = "doc_id long, n_shingles long, digest string, bands array<long>"
-SETS = "id long, shingles array<long>"
-
-
-def permutations() -> np.ndarray:
-    random = np.random.default_rng(SEED)
-    rows = np.tile(np.arange(SLOTS, dtype=np.int64), (PERMUTATIONS, 1))
-    return random.permuted(rows, axis=1)
+SIGNED = "doc_id long, n_shingles long, digest binary, sig binary, packed binary"
+PAIRS = "u long, v long"
 
 
 def shingle_sets(texts: list[bytes], width: int, hashes: common.WordHashes) -> list[np.ndarray]:
@@ -62,206 +69,281 @@ def shingle_sets(texts: list[bytes], width: int, hashes: common.WordHashes) -> l
     return out
 
 
-def signatures(sets: list[np.ndarray], table: np.ndarray) -> np.ndarray:
-    """The SuperMinHash signature of each set, as 8 bits of round and 24 of fraction. table:
-    permutations()."""
+def signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """The SuperMinHash signature of each set, as 8 bits of round and 24 of fraction.
+
+    The permutation of a shingle is drawn as far as it is used: round j swaps its place j with one
+    of those from j on (Fisher-Yates). Sets that need a second round are short, so the drawn places
+    of their shingles are few.
+    """
     lengths = np.array([len(s) for s in sets], np.int64)
     element = np.concatenate([*sets, np.empty(0, np.uint64)])
     doc = np.repeat(np.arange(len(sets)), lengths)
     best = np.full((len(sets), SLOTS), EMPTY, np.uint32)
-    flat = best.reshape(-1)
-    row = (common.mixed(element ^ np.uint64(SEED)) % np.uint64(PERMUTATIONS)).astype(np.int64)
+    flat, places = best.reshape(-1), None
     for j in range(SLOTS):
         if not len(element):
             break
-        fraction = common.mixed(element + np.uint64((j + 1) * STEP % 2**64)) >> np.uint64(40)
+        drawn = common.mixed(element + np.uint64((j + 1) * STEP % 2**64))
+        fraction = drawn >> np.uint64(40)
+        with_ = j + ((drawn & np.uint64(0xFFFFFFFF)) % np.uint64(SLOTS - j)).astype(np.int64)
+        slot = with_
+        if places is not None:
+            each = np.arange(len(element))
+            slot = places[each, with_].astype(np.int64)
+            places[each, with_] = places[:, j]
         offer = (np.uint64(j << 24) | fraction).astype(np.uint32)
-        np.minimum.at(flat, doc * SLOTS + table[row, j], offer)
-        worst = best.max(axis=1)
-        open_ = (worst > ((j + 1) << 24))[doc]
-        if not open_.all():
-            element, doc, row = element[open_], doc[open_], row[open_]
+        np.minimum.at(flat, doc * SLOTS + slot, offer)
+        open_ = (best.max(axis=1) > ((j + 1) << 24))[doc]
+        if places is None:
+            element, doc, with_ = element[open_], doc[open_], with_[open_]
+            places = np.tile(np.arange(SLOTS, dtype=np.uint8), (len(element), 1))
+            places[np.arange(len(element)), with_] = 0
+        elif not open_.all():
+            element, doc, places = element[open_], doc[open_], places[open_]
     return best
 
 
-def band_keys(signature: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each band of each signature."""
-    parts = signature.astype(np.uint64).reshape(len(signature), BANDS, ROWS)
-    out = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), parts.shape[:2]).copy()
-    for k in range(ROWS):
-        out = common.mixed(out * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, k])
-    return out.view(np.int64)
+def least_equal(percent: int) -> int:
+    """Equal slots that two sets of this similarity have but for chances of about 1e-7."""
+    s = percent / 100
+    return max(0, math.floor(SLOTS * s - DEVIATIONS * math.sqrt(SLOTS * s * (1 - s))))
 
 
-def digest_of(shingles: np.ndarray) -> str:
-    return xxhash.xxh3_128_hexdigest(shingles.tobytes())
+def digest_of(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
 def sign(docs: DataFrame, width: int, keep: str = "") -> DataFrame:
-    """doc_id, n_shingles, digest and bands of every document; both null for an empty set. keep: more
-    columns to keep (a DDL list)."""
+    """doc_id, n_shingles, digest, signature and packed text of every document; the last three null for an
+    empty set. keep: more columns to keep (a DDL list)."""
     names = common.schema_of(keep).names if keep else []
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, table = common.WordHashes(), permutations()
+        hashes, pack = common.WordHashes(), zstandard.ZstdCompressor(level=1)
         for batch in common.batches(rows, 200_000):
-            sets = shingle_sets(list(common.texts(batch.column("text"))), width, hashes)
-            keys = band_keys(signatures(sets, table))
+            texts = list(common.texts(batch.column("text")))
+            sets = shingle_sets(texts, width, hashes)
+            low = (signatures(sets) & np.uint32(0xFF)).astype(np.uint8)
             full = [len(s) > 0 for s in sets]
             yield pa.RecordBatch.from_pydict(
                 {k: batch.column(k) for k in names}
                 | {
                     "doc_id": batch.column("doc_id"),
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                    "digest": pa.array(
-                        [digest_of(s) if f else None for s, f in zip(sets, full, strict=True)], pa.string()
-                    ),
-                    "bands": pa.array(
-                        [k if f else None for k, f in zip(keys, full, strict=True)], pa.list_(pa.int64())
-                    ),
+                    "digest": pa.array([digest_of(s) if f else None for s, f in zip(sets, full, strict=True)], pa.binary()),
+                    "sig": pa.array([x.tobytes() if f else None for x, f in zip(low, full, strict=True)], pa.binary()),
+                    "packed": pa.array([pack.compress(t) if f else None for t, f in zip(texts, full, strict=True)], pa.binary()),
                 }
             )
 
     return docs.mapInArrow(run, ", ".join([*([keep] if keep else []), SIGNED]))
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """The shingle sets of the documents with these ids."""
-
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = common.WordHashes()
-        for batch in common.batches(rows, 200_000):
-            sets = shingle_sets(list(common.texts(batch.column("text"))), width, hashes)
+def runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """The rows of each run of equal keys of sorted rows."""
+    rest, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys])
+        edges = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges, edges[1:], strict=False):
+            now = tuple(key[:, a].tolist())
+            if rest and now != last:
+                yield pa.Table.from_batches(rest)
+                rest = []
+            rest.append(batch.slice(a, b - a))
+            last = now
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def together(rows: DataFrame, *keys: str, then: str | None = None) -> DataFrame:
+    """Rows of equal keys one after the other in one task, to be read by ``runs``."""
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *([then] if then else []))
+
+
+def similar(size_u, size_v, both, percent: int):
+    return 100 * both >= percent * (size_u + size_v - both)
+
+
+def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sets are similar enough. A v with many u is repeated for every AROUND_HUB."""
+    many = common.stored(pairs.groupBy("v").agg(F.ceil(F.count(F.lit(1)) / AROUND_HUB).cast("int").alias("chunks")))
+    members = pairs.join(many, "v").select("v", F.pmod(F.xxhash64("u"), "chunks").cast("int").alias("chunk"), "u")
+    hubs = many.select("v", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    hubs = hubs.withColumn("u", F.lit(None).cast("long"))
+    rows = members.withColumn("id", F.col("u")).unionByName(hubs.withColumn("id", F.col("v")))
+    rows = rows.join(texts.select("id", "packed"), "id").drop("id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, unpack = common.WordHashes(), zstandard.ZstdDecompressor()
+        at, hubs = None, []
+        for batch in batches:
+            found = []
+            for v, chunk, u, packed in zip(*[batch.column(k).to_pylist() for k in ("v", "chunk", "u", "packed")], strict=True):
+                if (v, chunk) != at:
+                    at, hubs = (v, chunk), []
+                own = shingle_sets([unpack.decompress(packed)], width, hashes)[0]
+                if u is None:
+                    hubs.append(own)
+                elif any(linked(own, hub, percent) for hub in hubs):
+                    found.append((u, v))
             yield pa.RecordBatch.from_pydict(
-                {
-                    "id": batch.column("doc_id"),
-                    "shingles": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                }
+                {"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())}
             )
 
-    wanted = docs.join(common.small_side(ids.withColumnRenamed("id", "doc_id")), "doc_id", "left_semi")
-    return wanted.mapInArrow(run, SETS)
+    return together(rows, "v", "chunk", then="u").mapInArrow(run, PAIRS).distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets are similar enough."""
-    left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("a"))
-    right = sets.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    enough = 100 * both >= percent * (F.size("a") + F.size("b") - both)
-    return pairs.join(left, "u").join(right, "v").where(enough).select("u", "v").distinct()
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    small, large = sorted((len(a), len(b)))
+    if 100 * small < percent * large:
+        return False
+    return bool(similar(len(a), len(b), len(np.intersect1d(a, b, assume_unique=True)), percent))
 
 
-def _near_in_size(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v, size_u, size_v) that their sizes don't rule out, smaller id first."""
-    fits = 100 * F.least("size_u", "size_v") >= percent * F.greatest("size_u", "size_v")
-    return pairs.where(fits & (F.col("u") != F.col("v"))).select(
-        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")
-    ).distinct()
+class Members:
+    """Members of a bucket with what decides, without their texts, whether two are compared here."""
 
+    def __init__(self, table: pa.Table, percent: int) -> None:
+        self.id, self.size, self.component = (table.column(k).to_numpy() for k in ("id", "size", "component"))
+        sig = table.column("sig").combine_chunks()
+        self.sig = np.frombuffer(b"".join(sig.to_pylist()), np.uint8).reshape(-1, SLOTS)
+        self.band, self.percent, self.least = table.column("band")[0].as_py(), percent, least_equal(percent)
+
+    def compared(self, sig: np.ndarray, size: int, component: int, among: slice) -> tuple[np.ndarray, np.ndarray]:
+        """Places of members to compare with one of this signature, and their numbers of equal slots."""
+        near = 100 * np.minimum(self.size[among], size) >= self.percent * np.maximum(self.size[among], size)
+        at = np.flatnonzero(near & (self.component[among] != component)) + (among.start or 0)
+        equal = self.sig[at] == sig
+        n = equal.sum(axis=1)
+        at, equal, n = (x[n >= self.least] for x in (at, equal, n))
+        first = equal.reshape(len(at), BANDS, ROWS).all(axis=2).argmax(axis=1) == self.band
+        return at[first], n[first]
 
-def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(bucket, id, size, short): the rarest shingles of each set. Of two similar sets the larger
-    has in its prefix one of the short prefix of the smaller (prefix filtering), so a passage that
-    many documents share, whose shingles are not rare, brings none of them together."""
-    each = sets.select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("x"))
-    counted = each.groupBy("x").count().where(F.col("count") > 1)
-    dealt = sets.repartition("id").select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("x"))
-    ranked = dealt.join(common.small_side(common.stored(counted)), "x", "left").select(
-        "id", "size", F.struct(F.coalesce("count", F.lit(1)).alias("count"), "x").alias("s")
-    )
-    ordered = ranked.groupBy("id", "size").agg(F.array_sort(F.collect_list("s")).alias("s"))
-    size = F.col("size")
-    # similar sets share at least percent of the larger, and 2p / (100 + p) of the smaller of both
-    long = size - F.ceil(size * percent / 100) + 1
-    short = size - F.ceil(size * (2 * percent) / (100 + percent)) + 1
-    rows = ordered.select(
-        "id", "size", short.alias("n"), F.posexplode(F.slice("s", 1, long.cast("int"))).alias("at", "x")
-    )
-    rows = rows.where("x.count > 1").select(
-        F.col("x.x").alias("bucket"),
-        "id",
-        "size",
-        # two sets meet first at the rarest shingle they share, so there they share no rarer one
-        (size - F.col("at")).alias("shared"),
-        (F.col("at") < F.col("n")).alias("short"),
-    )
-    rows = common.stored(rows)
-    useful = rows.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if("short").alias("shorts"),
-        F.min(F.when(F.col("short"), F.col("size"))).alias("least"),
-    )
-    rows = rows.join(useful.where("n > 1 and shorts > 0"), "bucket")
-    # what a member must share even with the smallest set that it can be similar to here
-    least = F.greatest(F.col("least"), size * percent / 100)
-    return common.stored(rows.where(_can_share(F.col("shared"), size + least, percent)))
 
+def proposals(rows: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (u, v) of members of a bucket, of different components: the BEST by signature of
+    every member. rows: (bucket, band, n, id, component, size, sig)."""
 
-def _can_share(shared, sizes, percent: int):
-    """Whether two sets of these sizes together can be similar, sharing no more than so many."""
-    return shared * (100 + percent) >= percent * sizes
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, "bucket", "chunk"):
+            m, u, v = Members(table, percent), [], []
+            for k in range(len(m.id) - 1):
+                at, n = m.compared(m.sig[k], m.size[k], m.component[k], slice(k + 1, None))
+                for other in at[np.argsort(-n, kind="stable")[:BEST]]:
+                    u.append(max(m.id[k], m.id[other]))
+                    v.append(min(m.id[k], m.id[other]))
+            yield pa.RecordBatch.from_pydict({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
+    chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / CHUNK)).cast("int")
+    return together(rows.withColumn("chunk", chunk), "bucket", "chunk", then="id").mapInArrow(run, PAIRS).distinct()
 
-def links(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Verified pairs of classes (id, size, bands) that connect all that is linked."""
-    bands = classes.select("id", "size", F.explode("bands").alias("bucket"))
-    shared = bands.groupBy("bucket").agg(
-        F.min(F.struct("id", "size")).alias("pivot"), F.count(F.lit(1)).alias("n")
+
+def in_grids(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (u, v) between different components of a bucket, a link for each member outside the largest
+    component and each component it is linked with in a chunk. rows: (bucket, band, n, id, component, size,
+    sig, packed)."""
+
+    def parts(size: Column) -> Column:
+        return F.ceil(size / CHUNK_SHINGLES).cast("int")
+
+    sums = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    sums = sums.groupBy("bucket").agg(
+        F.max(F.struct("n", "component", "size")).alias("top"), F.sum("size").alias("size")
     )
-    hits = bands.join(shared.where("n > 1"), "bucket")
-    first = common.stored(hits.groupBy("id", "size").agg(F.min("pivot").alias("p")))
-    sets = common.stored(sets_of(docs, first.select("id"), width))
-    first = first.select(
-        F.col("id").alias("u"), F.col("size").alias("size_u"), F.col("p.id").alias("v"), F.col("p.size").alias("size_v")
+    grid = common.stored(
+        sums.select(
+            "bucket", F.col("top.component").alias("top"), parts(F.col("size")).alias("across"),
+            parts(F.col("size") - F.col("top.size")).alias("down"),
+        )
+    )
+    rows = rows.join(grid, "bucket")
+    column, line = F.pmod(F.xxhash64("id"), "across"), F.pmod(F.xxhash64("id", F.lit(1)), "down")
+    members = rows.select(
+        "*", column.cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("down") - 1)).alias("j"), F.lit(False).alias("guest")
+    )
+    guests = rows.where("component <> top").select(
+        "*", F.explode(F.sequence(F.lit(0), F.col("across") - 1)).alias("i"), line.cast("int").alias("j"), F.lit(True).alias("guest")
     )
-    tested = common.stored(_near_in_size(first, percent))
-    found = common.stored(verified(tested, sets, percent))
-    members = prefixes(sets, percent)
-    pivots, rows = 1, None
-    while True:
-        pivots *= 16
-        if rows is None:
-            rows = _undecided(members, components(found))
-            most = rows.agg(F.max("shorts")).first()[0]
-        if most is None:
-            return found
-        pairs = common.stored(_across(rows, pivots, percent).join(tested, ["u", "v"], "left_anti"))
-        more = common.stored(verified(pairs, sets, percent))
-        if not more.isEmpty():
-            found, rows = common.stored(found.unionByName(more)), None
-        if pivots >= most:
-            return found
-        tested = common.stored(tested.unionByName(pairs))
-
-
-def _undecided(members: DataFrame, groups: DataFrame) -> DataFrame:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, unpack = common.WordHashes(), zstandard.ZstdDecompressor()
+        for table in runs(batches, "bucket", "i", "j"):
+            guest = table.column("guest").to_numpy()
+            if guest.all() or not guest.any():
+                continue
+            found = _met(table.filter(pa.array(~guest)), table.filter(pa.array(guest)), width, percent, hashes, unpack)
+            yield pa.RecordBatch.from_pydict(
+                {"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())}
+            )
+
+    rows = members.unionByName(guests).drop("n", "top", "across", "down")
+    return together(rows, "bucket", "i", "j", then="id").mapInArrow(run, PAIRS).distinct()
+
+
+def _met(members: pa.Table, guests: pa.Table, width: int, percent: int, hashes, unpack) -> list[tuple[int, int]]:
+    """A link (guest, member) for each guest and each component of members that it is linked with."""
+    m, g = Members(members, percent), Members(guests, percent)
+    wanted = [m.compared(g.sig[k], g.size[k], g.component[k], slice(None))[0] for k in range(len(g.id))]
+    needed = np.unique(np.concatenate(wanted)) if wanted else np.zeros(0, np.int64)
+    if not len(needed):
+        return []
+
+    def sets(table: pa.Table, at: np.ndarray) -> list[np.ndarray]:
+        return shingle_sets([unpack.decompress(p) for p in table.column("packed").take(pa.array(at)).to_pylist()], width, hashes)
+
+    own = sets(members, needed)
+    shingle = np.concatenate(own)
+    order = np.argsort(shingle, kind="stable")
+    shingle, owner = shingle[order], np.repeat(needed, [len(s) for s in own])[order]
+    asked = np.flatnonzero([len(w) > 0 for w in wanted])
+    found = []
+    for k, x in zip(asked, sets(guests, asked), strict=True):
+        first, stop = np.searchsorted(shingle, x, "left"), np.searchsorted(shingle, x, "right")
+        n = stop - first
+        at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        both = np.bincount(owner[at], minlength=len(m.id))[wanted[k]]
+        hit = wanted[k][similar(len(x), m.size[wanted[k]], both, percent)]
+        for member in hit[np.unique(m.component[hit], return_index=True)[1]]:
+            found.append((g.id[k], m.id[member]))
+    return found
+
+
+def _undecided(hits: DataFrame, groups: DataFrame) -> DataFrame:
     """The members of buckets that hold several components, with theirs."""
-    groups = common.small_side(common.stored(groups))
-    rows = members.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = hits.drop("component").join(groups, "id", "left")
+    rows = common.stored(rows.withColumn("component", F.coalesce("component", "id")))
     split = rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-    return common.stored(rows.join(split.where("a <> b").select("bucket"), "bucket", "left_semi"))
-
-
-def _across(rows: DataFrame, pivots: int, percent: int) -> DataFrame:
-    """Members of buckets against so many smaller members, within their short prefix, of other
-    components."""
-    best = Window.partitionBy("bucket").orderBy("size", "id")
-    chosen = rows.where("short").withColumn("place", F.row_number().over(best))
-    chosen = chosen.where(F.col("place") <= pivots).select(
-        "bucket",
-        F.col("id").alias("v"),
-        F.col("size").alias("size_v"),
-        F.col("shared").alias("shared_v"),
-        F.col("component").alias("other"),
-    )
-    members = rows.select(
-        "bucket", F.col("id").alias("u"), F.col("size").alias("size_u"), F.col("shared").alias("shared_u"), "component"
-    )
-    larger = F.struct("size_u", "u") > F.struct(F.col("size_v").alias("size_u"), F.col("v").alias("u"))
-    can = _can_share(F.least("shared_u", "shared_v"), F.col("size_u") + F.col("size_v"), percent)
-    pairs = members.join(chosen, "bucket").where((F.col("component") != F.col("other")) & larger & can)
-    return _near_in_size(pairs, percent)
+    split = common.stored(split.where("a <> b").select("bucket"))
+    return common.stored(rows.join(split, "bucket", "left_semi"))
+
+
+def links(classes: DataFrame, signed: DataFrame, width: int, percent: int) -> DataFrame:
+    """Verified pairs of classes (id, digest, size, sig) that connect all that is linked."""
+    band = [
+        F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), F.substring("sig", b * ROWS + 1, ROWS)).alias("bucket"))
+        for b in range(BANDS)
+    ]
+    bands = classes.select("id", F.explode(F.array(*band)).alias("b")).select("id", "b.*")
+    shared = bands.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    hits = common.stored(bands.join(common.stored(shared), "bucket"))
+    first = common.stored(hits.groupBy("id").agg(F.min("pivot").alias("v")))
+    members = common.stored(classes.join(first.select("id"), "id", "left_semi"))
+    # merged whatever the sizes, so that the rows moved are in proportion to the documents at any size
+    texts = signed.select(F.col("doc_id").alias("id"), "digest", "packed").dropDuplicates(["id", "digest"])
+    texts = common.stored(texts.join(members.hint("merge"), ["id", "digest"]).select("id", "size", "sig", "packed"))
+    hits = hits.drop("pivot")
+
+    found = common.stored(verified(first.where("id <> v").select(F.col("id").alias("u"), "v"), texts, width, percent))
+    open_ = _undecided(hits, components(found))
+    some = common.stored(proposals(open_.join(texts.drop("packed"), "id"), percent))
+    found = common.stored(found.unionByName(verified(some, texts, width, percent)))
+    # in smaller buckets all have been proposed
+    open_ = _undecided(open_.where(F.col("n") > BEST + 1), components(found))
+    return found.unionByName(common.stored(in_grids(open_.join(texts, "id"), width, percent)))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, keep: str = "") -> DataFrame:
@@ -269,13 +351,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, keep: st
     kept = {f.name: f.dataType.simpleString() for f in common.schema_of(keep)} if keep else {}
     docs = common.clean_columns(docs, kept | {"doc_id": "long", "text": "string"})
     signed = common.stored(sign(docs, width, keep))
-    classes = signed.where("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands")
+    full = signed.where("digest is not null")
+    classes = common.stored(
+        full.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("sig").alias("sig"))
     )
     named = classes.where("id is not null")
-    groups = components(links(named, docs, width, percent))
-    names = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"))
-    names = names.join(groups, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
+    groups = components(links(named, full, width, percent))
+    names = classes.select("digest", "id").join(groups, "id", "left")
+    names = common.stored(names.select("digest", F.coalesce("component", "id").alias("component_id")))
     rows = signed.select(*kept, "doc_id", "n_shingles", "digest").join(names, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select(
