@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,15 +52,21 @@ def as_day(text: Column) -> Column:
     return text.try_cast("date")
 
 
+def only(value: Column, keep: Callable[[Column], Column]) -> Column:
+    """The value where ``keep`` holds of it, else NULL.
+
+    The value stands once in the expression, so the optimizer can't multiply what makes it.
+    """
+    return F.get(F.filter(F.array(value), keep), F.lit(0))
+
+
 def as_number(text: Column) -> Column:
     """Finite double, NULL when unreadable. Infinity and NaN, however spelled, are unreadable.
 
     A trailing ``d`` or ``f`` is Java's type suffix and not part of a number.
     """
-    digits = F.rtrim(text)
-    suffixed = reduce(or_, [digits.endswith(letter) for letter in "dDfF"])
-    number = text.try_cast("double")
-    return F.when(~suffixed & (F.abs(number) < float("inf")), number)
+    plain = only(text, lambda t: ~t.rlike(r"[dDfF][\x00-\x20]*$"))
+    return only(plain.try_cast("double"), lambda number: F.abs(number) < float("inf"))
 
 
 def as_whole_number(text: Column) -> Column:

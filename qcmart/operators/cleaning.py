@@ -82,8 +82,8 @@ def clean_orders(
 
 def fractional_qty() -> Column:
     """True for a readable quantity that is not a whole number."""
-    qty = as_number(F.col("qty"))
-    return F.coalesce(qty != F.rint(qty), F.lit(False))
+    part = F.exists(F.array(as_number(F.col("qty"))), lambda qty: qty != F.rint(qty))
+    return F.coalesce(part, F.lit(False))
 
 
 def clean_order_items(

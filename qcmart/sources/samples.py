@@ -142,6 +142,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_lines(spark: SparkSession, sf_dir: str, lineitem: DataFrame) -> DataFrame:
+    """Order lines with the numbers behind their id as ``key`` and LINE_ORDER."""
     days = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         _moved("o_orderdate").cast("date").alias("date"),
@@ -163,20 +164,21 @@ def _order_lines(spark: SparkSession, sf_dir: str, lineitem: DataFrame) -> DataF
         price.alias("unit_price"),
         F.col("l_extendedprice").alias("line_total"),
         "date",
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("key"),
         *LINE_ORDER,
     )
 
 
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines before deduplication, with the columns that order the copies."""
-    return _order_lines(spark, sf_dir, table(spark, sf_dir, "lineitem"))
+    return _order_lines(spark, sf_dir, table(spark, sf_dir, "lineitem")).drop("key")
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with the first copy of each."""
     lineitem = table(spark, sf_dir, "lineitem")
     first = keep_first(lineitem, ["l_orderkey", "l_linenumber"], LINE_ORDER)
-    return _order_lines(spark, sf_dir, first).drop(*LINE_ORDER)
+    return _order_lines(spark, sf_dir, first).drop("key", *LINE_ORDER)
 
 
 def _planted(key: str, every: int, value: Column, otherwise: Column) -> Column:
@@ -218,10 +220,8 @@ def raw_order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_order_line_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as untrusted text, with all their copies and unreadable, infinite, too
     large and fractional values throughout. LINE_ORDER gives the order of the copies."""
-    lines = raw_order_lines(spark, sf_dir)
-    number = F.substring("order_id", 4, 20).cast("bigint") * 10
-    key = number + F.substring_index("order_item_id", "-", -1).cast("bigint")
-    text = lines.withColumns({c: F.col(c).cast("string") for c in RAW_ORDER_ITEMS.names} | {"key": key})
+    lines = _order_lines(spark, sf_dir, table(spark, sf_dir, "lineitem"))
+    text = lines.withColumns({c: F.col(c).cast("string") for c in RAW_ORDER_ITEMS.names})
     qty = _planted("key", 101, F.lit("abc"), F.col("qty"))
     qty = _planted("key", 103, F.lit(""), qty)
     qty = _planted("key", 89, F.lit("inf"), qty)
