@@ -7,17 +7,16 @@
 2. Equal sets are one class, named by its smallest doc_id; copies count once from here on.
 3. Banding. Classes that agree in all slots of a band share a bucket. 32 bands of 5 slots miss a pair
    of similarity 0.8 with a chance of 3e-6.
-4. Verification on full sets, exact to the last shingle, in three steps of which each leaves out what
-   the components (by union-find, see components) have already joined:
-   a. every member of a bucket against the smallest id of its buckets: one pair a class;
-   b. in buckets that still hold several components, every member against its BEST most similar
-      partners by signature, in chunks of CHUNK members;
-   c. in larger buckets that still do, all members against all that are not of the bucket's largest
-      component. Their texts meet in a grid of chunks, in which only verified links become rows.
-   Two sets are compared in the first band that they share only, and only if their signatures agree
-   in as many slots as all but 1 in 10 million pairs of that similarity do.
+4. Verification on full sets, exact to the last shingle, in two steps. Two sets are compared in the
+   first band that they share only, and only if their signatures agree in as many slots as all but
+   1 in 10 million pairs of that similarity do.
+   a. Every member of a bucket against its smallest id; in buckets of up to ALL members, all against
+      all; in larger ones, each against its FEW most similar by signature, in chunks of CHUNK.
+   b. In larger buckets that still hold several components (by union-find, see components), all
+      members against all that are not of the bucket's largest component. Their texts meet in a grid
+      of chunks, in which only verified links become rows.
    So what is moved grows with the members of a bucket, not with their pairs, and no link is left out.
-5. Components again. The smallest doc_id of each stays.
+5. Components of components. The smallest doc_id of each stays.
 
 Texts travel compressed, and shingles are made where they are compared: text is a third of the size
 of the hashes of its shingles.
@@ -48,8 +47,9 @@ SLOTS = BANDS * ROWS
 SEED = 7
 EMPTY = np.uint32(0xFFFFFFFF)
 STEP = 0xD6E8FEB86659FD93
-#: Partners by signature that a member of a bucket proposes, and members in a chunk of a bucket.
-BEST, CHUNK = 16, 1_000
+#: Members of a bucket that are all compared, partners that a member of a larger one proposes, and members
+#: in a chunk of a bucket.
+ALL, FEW, CHUNK = 16, 2, 1_000
 #: Members compared with one hub in one task, and shingles in a chunk of texts (8 MB of hashes).
 AROUND_HUB, CHUNK_SHINGLES = 500, 1 << 20
 #: Standard deviations below the expected number of equal slots at which a pair is still compared.
@@ -194,7 +194,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
                 {"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())}
             )
 
-    return together(rows, "v", "chunk", then="u").mapInArrow(run, PAIRS).distinct()
+    return together(rows, "v", "chunk", then="u").mapInArrow(run, PAIRS)
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -225,27 +225,31 @@ class Members:
 
 
 def proposals(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (u, v) of members of a bucket, of different components: the BEST by signature of
-    every member. rows: (bucket, band, n, id, component, size, sig)."""
+    """Pairs (u, v) of members of a bucket to compare, v its smallest id or one of the most similar by
+    signature. rows: (bucket, band, n, pivot, id, size, sig)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, "bucket", "chunk"):
             m, u, v = Members(table, percent), [], []
+            most = len(m.id) if table.column("n")[0].as_py() <= ALL else FEW
             for k in range(len(m.id) - 1):
-                at, n = m.compared(m.sig[k], m.size[k], m.component[k], slice(k + 1, None))
-                for other in at[np.argsort(-n, kind="stable")[:BEST]]:
+                at, n = m.compared(m.sig[k], m.size[k], m.id[k], slice(k + 1, None))
+                for other in at[np.argsort(-n, kind="stable")[:most]]:
                     u.append(max(m.id[k], m.id[other]))
                     v.append(min(m.id[k], m.id[other]))
             yield pa.RecordBatch.from_pydict({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / CHUNK)).cast("int")
-    return together(rows.withColumn("chunk", chunk), "bucket", "chunk", then="id").mapInArrow(run, PAIRS).distinct()
+    rows = rows.withColumns({"chunk": chunk, "component": F.col("id")})
+    found = together(rows, "bucket", "chunk", then="id").mapInArrow(run, PAIRS)
+    pivots = rows.where(F.col("n") > ALL).groupBy(F.col("id").alias("u")).agg(F.min("pivot").alias("v"))
+    return found.unionByName(pivots.where("u <> v")).distinct()
 
 
 def in_grids(rows: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (u, v) between different components of a bucket, a link for each member outside the largest
-    component and each component it is linked with in a chunk. rows: (bucket, band, n, id, component, size,
-    sig, packed)."""
+    component and each component it is linked with in a chunk. rows: (bucket, band, n, id, component, size, sig,
+    packed)."""
 
     def parts(size: Column) -> Column:
         return F.ceil(size / CHUNK_SHINGLES).cast("int")
@@ -314,15 +318,14 @@ def _met(members: pa.Table, guests: pa.Table, width: int, percent: int, hashes,
 
 def _undecided(hits: DataFrame, groups: DataFrame) -> DataFrame:
     """The members of buckets that hold several components, with theirs."""
-    rows = hits.drop("component").join(groups, "id", "left")
+    rows = hits.join(groups, "id", "left")
     rows = common.stored(rows.withColumn("component", F.coalesce("component", "id")))
     split = rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-    split = common.stored(split.where("a <> b").select("bucket"))
-    return common.stored(rows.join(split, "bucket", "left_semi"))
+    return rows.join(common.stored(split.where("a <> b").select("bucket")), "bucket", "left_semi")
 
 
-def links(classes: DataFrame, signed: DataFrame, width: int, percent: int) -> DataFrame:
-    """Verified pairs of classes (id, digest, size, sig) that connect all that is linked."""
+def grouped(classes: DataFrame, signed: DataFrame, width: int, percent: int) -> DataFrame:
+    """(id, component) of all classes (id, digest, size, sig) that are linked with another."""
     band = [
         F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), F.substring("sig", b * ROWS + 1, ROWS)).alias("bucket"))
         for b in range(BANDS)
@@ -330,20 +333,25 @@ def links(classes: DataFrame, signed: DataFrame, width: int, percent: int) -> Da
     bands = classes.select("id", F.explode(F.array(*band)).alias("b")).select("id", "b.*")
     shared = bands.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
     hits = common.stored(bands.join(common.stored(shared), "bucket"))
-    first = common.stored(hits.groupBy("id").agg(F.min("pivot").alias("v")))
-    members = common.stored(classes.join(first.select("id"), "id", "left_semi"))
+    members = common.stored(classes.join(hits.select("id").distinct(), "id", "left_semi"))
     # merged whatever the sizes, so that the rows moved are in proportion to the documents at any size
     texts = signed.select(F.col("doc_id").alias("id"), "digest", "packed").dropDuplicates(["id", "digest"])
     texts = common.stored(texts.join(members.hint("merge"), ["id", "digest"]).select("id", "size", "sig", "packed"))
-    hits = hits.drop("pivot")
 
-    found = common.stored(verified(first.where("id <> v").select(F.col("id").alias("u"), "v"), texts, width, percent))
-    open_ = _undecided(hits, components(found))
-    some = common.stored(proposals(open_.join(texts.drop("packed"), "id"), percent))
-    found = common.stored(found.unionByName(verified(some, texts, width, percent)))
-    # in smaller buckets all have been proposed
-    open_ = _undecided(open_.where(F.col("n") > BEST + 1), components(found))
-    return found.unionByName(common.stored(in_grids(open_.join(texts, "id"), width, percent)))
+    pairs = common.stored(proposals(hits.join(texts.drop("packed"), "id"), percent))
+    groups = common.stored(components(verified(pairs, texts, width, percent)))
+    # in smaller buckets all have been compared
+    large = _undecided(hits.where(F.col("n") > ALL).drop("pivot"), groups)
+    found = common.stored(in_grids(large.join(texts, "id"), width, percent))
+    named = groups.withColumnRenamed("component", "as")
+    joined = found
+    for end in ("u", "v"):
+        joined = joined.join(named.withColumnRenamed("id", end), end, "left")
+        joined = joined.withColumn(end, F.coalesce("as", end)).drop("as")
+    joined = components(joined.where("u <> v")).select(F.col("id").alias("component"), F.col("component").alias("last"))
+    alone = joined.select(F.col("component").alias("id"), "component", "last").join(groups.select("id"), "id", "left_anti")
+    groups = groups.join(joined, "component", "left").select("id", F.coalesce("last", "component").alias("component"))
+    return groups.unionByName(alone.select("id", F.col("last").alias("component")))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, keep: str = "") -> DataFrame:
@@ -356,7 +364,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, keep: st
         full.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("sig").alias("sig"))
     )
     named = classes.where("id is not null")
-    groups = components(links(named, full, width, percent))
+    groups = grouped(named, full, width, percent)
     names = classes.select("digest", "id").join(groups, "id", "left")
     names = common.stored(names.select("digest", F.coalesce("component", "id").alias("component_id")))
     rows = signed.select(*kept, "doc_id", "n_shingles", "digest").join(names, "digest", "left")

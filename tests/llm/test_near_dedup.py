@@ -63,7 +63,7 @@ def test_each_shingle_takes_every_slot_once():
 
 def test_large_groups_lose_no_link(spark, monkeypatch):
     """Near copies of which many are linked with few others, in chunks of every step."""
-    for name, value in (("BEST", 3), ("CHUNK", 40), ("AROUND_HUB", 7), ("CHUNK_SHINGLES", 6_000)):
+    for name, value in (("ALL", 4), ("FEW", 1), ("CHUNK", 40), ("AROUND_HUB", 7), ("CHUNK_SHINGLES", 6_000)):
         monkeypatch.setattr(near_dedup, name, value)
     r = random.Random(11)
     base = [f"b{k}" for k in range(120)]
