@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qcmart.functions import ratio, sql_round
-from qcmart.operators.joins import key_counts, lookup
+from qcmart.operators.joins import lookup
+from qcmart.operators.sketches import key_sketches
+
+# Keys by which the facts refer to other tables.
+ORDER_REFERENCES = (("customer_id",), ("store_id",))
+LINE_REFERENCES = (("order_id",), ("product_id",))
 
 # Delivered within this many minutes counts as express.
 EXPRESS_MINUTES = 15
@@ -21,21 +26,25 @@ def fct_orders(
     customers: DataFrame,
     stores: DataFrame,
     calendar: DataFrame,
+    sketches: DataFrame | None = None,
     **bounds: int,
 ) -> DataFrame:
     """Orders with their dimension keys; unknown customers, stores and days keep NULL.
 
-    Dimension keys must be unique, or orders multiply.
+    Dimension keys must be unique, or orders multiply. ``sketches`` of ORDER_REFERENCES,
+    where they are kept, spare a further pass over the orders.
     """
+    if sketches is None:
+        sketches = key_sketches(orders, ORDER_REFERENCES)
     days = calendar.select("date_key", F.col("date_day").alias("order_date"))
     keyed = lookup(
-        orders, customers.select("customer_id", "customer_key"), ["customer_id"], **bounds
+        orders, customers.select("customer_id", "customer_key"), ["customer_id"], sketches, **bounds
     )
     keyed = lookup(
         keyed,
         stores.select("store_id", "store_key"),
         ["store_id"],
-        counts=lambda: key_counts(orders, ["store_id"]),
+        sketches,
         **bounds,
     )
     keyed = keyed.join(F.broadcast(days), "order_date", "left")
@@ -64,21 +73,28 @@ def fct_orders(
 
 
 def fct_order_items(
-    items: DataFrame, orders: DataFrame, products: DataFrame, **bounds: int
+    items: DataFrame,
+    orders: DataFrame,
+    products: DataFrame,
+    sketches: DataFrame | None = None,
+    **bounds: int,
 ) -> DataFrame:
     """Order lines with the keys, city and status of their order.
 
     ``orders`` is the order fact; lines of unknown orders and products keep NULL.
+    ``sketches`` of LINE_REFERENCES, where they are kept, spare a further pass over the lines.
     """
+    if sketches is None:
+        sketches = key_sketches(items, LINE_REFERENCES)
     header = orders.select(
         "order_id", "date_key", "customer_key", "store_key", "city", "status"
     )
-    keyed = lookup(items, header, ["order_id"], **bounds)
+    keyed = lookup(items, header, ["order_id"], sketches, **bounds)
     keyed = lookup(
         keyed,
         products.select("product_id", "product_key"),
         ["product_id"],
-        counts=lambda: key_counts(items, ["product_id"]),
+        sketches,
         **bounds,
     )
     price = sql_round(ratio(F.col("line_total"), F.col("qty")), 2)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -10,12 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qcmart.operators.sizing import BROADCAST_BYTES, ONE_TASK_BYTES, input_bytes
-
-# A key with more than one row in this many is hot, so at most this many keys are.
-HOT_FRACTION = 10_000
-
-# Below this many rows a key is never worth separating.
-HOT_ROWS = 1_000_000
+from qcmart.operators.sketches import HOT_ROWS, hot_slots, key_sketches, slot
 
 # Rows that do not meet a partner in the shuffle are spread over this many values.
 SPREAD = 1 << 20
@@ -25,27 +19,11 @@ def _both(columns: list[Column]) -> Column:
     return reduce(and_, columns)
 
 
-def key_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows per key, as ``__rows``; NULL keys are left out.
-
-    Counts are combined before the shuffle, so a hot key costs one row per task.
-    """
-    present = rows.where(_both([F.col(k).isNotNull() for k in keys]))
-    return present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-
-
-def hot_keys(counts: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys that hold a large share of all rows, at most ``HOT_FRACTION`` of them."""
-    share = counts.agg(F.sum("__rows") / HOT_FRACTION).scalar()
-    hot = (F.col("__rows") > share) & (F.col("__rows") >= min_rows)
-    return counts.where(hot).drop("__rows")
-
-
 def lookup(
     facts: DataFrame,
     table: DataFrame,
     keys: list[str],
-    counts: Callable[[], DataFrame] | None = None,
+    sketches: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     one_task_bytes: int = ONE_TASK_BYTES,
     hot_rows: int = HOT_ROWS,
@@ -58,8 +36,8 @@ def lookup(
     from the shuffle are spread over it evenly. Every row is kept either way. Inputs
     small enough for one task skip the search for hot keys.
 
-    Looking for hot keys reads ``facts`` once more. Where they are costly, ``counts``
-    names a cheaper source with the same keys; it only steers which way a row takes.
+    Hot keys come from ``sketches`` of the facts (see ``key_sketches``), which only steer
+    which way a row takes; without any, the keys are read once more to sketch them.
     ``table`` should hold at most a few rows per key, as a dimension does.
     """
     if input_bytes(table) <= broadcast_bytes:
@@ -68,31 +46,32 @@ def lookup(
         return facts.join(table, keys, "left")
 
     columns = [c for c in table.columns if c not in keys]
-    hot = hot_keys(counts() if counts else key_counts(facts, keys), hot_rows)
-    found = table.join(F.broadcast(hot), keys, "left_semi")
-    hot_table = hot.join(F.broadcast(found), keys, "left").select(
-        *keys, F.lit(True).alias("__hot"), *[F.col(c).alias(f"__hot_{c}") for c in columns]
+    if sketches is None:
+        sketches = key_sketches(facts, [keys])
+    kinds = {f.name: f.dataType for f in facts.schema.fields}
+    own = slot(keys, kinds)
+    hot = F.broadcast(hot_slots(sketches, keys, hot_rows).select(F.col("slot").alias("__own"), F.lit(True).alias("__hot")))
+    hot_table = table.withColumn("__own", own).join(hot, "__own", "left_semi").select(
+        *keys, F.lit(True).alias("__found"), *[F.col(c).alias(f"__hot_{c}") for c in columns]
     )
-    marked = facts.join(F.broadcast(hot_table), keys, "left")
+    marked = facts.withColumn("__own", own).join(hot, "__own", "left")
+    marked = marked.join(F.broadcast(hot_table), keys, "left")
     has_no_partner = F.col("__hot").isNotNull() | ~_both(
         [F.col(k).isNotNull() for k in keys]
     )
-    # The slot joins the shuffle key. Rows with a partner share the key's own hash,
+    # The slot joins the shuffle key. Rows with a partner share the key's own slot,
     # never negative; all others get negative slots, which meet nothing. The hash keeps
     # the optimizer from reducing the slot to a constant and dropping it from the key.
-    kinds = {f.name: f.dataType for f in facts.schema.fields}
-    own = F.shiftrightunsigned(F.xxhash64(*[F.col(k).cast(kinds[k]) for k in keys]), 1)
     spread = -1 - F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(SPREAD))
-    marked = marked.withColumn("__slot", F.when(has_no_partner, spread).otherwise(own))
+    marked = marked.withColumn("__slot", F.when(has_no_partner, spread).otherwise(F.col("__own")))
     joined = marked.join(table.withColumn("__slot", own), [*keys, "__slot"], "left")
     return joined.select(
         *keys,
         *[F.col(c) for c in facts.columns if c not in keys],
         *[
-            F.when(F.col("__hot").isNotNull(), F.col(f"__hot_{c}"))
+            F.when(F.col("__found").isNotNull(), F.col(f"__hot_{c}"))
             .otherwise(F.col(c))
             .alias(c)
             for c in columns
         ],
     )
-

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from qcmart.operators.joins import key_counts, lookup
+from qcmart.operators.joins import lookup
 from qcmart.operators.lineage import cut
 
 # Width of a range of values: with two digits, a range holds at most a million of them.
@@ -24,7 +24,7 @@ def _ranks(values: DataFrame, out: str) -> DataFrame:
     Values, ranges and blocks are structs, in which a NULL equals a NULL and sorts last.
     """
     value = "__value.v"
-    values = values.drop("__rows").withColumns(
+    values = values.withColumns(
         {
             "__upper": F.expr(f"struct({value} - pmod({value}, {STEP}BD) as v)"),
             "__top": F.expr(f"struct({value} - pmod({value}, {BLOCK}BD) as v)"),
@@ -66,12 +66,6 @@ def dense_rank_spread(
     ranked = source = cut(df)
     for out, groups in ranks.items():
         keys = {"__group": F.struct(*groups), "__value": F.struct(F.col(value).alias("v"))}
-        values = key_counts(source.withColumns(keys), list(keys))
-        ranked = lookup(
-            ranked.withColumns(keys),
-            _ranks(values, out),
-            list(keys),
-            counts=lambda values=values: values,
-            **bounds,
-        ).drop(*keys)
+        values = source.select(*[c.alias(k) for k, c in keys.items()]).distinct()
+        ranked = lookup(ranked.withColumns(keys), _ranks(values, out), list(keys), **bounds).drop(*keys)
     return ranked

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qcmart.operators.cleaning import keep_first
-from qcmart.operators.joins import key_counts, lookup
+from qcmart.operators.joins import lookup
+from qcmart.operators.sketches import key_sketches
 from qcmart.sources.schemas import RAW_ORDER_ITEMS, RAW_ORDERS
 
 # Rows of one order line are told apart by these columns.
@@ -152,7 +153,7 @@ def _order_lines(spark: SparkSession, sf_dir: str, lineitem: DataFrame) -> DataF
         lineitem,
         days,
         ["l_orderkey"],
-        counts=lambda: key_counts(table(spark, sf_dir, "lineitem"), ["l_orderkey"]),
+        key_sketches(table(spark, sf_dir, "lineitem"), [["l_orderkey"]]),
     ).where("__known")
     line = F.col("l_linenumber").cast("string")
     price = F.round(F.col("l_extendedprice") / F.col("l_quantity") * 100) / 100

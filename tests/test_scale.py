@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 
 import pytest
 from pyspark.sql import Window as W
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from qcmart.operators import facts, marts
 from qcmart.operators.cleaning import keep_first
-from qcmart.operators.joins import hot_keys, key_counts, lookup
+from qcmart.operators.joins import lookup
 from qcmart.operators.lineage import cut
 from qcmart.operators.ranking import dense_rank_spread
 from qcmart.operators.sizing import broadcast_if_small, input_bytes
+from qcmart.operators.sketches import hot_slots, key_sketches, merged, slot
 
 # Bounds that make every input count as large.
 LARGE = {"broadcast_bytes": 0, "one_task_bytes": 0, "hot_rows": 1}
@@ -95,11 +97,38 @@ def test_hot_rows_do_not_meet_in_one_task(spark, skewed):
         assert sum("__slot" in line for line in shuffles) == 2
 
 
+def _hot(facts, sketches, key, **bounds):
+    found = hot_slots(sketches, [key], **bounds)
+    return {r[key] for r in facts.withColumn("slot", slot([key])).join(found, "slot", "left_semi").collect()}
+
+
 def test_hot_keys(skewed):
     facts, _ = skewed
-    counts = key_counts(facts, ["k"])
-    assert {r.k for r in hot_keys(counts, min_rows=1000).collect()} == {"hot", "nowhere"}
-    assert hot_keys(counts, min_rows=1_000_000).count() == 0
+    sketches = key_sketches(facts, [["k"], ["id"]])
+    assert _hot(facts, sketches, "k", min_rows=1000) == {"hot", "nowhere"}
+    assert _hot(facts, sketches, "k", min_rows=1_000_000) == set()
+    assert _hot(facts, sketches, "id", min_rows=1) == set()
+    rows_of = {r.key: r.key_rows for r in sketches.collect()}
+    assert rows_of == {"k": 50_000, "id": 60_000}
+
+
+def test_sketches_of_days_merge_into_that_of_all(spark, skewed):
+    facts, _ = skewed
+    # each day a key of its own is frequent; only one is over all days
+    daily = facts.withColumn("day", F.expr("id div 100"))
+    daily = daily.withColumn("k", F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("day").cast("string")))
+    by_day = key_sketches(daily, [["k"]], per=["day"])
+    assert by_day.count() == 600
+    whole = merged(by_day, ["key"])
+    assert [r.key_rows for r in whole.collect()] == [60_000]
+    assert _hot(daily, by_day, "k", min_rows=1000) == _hot(daily, whole, "k", min_rows=1000) == {"hot"}
+
+
+def test_sketches_find_all_frequent_keys(spark):
+    """Among very many rare keys, those with over one row in a thousand."""
+    keys = F.when(F.col("id") % 500 < 3, F.col("id") % 500).otherwise(F.col("id") + 1000)
+    rows_ = spark.range(0, 400_000, 1, 8).select(keys.alias("k"))
+    assert _hot(rows_, key_sketches(rows_, [["k"]]), "k", min_rows=1) == {0, 1, 2}
 
 
 def test_spread_rank_equals_window(spark):
@@ -139,6 +168,38 @@ def test_facts_over_large_inputs(spark):
     assert rows(facts.fct_order_items(*lines, **LARGE)) == rows(models.fct_order_items)
 
 
+def test_kept_sketches_spare_a_pass_over_the_facts(spark, tmp_path):
+    """With bounds that make every input count as large, each fact is read once."""
+    models = entry._models(spark, "/root/testdata/sf0.001")
+    for name in ("stg_orders", "stg_order_items", "fct_orders"):
+        models[name].write.parquet(str(tmp_path / name))
+    stored = {n: spark.read.parquet(str(tmp_path / n)) for n in ("stg_orders", "stg_order_items", "fct_orders")}
+    kept = {}
+    for name, keys in (("stg_orders", facts.ORDER_REFERENCES), ("stg_order_items", facts.LINE_REFERENCES)):
+        key_sketches(stored[name], keys).write.parquet(str(tmp_path / f"{name}_sketches"))
+        kept[name] = spark.read.parquet(str(tmp_path / f"{name}_sketches"))
+    dims = (models.dim_customers, models.dim_stores, models.dim_date)
+    for sketches, scans in ((kept["stg_orders"], 1), (None, 2)):
+        orders = facts.fct_orders(stored["stg_orders"], *dims, sketches, **LARGE)
+        assert rows(orders) == rows(models.fct_orders)
+        assert scanned(orders, "stg_orders/") == scans
+    for sketches, scans in ((kept["stg_order_items"], 1), (None, 2)):
+        args = (stored["stg_order_items"], stored["fct_orders"], models.dim_products, sketches)
+        lines = facts.fct_order_items(*args, **LARGE)
+        assert rows(lines) == rows(models.fct_order_items)
+        assert scanned(lines, "stg_order_items/") == scans
+
+
+def scanned(df, folder) -> int:
+    """How many scans of files below a folder ran for all rows of ``df``."""
+    with settings(df.sparkSession, **{"spark.sql.maxMetadataStringLength": "2000"}):
+        df = df.select("*")
+        df.collect()
+        tree = df._jdf.queryExecution().executedPlan().toString()
+    final = tree.split("== Initial Plan ==")[0]
+    return sum(folder.rstrip("/") in line for line in set(re.findall(r"FileScan parquet .*", final)))
+
+
 def test_rankings_of_a_large_product_dimension(spark):
     sf_dir = "/root/testdata/sf0.001"
     models = entry._models(spark, sf_dir)
