@@ -13,6 +13,7 @@ from qcmart.plans import models as m
 from qcmart.plans.job import Job, QualityError, raw_tables
 from qcmart.plans.rules import DIMENSION_KEY_RULES
 from qcmart.sources import tables
+from qcmart.sources.schemas import DAILY_TABLES
 from qcmart.sources.tables import MARTS
 
 def _models(job: Job, raw: Mapping[str, DataFrame]) -> m.Models:
@@ -24,6 +25,7 @@ def _models(job: Job, raw: Mapping[str, DataFrame]) -> m.Models:
         calendar_start=job.calendar_start,
         calendar_end=job.calendar_end,
         holidays=job.holidays,
+        sketches={f"raw_{t}": tables.read_sketches(job.warehouse, t) for t in DAILY_TABLES},
     )
 
 
@@ -52,8 +54,8 @@ def build_models(job: Job) -> m.Models:
 
 
 def _store(job: Job, built: m.Models, name: str) -> None:
-    by = m.PARTITIONS.get(name, ())
-    built.use(name, tables.materialize(job.warehouse, MARTS, name, built[name], by))
+    part, by = m.part_of(name, job.calendar_start, job.calendar_end), m.PARTITIONS.get(name, ())
+    built.use(name, tables.materialize(job.warehouse, MARTS, name, built[name], part, by))
 
 
 # Dimensions that decide rows of other days: their key, the columns that matter, and
@@ -74,7 +76,7 @@ def _other_days_change(job: Job, built: m.Models, raw: Mapping[str, DataFrame],
         if not old.exceptAll(new).isEmpty():
             return True
         added = new.select(key).join(old.select(key), key, "left_anti")
-        elsewhere = raw[referring].where(~_on(F.col("date"), days[referring])).select(key)
+        elsewhere = raw[referring].where(~_on(job, F.col("date"), days[referring])).select(key)
         if not elsewhere.join(added, key, "left_semi").isEmpty():
             return True
     calendar = built["dim_date"]
@@ -82,9 +84,17 @@ def _other_days_change(job: Job, built: m.Models, raw: Mapping[str, DataFrame],
     return not (old.exceptAll(calendar).isEmpty() and calendar.exceptAll(old).isEmpty())
 
 
-def _on(day: Column, days: Collection[str]) -> Column:
-    """True for the given days, false for all others and for no day."""
-    return F.coalesce(day.isin(*[dt.date.fromisoformat(d) for d in days]), F.lit(False))
+def _part(job: Job, day: Column) -> Column:
+    return m.day_part(day, job.calendar_start, job.calendar_end)
+
+
+def _on(job: Job, day: Column, days: Collection[str]) -> Column:
+    """True for rows of the given parts of the calendar, false for all others."""
+    dates = [dt.date.fromisoformat(d) for d in days if d != m.OTHER_DAYS]
+    known = F.coalesce(day.isin(*dates), F.lit(False))
+    if m.OTHER_DAYS not in days:
+        return known
+    return known | F.coalesce(~day.between(F.lit(job.calendar_start), F.lit(job.calendar_end)), F.lit(True))
 
 
 def _months(items: DataFrame) -> set[tuple[int, int]]:
@@ -93,18 +103,22 @@ def _months(items: DataFrame) -> set[tuple[int, int]]:
 
 
 def refresh_models(job: Job, touched: Mapping[str, Collection[str]]) -> m.Models:
-    """Bring the stored models up to date after rows of the ``touched`` dates changed.
+    """Bring the stored models up to date after the rows in the ``touched`` folders came or went.
 
-    Rewrites the facts and daily marts of those days and the rankings of the months
+    Rewrites the facts and daily marts of their days and the rankings of the months
     they reach, and equals a full build. Where that cannot be told from the days, after
     a first load or a change of dimensions that reaches other days, all is built anew.
     """
     raw = raw_tables(job)
     built = _models(job, raw)
     wh = job.warehouse
-    stored = all(wh.exists(MARTS, name) for name in m.BUILD_ORDER)
-    dated = all("__" not in day for days in touched.values() for day in days)
-    if not (stored and dated) or _other_days_change(job, built, raw, touched):
+    if not all(wh.exists(MARTS, name) for name in m.BUILD_ORDER):
+        return build_models(job)
+    days = {
+        f"raw_{t}": tables.days_in(wh, t, touched[f"raw_{t}"], _part(job, F.col("date")))
+        for t in DAILY_TABLES
+    }
+    if _other_days_change(job, built, raw, days):
         return build_models(job)
     require_unique_dimension_keys(raw)
     for name in m.STAGING:
@@ -112,58 +126,52 @@ def refresh_models(job: Job, touched: Mapping[str, Collection[str]]) -> m.Models
     for name in m.DIMENSIONS:
         _store(job, built, name)
 
-    def replace(name: str, df: DataFrame, partitions) -> None:
-        by = m.PARTITIONS[name]
-        table = tables.replace_partitions(wh, MARTS, name, df, by, partitions)
-        built.use(name, table)
+    def replace(name: str, df: DataFrame, parts: Collection[str]) -> None:
+        part = m.part_of(name, job.calendar_start, job.calendar_end)
+        built.use(name, tables.replace_parts(wh, MARTS, name, df, part, parts, m.PARTITIONS[name]))
+
+    def stored(name: str, schema, parts: Collection[str]) -> DataFrame:
+        return tables.read_model(wh, MARTS, name, schema, parts)
 
     day = F.col("order_date")
-    order_days, item_days = set(touched["raw_orders"]), set(touched["raw_order_items"])
+    order_days, item_days = set(days["raw_orders"]), set(days["raw_order_items"])
     fresh = facts.fct_orders(
-        built.stg_orders.where(_on(day, order_days)),
+        built.stg_orders.where(_on(job, day, order_days)),
         built.dim_customers,
         built.dim_stores,
         built.dim_date,
+        built.sketches["raw_orders"],
     )
-    old_orders = tables.read_model(wh, MARTS, "fct_orders", fresh.schema)
-    changed = old_orders.where(_on(day, order_days)).select("order_id")
+    changed = stored("fct_orders", fresh.schema, order_days).select("order_id")
     changed = changed.unionAll(
-        built.stg_orders.where(_on(day, order_days)).select("order_id")
+        built.stg_orders.where(_on(job, day, order_days)).select("order_id")
     )
     # Lines of other days that belong to a changed order change with it.
-    affected = built.stg_order_items.where(~_on(day, item_days))
-    affected = affected.join(changed, "order_id", "left_semi").select("order_date")
-    affected_days = [r.order_date for r in affected.distinct().collect()]
-    if None in affected_days:
-        return build_models(job)
-    item_days.update(d.isoformat() for d in affected_days)
+    affected = built.stg_order_items.where(~_on(job, day, item_days))
+    affected = affected.join(changed, "order_id", "left_semi").select(_part(job, day).alias("part"))
+    item_days.update(r.part for r in affected.distinct().collect())
     items_schema = built.fct_order_items.schema
-    old_items = tables.read_model(wh, MARTS, "fct_order_items", items_schema)
-    months = _months(old_items.where(_on(day, item_days)))
+    months = _months(stored("fct_order_items", items_schema, item_days))
 
-    replace("fct_orders", fresh, [[d] for d in order_days])
-    lines = built.stg_order_items.where(_on(day, item_days))
-    same_days = built.fct_orders.where(_on(day, order_days | item_days))
+    replace("fct_orders", fresh, order_days)
+    lines = built.stg_order_items.where(_on(job, day, item_days))
+    same_days = stored("fct_orders", fresh.schema, order_days | item_days)
     unmatched = lines.select("order_id").join(same_days, "order_id", "left_anti")
-    elsewhere = built.fct_orders.where(~_on(day, order_days | item_days))
+    elsewhere = built.fct_orders.where(~_on(job, day, order_days | item_days))
     headers = same_days.unionAll(elsewhere.join(unmatched, "order_id", "left_semi"))
     replace(
         "fct_order_items",
-        facts.fct_order_items(lines, headers, built.dim_products),
-        [[d] for d in item_days],
+        facts.fct_order_items(lines, headers, built.dim_products, built.sketches["raw_order_items"]),
+        item_days,
     )
-    months |= _months(built.fct_order_items.where(_on(day, item_days)))
+    months |= _months(stored("fct_order_items", items_schema, item_days))
 
-    orders = built.fct_orders.where(_on(day, order_days))
-    replace(
-        "mart_daily_sales",
-        marts.mart_daily_sales(orders, built.dim_date),
-        [[d] for d in order_days],
-    )
+    orders = stored("fct_orders", fresh.schema, order_days)
+    replace("mart_daily_sales", marts.mart_daily_sales(orders, built.dim_date), order_days)
     replace(
         "mart_store_performance",
         marts.mart_store_performance(orders, built.dim_stores, built.dim_date),
-        [[d] for d in order_days],
+        order_days,
     )
     in_months = F.expr("date_key div 100").isin(*[y * 100 + n for y, n in months])
     replace(
@@ -171,6 +179,6 @@ def refresh_models(job: Job, touched: Mapping[str, Collection[str]]) -> m.Models
         marts.mart_product_rankings(
             built.fct_order_items.where(in_months), built.dim_products, built.dim_date
         ),
-        months,
+        {f"{y}-{n}" for y, n in months},
     )
     return built

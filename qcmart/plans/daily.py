@@ -64,6 +64,7 @@ def run_range(
     if report.failed_checks:
         raise QualityError(f"{report.failed_checks} daily checks failed")
     report.published = publish(job, built)
+    tables.clean(job.warehouse, job.kept)
     return report
 
 

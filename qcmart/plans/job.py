@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from qcmart.operators import dimensions
 from qcmart.operators.quality import Rule
 from qcmart.plans.rules import ALL_RULES
-from qcmart.sources import jdbc, tables
+from qcmart.sources import commits, jdbc, tables
 from qcmart.sources.schemas import RAW_TABLES
 from qcmart.sources.tables import Warehouse
 
@@ -48,16 +48,17 @@ class Job:
     serving: jdbc.ServingDatabase | None = None
     published: Sequence[str] = PUBLISHED
     multiline: bool = False
+    kept: dt.timedelta = commits.KEPT
 
 
 @dataclass
 class RunReport:
-    """What a run did: counts of the text that came in, rows loaded per raw table, dates
-    whose rows came or went, failures per rule, failed daily checks, rows published."""
+    """What a run did: counts of the text that came in, rows loaded per raw table, folders
+    of the rows that came or went, failures per rule, failed daily checks, rows published."""
 
     extracted: dict[str, dict[str, int]] = field(default_factory=dict)
     loaded: dict[str, int] = field(default_factory=dict)
-    touched: dict[str, set[str]] = field(default_factory=dict)
+    touched: dict[str, list[str]] = field(default_factory=dict)
     failures: dict[str, int] = field(default_factory=dict)
     failed_checks: int = 0
     published: dict[str, int] = field(default_factory=dict)

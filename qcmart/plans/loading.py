@@ -28,7 +28,7 @@ def load_days(job: Job, days: Sequence[dt.date], report: RunReport) -> None:
     for table in DAILY_TABLES:
         present = raw_files.days_present(job.spark, job.raw_path, table, days)
         name = f"raw_{table}"
-        report.loaded[name], report.touched[name] = 0, set()
+        report.loaded[name], report.touched[name] = 0, []
         if not present:
             report.extracted[table] = {"rows": 0}
             continue

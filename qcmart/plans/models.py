@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from qcmart.operators import dimensions, facts, marts, staging
 
@@ -17,7 +18,7 @@ FACTS = ("fct_orders", "fct_order_items")
 MARTS = ("mart_daily_sales", "mart_store_performance", "mart_product_rankings")
 BUILD_ORDER = DIMENSIONS + FACTS + MARTS
 
-# Columns by which a stored model is partitioned.
+# Columns that name the part of a stored model that a row belongs to.
 PARTITIONS = {
     "fct_orders": ("order_date",),
     "fct_order_items": ("order_date",),
@@ -26,12 +27,31 @@ PARTITIONS = {
     "mart_product_rankings": ("year", "month"),
 }
 
+# The part of rows whose day is missing or outside the calendar.
+OTHER_DAYS = "other"
+
+
+def part_of(name: str, start: dt.date, end: dt.date) -> Column | None:
+    """The part of a stored model that a row belongs to: a day of the calendar, other days, or a month."""
+    by = PARTITIONS.get(name)
+    if by is None:
+        return None
+    if by == ("order_date",):
+        return day_part(F.col("order_date"), start, end)
+    return F.concat_ws("-", *[F.col(c).cast("string") for c in by])
+
+
+def day_part(day: Column, start: dt.date, end: dt.date) -> Column:
+    known = F.when(day.between(F.lit(start), F.lit(end)), day.cast("string"))
+    return F.coalesce(known, F.lit(OTHER_DAYS))
+
 
 @dataclass
 class Models:
     """The models over a set of raw tables, each built when first asked for.
 
-    ``raw`` maps ``raw_orders`` and its siblings to DataFrames.
+    ``raw`` maps ``raw_orders`` and its siblings to DataFrames; ``sketches``, where they
+    are kept, ``raw_orders`` and ``raw_order_items`` to sketches of their keys.
     """
 
     spark: SparkSession
@@ -41,6 +61,7 @@ class Models:
     calendar_start: dt.date = dimensions.CALENDAR_START
     calendar_end: dt.date = dimensions.CALENDAR_END
     holidays: Sequence[str] = dimensions.HOLIDAYS
+    sketches: Mapping[str, DataFrame] = field(default_factory=dict)
 
     def use(self, name: str, df: DataFrame) -> None:
         """Take ``df`` as the model ``name`` from now on, typically its written table."""
@@ -93,13 +114,20 @@ class Models:
     @cached_property
     def fct_orders(self) -> DataFrame:
         return facts.fct_orders(
-            self.stg_orders, self.dim_customers, self.dim_stores, self.dim_date
+            self.stg_orders,
+            self.dim_customers,
+            self.dim_stores,
+            self.dim_date,
+            self.sketches.get("raw_orders"),
         )
 
     @cached_property
     def fct_order_items(self) -> DataFrame:
         return facts.fct_order_items(
-            self.stg_order_items, self.fct_orders, self.dim_products
+            self.stg_order_items,
+            self.fct_orders,
+            self.dim_products,
+            self.sketches.get("raw_order_items"),
         )
 
     @cached_property

@@ -1,26 +1,35 @@
 """The stored layers: raw tables, models, audit trail and kept failures.
 
-Everything is Parquet below one warehouse path and registered in the session
-catalog as external tables, so data outlives any catalog. The cleaned daily tables
-are the warehouse tables; there is no second copy to load.
+Everything is Parquet below one warehouse path, replaced by commits (see ``commits``) and
+registered in the session catalog as external tables, so data outlives any catalog. The
+cleaned daily tables are the warehouse tables; there is no second copy to load.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Sequence
+import uuid
+from collections.abc import Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qcmart.sources import files
+from qcmart.operators.facts import LINE_REFERENCES, ORDER_REFERENCES
+from qcmart.operators.sketches import SKETCHES, key_sketches
+from qcmart.sources import commits, files
+from qcmart.sources.commits import PART
 from qcmart.sources.schemas import AUDIT_LOG, DAILY_TABLES, LOAD_DATE, REFERENCE_TABLES
 
 RAW, STAGING, MARTS, QUALITY = "raw", "staging", "marts", "quality"
 AUDIT_TABLE = "audit_log"
-DAY_PARTITIONS = ("date", LOAD_DATE)
+
+# Keys of the daily tables whose frequent values are sketched with every load.
+REFERENCES = {"orders": ORDER_REFERENCES, "order_items": LINE_REFERENCES}
+
+# Parts that one statement adds to the catalog.
+PARTS_AT_ONCE = 500
 
 
 @dataclass(frozen=True)
@@ -41,158 +50,158 @@ class Warehouse:
         return f"{self.path}/{layer}/{name}"
 
     def exists(self, layer: str, name: str) -> bool:
-        return files.exists(self.spark, self.location(layer, name))
+        return commits.exists(self.spark, self.location(layer, name))
 
+    def parts(self, layer: str, name: str) -> dict[str, str]:
+        """The data folder of each part of a table."""
+        return commits.parts(self.spark, self.location(layer, name))
 
-def _columns(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
-
-def _stored_schema(table: str) -> T.StructType:
-    """Columns of a daily table as stored: partition columns last."""
-    fields = [f for f in DAILY_TABLES[table].fields if f.name != "date"]
-    days = [T.StructField(c, T.DateType()) for c in DAY_PARTITIONS]
-    return T.StructType(fields + days)
+def _daily_schema(table: str) -> T.StructType:
+    """A daily table as stored: its columns and the day of the file that a row came from."""
+    return T.StructType([*DAILY_TABLES[table].fields, T.StructField(LOAD_DATE, T.DateType())])
 
 
 def ensure_tables(wh: Warehouse) -> None:
     """Create the databases and the typed raw and audit tables that are not there yet.
 
-    Tables found on disk but not in the catalog get their partitions back.
+    Tables found on disk but not in the catalog are registered with all their parts.
     """
     spark = wh.spark
     for layer in (RAW, STAGING, MARTS, QUALITY):
         spark.sql(f"create database if not exists {wh.database(layer)}")
-    wanted = [(RAW, f"raw_{t}", _stored_schema(t), DAY_PARTITIONS) for t in DAILY_TABLES]
-    wanted += [(RAW, f"raw_{t}", s, ()) for t, s in REFERENCE_TABLES.items()]
-    wanted.append((QUALITY, AUDIT_TABLE, AUDIT_LOG, ("run_date",)))
-    for layer, name, schema, partitions in wanted:
-        table = wh.table(layer, name)
-        if spark.catalog.tableExists(table):
-            continue
-        by = f"partitioned by ({', '.join(partitions)})" if partitions else ""
-        spark.sql(
-            f"create table {table} ({_columns(schema)}) using parquet {by} "
-            f"location '{wh.location(layer, name)}'"
-        )
-        if partitions and wh.exists(layer, name):
-            spark.catalog.recoverPartitions(table)
-
-
-def read_raw(wh: Warehouse, table: str) -> DataFrame:
-    """A raw table in its declared column order, daily tables with their load day last."""
-    if table in DAILY_TABLES:
-        schema, columns = _stored_schema(table), [*DAILY_TABLES[table].names, LOAD_DATE]
-    else:
-        schema, columns = REFERENCE_TABLES[table], REFERENCE_TABLES[table].names
-    if not wh.exists(RAW, f"raw_{table}"):
-        return wh.spark.createDataFrame([], schema).select(*columns)
-    return wh.spark.read.schema(schema).parquet(wh.location(RAW, f"raw_{table}")).select(*columns)
-
-
-Partition = tuple[tuple[str, object], ...]
-
-
-def _directory(partition: Partition) -> str:
-    """Relative directory of a partition given as (column, value) pairs."""
-    return "/".join(
-        f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in partition
-    )
-
-
-def _overwrite_partitions(
+    wanted = [(RAW, f"raw_{t}", _daily_schema(t), True) for t in DAILY_TABLES]
+    wanted += [(RAW, f"raw_{t}", s, False) for t, s in REFERENCE_TABLES.items()]
+    wanted.append((QUALITY, AUDIT_TABLE, AUDIT_LOG, True))
+    for layer, name, schema, in_parts in wanted:
+        if not spark.catalog.tableExists(wh.table(layer, name)):
+            _register(wh, layer, name, schema, wh.parts(layer, name), in_parts=in_parts)
+
+
+def _register(
+    wh: Warehouse,
+    layer: str,
+    name: str,
+    schema: T.StructType,
+    added: Mapping[str, str],
+    dropped: Iterable[str] = (),
+    in_parts: bool = True,
+) -> None:
+    """Make the catalog name the folders of a table. A table in parts shows them in a partition column."""
+    spark, table, root = wh.spark, wh.table(layer, name), wh.location(layer, name)
+    folder = added.get(commits.WHOLE, f"{root}/data/none")
+    columns = [f for f in schema.fields if f.name != PART]
+    shown = T.StructType([*columns, T.StructField(PART, T.StringType())] if in_parts else columns)
+    if spark.catalog.tableExists(table):
+        known = [(f.name, f.dataType) for f in spark.table(table).schema.fields]
+        if known != [(f.name, f.dataType) for f in shown.fields]:
+            spark.sql(f"drop table {table}")
+            added = wh.parts(layer, name)
+    if not spark.catalog.tableExists(table):
+        typed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shown.fields)
+        by, where = (f"partitioned by ({PART})", f"{root}/data") if in_parts else ("", folder)
+        spark.sql(f"create table {table} ({typed}) using parquet {by} location '{where}'")
+    elif not in_parts:
+        spark.sql(f"alter table {table} set location '{folder}'")
+    if in_parts:
+        changed = sorted({*added, *dropped})
+        for k in range(0, len(changed), PARTS_AT_ONCE):
+            some = changed[k : k + PARTS_AT_ONCE]
+            gone = ", ".join(f"partition ({PART}='{p}')" for p in some)
+            spark.sql(f"alter table {table} drop if exists {gone}")
+            new = " ".join(f"partition ({PART}='{p}') location '{added[p]}'" for p in some if p in added)
+            if new:
+                spark.sql(f"alter table {table} add {new}")
+    spark.catalog.refreshTable(table)
+
+
+def _replace(
     wh: Warehouse,
     layer: str,
     name: str,
     rows: DataFrame,
-    by: Sequence[str],
-    replaced: Callable[[str], bool],
-) -> tuple[int, set[str]]:
-    """Write ``rows`` over the partitions they fall in and drop those that ``replaced``
-    names and no row falls in any more; row count and directories before and after.
-
-    The dynamic overwrite commits new partitions in one step and leaves all others
-    untouched; old ones are dropped afterwards, so a failure in between never leaves
-    a partition without its rows. The rebalance gives partitions files of even size:
-    large ones are split over tasks, small ones are packed.
-    """
-    root = wh.location(layer, name)
-    depth = len(by)
-    found = files.glob(wh.spark, "/".join([root, *[f"{c}=*" for c in by]]))
-    before = {"/".join(path.split("/")[-depth:]) for path in found}
-    before = {directory for directory in before if replaced(directory)}
-    written = Observation()
-    counted = rows.observe(
-        written,
-        F.count(F.lit(1)).alias("rows"),
-        F.collect_set(F.struct(*by)).alias("partitions"),
-    )
-    (
-        counted.hint("rebalance", *by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(root)
-    )
-    after = {_directory(tuple(zip(by, p))) for p in written.get["partitions"]}
-    for directory in before - after:
-        files.remove_tree(wh.spark, f"{root}/{directory}")
-    sync_partitions(wh, layer, name)
-    return written.get["rows"], before | after
+    part: Column | None = None,
+    replaced: Collection[str] = (),
+    by: Sequence[str] = (),
+    whole: bool = False,
+) -> dict[str, str]:
+    """Write ``rows`` as new parts, which replace all of ``replaced`` (with ``whole``, all there are), in
+    one commit; the folders of the new parts. Without ``part`` the rows are one part."""
+    location, schema = wh.location(layer, name), rows.schema
+    added = commits.write(rows, location, part, by)
+    gone = set(replaced) - set(added)
+    if whole:
+        gone |= set(wh.parts(layer, name)) - set(added)
+    commits.commit(wh.spark, location, added, gone, whole)
+    folders = {k: f"{location}/data/{v}" for k, v in added.items()}
+    _register(wh, layer, name, schema, folders, gone, in_parts=part is not None)
+    return folders
+
+
+def read_raw(wh: Warehouse, table: str, load_dates: Collection[str] | None = None) -> DataFrame:
+    """A raw table in its declared column order, daily tables with their load day last and, if asked,
+    only what certain load days brought."""
+    schema = _daily_schema(table) if table in DAILY_TABLES else REFERENCE_TABLES[table]
+    found = wh.parts(RAW, f"raw_{table}")
+    folders = [f for k, f in found.items() if load_dates is None or k in load_dates]
+    return commits.read(wh.spark, folders, schema)
 
 
 def replace_days(
     wh: Warehouse, table: str, rows: DataFrame, load_dates: Sequence[dt.date]
-) -> tuple[int, set[str]]:
-    """Replace everything that was loaded from the files of ``load_dates``.
+) -> tuple[int, list[str]]:
+    """Replace everything that was loaded from the files of ``load_dates``, and the sketches of its keys.
 
-    A repeated load leaves the same table. Returns the row count and the dates, as
-    text, of all rows that came or went.
+    A repeated load leaves the same table. Returns the row count and the folders of all
+    rows that came or went; those that went can still be read for a while.
     """
-    suffixes = {f"{LOAD_DATE}={d}" for d in load_dates}
-    count, touched = _overwrite_partitions(
-        wh,
-        RAW,
-        f"raw_{table}",
-        rows.select(*_stored_schema(table).names),
-        DAY_PARTITIONS,
-        lambda directory: directory.rsplit("/", 1)[1] in suffixes,
-    )
-    return count, {d.split("/")[0].removeprefix("date=") for d in touched}
+    name, days = f"raw_{table}", [d.isoformat() for d in load_dates]
+    before = wh.parts(RAW, name)
+    written = Observation()
+    counted = rows.select(*_daily_schema(table).names).observe(written, F.count(F.lit(1)).alias("rows"))
+    added = _replace(wh, RAW, name, counted, F.col(LOAD_DATE).cast("string"), days, ["date"])
+    stored = commits.read(wh.spark, added.values(), _daily_schema(table))
+    sketches = key_sketches(stored, REFERENCES[table], per=[LOAD_DATE])
+    _replace(wh, RAW, f"key_sketches_{table}", sketches, F.col(LOAD_DATE).cast("string"), days)
+    gone = [before[d] for d in days if d in before]
+    return written.get["rows"], [*gone, *added.values()]
+
 
+def read_sketches(wh: Warehouse, table: str) -> DataFrame:
+    """Sketches of the keys of a daily table, one for each load day and key."""
+    return commits.read(wh.spark, wh.parts(RAW, f"key_sketches_{table}").values(), SKETCHES)
 
-def sync_partitions(wh: Warehouse, layer: str, name: str) -> None:
-    """Make the catalog agree with the partitions on disk."""
-    wh.spark.sql(f"msck repair table {wh.table(layer, name)} sync partitions")
+
+def days_in(wh: Warehouse, table: str, folders: Collection[str], part: Column) -> set[str]:
+    """The parts that the rows in some folders of a daily table belong to."""
+    rows = commits.read(wh.spark, folders, _daily_schema(table))
+    return {r.part for r in rows.select(part.alias("part")).distinct().collect()}
 
 
 def replace_reference(wh: Warehouse, table: str, rows: DataFrame) -> int:
     """Replace a reference table as a whole; row count."""
     written = Observation()
     counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(wh.location(RAW, f"raw_{table}"))
-    wh.spark.catalog.refreshTable(wh.table(RAW, f"raw_{table}"))
+    _replace(wh, RAW, f"raw_{table}", counted, whole=True)
     return written.get["rows"]
 
 
 def append_audit(wh: Warehouse, results: DataFrame) -> int:
-    """Add one row per check result, stamped with the time of writing; failed checks."""
+    """Add one row per check result, stamped with the time of writing; failed checks.
+
+    Every call adds a part of its own, so calls at the same time keep each other's rows.
+    """
     written = Observation()
     stamped = results.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
     rows = stamped.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in AUDIT_LOG.fields]
     ).observe(written, F.count_if(F.col("status") == "FAIL").alias("failed"))
-    rows.hint("rebalance").write.mode("append").partitionBy("run_date").parquet(
-        wh.location(QUALITY, AUDIT_TABLE)
-    )
-    sync_partitions(wh, QUALITY, AUDIT_TABLE)
+    _replace(wh, QUALITY, AUDIT_TABLE, rows, F.lit(uuid.uuid4().hex))
     return written.get["failed"]
 
 
 def read_audit(wh: Warehouse) -> DataFrame:
-    if not wh.exists(QUALITY, AUDIT_TABLE):
-        return wh.spark.createDataFrame([], AUDIT_LOG)
-    return wh.spark.read.schema(AUDIT_LOG).parquet(wh.location(QUALITY, AUDIT_TABLE))
+    return commits.read(wh.spark, wh.parts(QUALITY, AUDIT_TABLE).values(), AUDIT_LOG)
 
 
 def keep_rejects(
@@ -202,13 +211,15 @@ def keep_rejects(
 
     Without ``rows`` only the earlier ones go.
     """
-    root = wh.location(QUALITY, f"rejected_{table}")
-    for day in load_dates:
-        files.remove_tree(wh.spark, f"{root}/{LOAD_DATE}={day.isoformat()}")
+    name, days = f"rejected_{table}", [d.isoformat() for d in load_dates]
     if rows is not None:
-        rows.hint("rebalance", LOAD_DATE).write.mode("append").partitionBy(
-            LOAD_DATE
-        ).parquet(root)
+        _replace(wh, QUALITY, name, rows, F.col(LOAD_DATE).cast("string"), days)
+        return
+    gone = set(days) & set(wh.parts(QUALITY, name))
+    if gone:
+        commits.commit(wh.spark, wh.location(QUALITY, name), {}, gone)
+        schema = wh.spark.table(wh.table(QUALITY, name)).schema
+        _register(wh, QUALITY, name, schema, {}, gone)
 
 
 def publish_view(df: DataFrame, name: str) -> None:
@@ -221,42 +232,43 @@ def materialize(
     layer: str,
     name: str,
     df: DataFrame,
+    part: Column | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Write a model as a table, replacing it, and return the table as written."""
-    location = wh.location(layer, name)
-    even = df.hint("rebalance", *by) if by else df
-    writer = even.write.mode("overwrite").format("parquet").option("path", location)
-    if by:
-        writer = writer.partitionBy(*by)
-    writer.saveAsTable(wh.table(layer, name))
-    return read_model(wh, layer, name, df.schema)
+    """Write a model as a table, replacing it, and return the table as written.
+
+    ``part`` names the part of a row. The table changes at once when all is written.
+    """
+    added = _replace(wh, layer, name, df, part, by=by, whole=True)
+    return commits.read(wh.spark, added.values(), df.schema)
 
 
 def read_model(
-    wh: Warehouse, layer: str, name: str, schema: T.StructType | None = None
+    wh: Warehouse,
+    layer: str,
+    name: str,
+    schema: T.StructType | None = None,
+    parts: Collection[str] | None = None,
 ) -> DataFrame:
-    """A stored model; with ``schema`` also one that has no partition yet."""
-    reader = wh.spark.read if schema is None else wh.spark.read.schema(schema)
-    stored = reader.parquet(wh.location(layer, name))
-    return stored if schema is None else stored.select(*schema.names)
+    """A stored model or some of its parts; with ``schema`` also one that has no part yet."""
+    found = wh.parts(layer, name)
+    folders = sorted(f for k, f in found.items() if parts is None or k in parts)
+    if schema is None:
+        return wh.spark.read.option("recursiveFileLookup", True).parquet(*folders)
+    return commits.read(wh.spark, folders, schema)
 
 
-def replace_partitions(
+def replace_parts(
     wh: Warehouse,
     layer: str,
     name: str,
     df: DataFrame,
-    by: Sequence[str],
-    partitions: Iterable[Sequence[object]],
+    part: Column,
+    replaced: Collection[str],
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Replace the named partitions of a model with ``df``; the table as written.
-
-    ``partitions`` holds the values of the ``by`` columns; ``df`` has rows of no other
-    partition.
-    """
-    named = {_directory(tuple(zip(by, values))) for values in partitions}
-    _overwrite_partitions(wh, layer, name, df, by, named.__contains__)
+    """Replace the named parts of a model with ``df``, which has rows of no other part; the table as written."""
+    _replace(wh, layer, name, df, part, replaced, by)
     return read_model(wh, layer, name, df.schema)
 
 
@@ -264,3 +276,9 @@ def drop_model(wh: Warehouse, layer: str, name: str) -> None:
     """Forget a table and remove its files."""
     wh.spark.sql(f"drop table if exists {wh.table(layer, name)}")
     files.remove_tree(wh.spark, wh.location(layer, name))
+
+
+def clean(wh: Warehouse, kept: dt.timedelta = commits.KEPT) -> None:
+    """Remove what was replaced, or written and never committed, longer ago than ``kept``."""
+    for log in files.glob(wh.spark, f"{wh.path}/*/*/_commits"):
+        commits.clean(wh.spark, log.rsplit("/", 1)[0], kept)

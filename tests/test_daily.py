@@ -216,7 +216,7 @@ def test_fractional_quantities_are_kept_aside(job):
     assert [r.qty for r in rejected.collect()] == ["1.5"]
     write_full_day(job.raw_path, DAY)
     load(job, DAY)
-    assert not job.warehouse.exists(QUALITY, f"rejected_order_items/load_date={DAY}")
+    assert not job.warehouse.parts(QUALITY, "rejected_order_items")
 
 
 def test_no_orders_means_no_checks(job):
