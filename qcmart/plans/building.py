@@ -8,9 +8,9 @@ from collections.abc import Collection, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qcmart.operators import facts, marts, quality
+from qcmart.operators import facts, marts, quality, staging
 from qcmart.plans import models as m
-from qcmart.plans.job import Job, QualityError, raw_tables
+from qcmart.plans.job import Job, QualityError, RunReport, raw_tables
 from qcmart.plans.rules import DIMENSION_KEY_RULES
 from qcmart.sources import tables
 from qcmart.sources.schemas import DAILY_TABLES
@@ -59,25 +59,26 @@ def _store(job: Job, built: m.Models, name: str) -> None:
 
 
 # Dimensions that decide rows of other days: their key, the columns that matter, and
-# the raw table that refers to them.
+# the daily table that refers to them.
 _REFERRED = (
-    ("dim_customers", "customer_id", ["customer_id"], "raw_orders"),
-    ("dim_stores", "store_id", None, "raw_orders"),
-    ("dim_products", "product_id", None, "raw_order_items"),
+    ("dim_customers", "customer_id", ["customer_id"], "orders"),
+    ("dim_stores", "store_id", None, "orders"),
+    ("dim_products", "product_id", None, "order_items"),
 )
 
 
-def _other_days_change(job: Job, built: m.Models, raw: Mapping[str, DataFrame], days) -> bool:
-    """True if the new dimensions alter rows of days other than ``days``: if something
-    was removed or altered, or an added key is referred to on another day."""
+def _other_days_change(job: Job, built: m.Models, loaded: Mapping[str, Collection[str]]) -> bool:
+    """True if the new dimensions alter rows of other loads than ``loaded``: if something
+    was removed or altered, or an added key is referred to by another load."""
     for name, key, columns, referring in _REFERRED:
         new = built[name].select(*(columns or built[name].columns))
         old = tables.read_model(job.warehouse, MARTS, name, new.schema)
         if not old.exceptAll(new).isEmpty():
             return True
-        added = new.select(key).join(old.select(key), key, "left_anti")
-        elsewhere = raw[referring].where(~_on(job, F.col("date"), days[referring])).select(key)
-        if not elsewhere.join(added, key, "left_semi").isEmpty():
+        added = new.select(F.col(key).alias("id")).join(old.select(F.col(key).alias("id")), "id", "left_anti")
+        if added.isEmpty():
+            continue
+        if not tables.holders(job.warehouse, referring, key, added, but=loaded[f"raw_{referring}"]).isEmpty():
             return True
     calendar = built["dim_date"]
     old = tables.read_model(job.warehouse, MARTS, "dim_date", calendar.schema)
@@ -102,24 +103,25 @@ def _months(items: DataFrame) -> set[tuple[int, int]]:
     return {divmod(r.m, 100) for r in keys.collect()}
 
 
-def refresh_models(job: Job, touched: Mapping[str, Collection[str]]) -> m.Models:
-    """Bring the stored models up to date after the rows in the ``touched`` folders came or went.
+def refresh_models(job: Job, report: RunReport) -> m.Models:
+    """Bring the stored models up to date after the loads of ``report``.
 
-    Rewrites the facts and daily marts of their days and the rankings of the months
-    they reach, and equals a full build. Where that cannot be told from the days, after
-    a first load or a change of dimensions that reaches other days, all is built anew.
+    Rewrites the facts and daily marts of the days whose rows came or went and the rankings of
+    the months they reach, and equals a full build. Of other loads it reads what the index of
+    keys names. Where the days don't tell, after a first load or a change of dimensions
+    that reaches other loads, all is built anew.
     """
     raw = raw_tables(job)
     built = _models(job, raw)
     wh = job.warehouse
     if not all(wh.exists(MARTS, name) for name in m.BUILD_ORDER):
         return build_models(job)
+    if _other_days_change(job, built, report.loads):
+        return build_models(job)
     days = {
-        f"raw_{t}": tables.days_in(wh, t, touched[f"raw_{t}"], _part(job, F.col("date")))
+        f"raw_{t}": tables.days_in(wh, t, report.touched[f"raw_{t}"], _part(job, F.col("date")))
         for t in DAILY_TABLES
     }
-    if _other_days_change(job, built, raw, days):
-        return build_models(job)
     require_unique_dimension_keys(raw)
     for name in m.STAGING:
         tables.publish_view(built[name], name)
@@ -135,29 +137,34 @@ def refresh_models(job: Job, touched: Mapping[str, Collection[str]]) -> m.Models
 
     day = F.col("order_date")
     order_days, item_days = set(days["raw_orders"]), set(days["raw_order_items"])
+    orders = _rows_of(job, "orders", order_days)
     fresh = facts.fct_orders(
-        built.stg_orders.where(_on(job, day, order_days)),
+        staging.stg_orders(orders),
         built.dim_customers,
         built.dim_stores,
         built.dim_date,
         built.sketches["raw_orders"],
     )
-    changed = stored("fct_orders", fresh.schema, order_days).select("order_id")
-    changed = changed.unionAll(
-        built.stg_orders.where(_on(job, day, order_days)).select("order_id")
-    )
+    changed = stored("fct_orders", fresh.schema, order_days).select(F.col("order_id").alias("id"))
+    changed = changed.unionAll(orders.select(F.col("order_id").alias("id")))
     # Lines of other days that belong to a changed order change with it.
-    affected = built.stg_order_items.where(~_on(job, day, item_days))
-    affected = affected.join(changed, "order_id", "left_semi").select(_part(job, day).alias("part"))
-    item_days.update(r.part for r in affected.distinct().collect())
+    own = report.loads["raw_order_items"]
+    affected = tables.load_days_of(tables.holders(wh, "order_items", "order_id", changed, but=own))
+    affected = staging.stg_order_items(tables.read_raw(wh, "order_items", affected))
+    affected = affected.join(changed, affected.order_id == F.col("id"), "left_semi")
+    item_days.update(r.part for r in affected.select(_part(job, day).alias("part")).distinct().collect())
     items_schema = built.fct_order_items.schema
     months = _months(stored("fct_order_items", items_schema, item_days))
 
     replace("fct_orders", fresh, order_days)
-    lines = built.stg_order_items.where(_on(job, day, item_days))
+    lines = staging.stg_order_items(_rows_of(job, "order_items", item_days))
     same_days = stored("fct_orders", fresh.schema, order_days | item_days)
     unmatched = lines.select("order_id").join(same_days, "order_id", "left_anti")
-    elsewhere = built.fct_orders.where(~_on(job, day, order_days | item_days))
+    elsewhere = tables.holders(wh, "orders", "order_id", unmatched.select(F.col("order_id").alias("id")))
+    elsewhere = tables.read_raw(wh, "orders", tables.load_days_of(elsewhere))
+    other_days = elsewhere.join(unmatched, "order_id", "left_semi").select(_part(job, F.col("date")).alias("part"))
+    other_days = {r.part for r in other_days.distinct().collect()} - order_days - item_days
+    elsewhere = stored("fct_orders", fresh.schema, other_days)
     headers = same_days.unionAll(elsewhere.join(unmatched, "order_id", "left_semi"))
     replace(
         "fct_order_items",
@@ -173,12 +180,22 @@ def refresh_models(job: Job, touched: Mapping[str, Collection[str]]) -> m.Models
         marts.mart_store_performance(orders, built.dim_stores, built.dim_date),
         order_days,
     )
-    in_months = F.expr("date_key div 100").isin(*[y * 100 + n for y, n in months])
+    in_months = [d for d in _calendar(job) if (d.year, d.month) in months]
+    items = stored("fct_order_items", items_schema, {d.isoformat() for d in in_months})
     replace(
         "mart_product_rankings",
-        marts.mart_product_rankings(
-            built.fct_order_items.where(in_months), built.dim_products, built.dim_date
-        ),
+        marts.mart_product_rankings(items, built.dim_products, built.dim_date),
         {f"{y}-{n}" for y, n in months},
     )
     return built
+
+
+def _calendar(job: Job) -> list[dt.date]:
+    days = (job.calendar_end - job.calendar_start).days + 1
+    return [job.calendar_start + dt.timedelta(n) for n in range(days)]
+
+
+def _rows_of(job: Job, table: str, days: Collection[str]) -> DataFrame:
+    """The raw rows of some days, from the loads that hold any."""
+    loads = tables.loads_with(job.warehouse, table, lambda day: _on(job, day, days))
+    return tables.read_raw(job.warehouse, table, loads).where(_on(job, F.col("date"), days))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qcmart.operators import quality
@@ -36,12 +37,20 @@ def run_checks(job: Job, days: Sequence[dt.date]) -> int:
 
     Days without orders are skipped. Returns the number of failed checks.
     """
-    raw = raw_tables(job)
-    on_days = F.col("date").isin(*days)
+    wh, on_days = job.warehouse, F.col("date").isin(*days)
+
+    def rows_of(table: str) -> DataFrame:
+        loads = tables.loads_with(wh, table, lambda day: F.coalesce(day.isin(*days), F.lit(False)))
+        return tables.read_raw(wh, table, loads).where(on_days)
+
+    orders, items = rows_of("orders"), rows_of("order_items")
+    # Orders of other days are read from the loads that hold one that is missing.
+    missing = items.join(orders, "order_id", "left_anti").select(F.col("order_id").alias("id"))
+    others = tables.load_days_of(tables.holders(wh, "orders", "order_id", missing))
     results = quality.daily_check_results(
-        raw["raw_orders"].where(on_days),
-        raw["raw_order_items"].where(on_days),
-        all_orders=raw["raw_orders"],
+        orders,
+        items,
+        all_orders=tables.read_raw(wh, "orders", others) if others else None,
         min_rows=job.min_daily_rows,
     )
     return tables.append_audit(job.warehouse, results)

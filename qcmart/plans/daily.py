@@ -51,7 +51,7 @@ def run_range(
     loading.load_days(job, days, report)
     loading.load_references(job, report)
     if incremental:
-        built = building.refresh_models(job, report.touched)
+        built = building.refresh_models(job, report)
     else:
         built = building.build_models(job)
     files.remove_tree(job.spark, pending)

@@ -29,6 +29,7 @@ def load_days(job: Job, days: Sequence[dt.date], report: RunReport) -> None:
         present = raw_files.days_present(job.spark, job.raw_path, table, days)
         name = f"raw_{table}"
         report.loaded[name], report.touched[name] = 0, []
+        report.loads[name] = [d.isoformat() for d in present]
         if not present:
             report.extracted[table] = {"rows": 0}
             continue

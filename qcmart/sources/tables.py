@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Collection, Iterable, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qcmart.operators.facts import LINE_REFERENCES, ORDER_REFERENCES
+from qcmart.operators import key_index
 from qcmart.operators.sketches import SKETCHES, key_sketches
 from qcmart.sources import commits, files
 from qcmart.sources.commits import PART
@@ -28,6 +29,12 @@ AUDIT_TABLE = "audit_log"
 # Keys of the daily tables whose frequent values are sketched with every load.
 REFERENCES = {"orders": ORDER_REFERENCES, "order_items": LINE_REFERENCES}
 
+# Keys of the daily tables by which other loads look for their rows.
+INDEXED = {
+    "orders": ("order_id", "customer_id", "store_id", "date"),
+    "order_items": ("order_id", "product_id", "date"),
+}
+
 # Parts that one statement adds to the catalog.
 PARTS_AT_ONCE = 500
 
@@ -150,7 +157,8 @@ def read_raw(wh: Warehouse, table: str, load_dates: Collection[str] | None = Non
 def replace_days(
     wh: Warehouse, table: str, rows: DataFrame, load_dates: Sequence[dt.date]
 ) -> tuple[int, list[str]]:
-    """Replace everything that was loaded from the files of ``load_dates``, and the sketches of its keys.
+    """Replace everything that was loaded from the files of ``load_dates``, with the sketches and the
+    index of its keys.
 
     A repeated load leaves the same table. Returns the row count and the folders of all
     rows that came or went; those that went can still be read for a while.
@@ -163,6 +171,9 @@ def replace_days(
     stored = commits.read(wh.spark, added.values(), _daily_schema(table))
     sketches = key_sketches(stored, REFERENCES[table], per=[LOAD_DATE])
     _replace(wh, RAW, f"key_sketches_{table}", sketches, F.col(LOAD_DATE).cast("string"), days)
+    texts = stored.withColumn("date", F.coalesce(F.col("date").cast("string"), F.lit("")))
+    index = key_index.key_index(texts, INDEXED[table], LOAD_DATE)
+    _replace(wh, RAW, f"key_index_{table}", index, F.col(LOAD_DATE).cast("string"), days, ["key", "bucket"])
     gone = [before[d] for d in days if d in before]
     return written.get["rows"], [*gone, *added.values()]
 
@@ -172,6 +183,31 @@ def read_sketches(wh: Warehouse, table: str) -> DataFrame:
     return commits.read(wh.spark, wh.parts(RAW, f"key_sketches_{table}").values(), SKETCHES)
 
 
+def holders(
+    wh: Warehouse, table: str, key: str, ids: DataFrame, but: Collection[str] = ()
+) -> DataFrame:
+    """(id, load_date) of the load days, ``but`` some, whose rows of a daily table have one of ``ids``
+    (column id) as ``key``. Reads the index of these days, and keys only where its bitmaps let one through."""
+    found = {k: f for k, f in wh.parts(RAW, f"key_index_{table}").items() if k not in but}
+
+    def read(days: Collection[str]) -> DataFrame:
+        return commits.read(wh.spark, [found[d] for d in days], key_index.schema(LOAD_DATE))
+
+    return key_index.holders(read(found), lambda days: read([str(d) for d in days]), key, ids, LOAD_DATE)
+
+
+def loads_with(wh: Warehouse, table: str, wanted: Callable[[Column], Column]) -> set[str]:
+    """The load days that brought a daily table a row whose date, NULL included, is wanted."""
+    found = wh.parts(RAW, f"key_index_{table}").values()
+    index = commits.read(wh.spark, found, key_index.schema(LOAD_DATE)).where("key = 'date'")
+    return load_days_of(index.where(F.exists("ids", lambda day: wanted(day.try_cast("date")))))
+
+
+def load_days_of(holding: DataFrame) -> set[str]:
+    """The load days that ``holders`` found."""
+    return {str(r[0]) for r in holding.select(LOAD_DATE).distinct().collect()}
+
+
 def days_in(wh: Warehouse, table: str, folders: Collection[str], part: Column) -> set[str]:
     """The parts that the rows in some folders of a daily table belong to."""
     rows = commits.read(wh.spark, folders, _daily_schema(table))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -317,6 +318,43 @@ def test_incremental_runs_equal_a_full_build(job, monkeypatch):
     assert cities == {"Goa"}
 
 
+def test_incremental_run_reads_only_loads_that_hold_its_keys(job):
+    """Files of loads that no key or day leads to may even be unreadable."""
+    month = [DAY + dt.timedelta(n) for n in range(-40, 2)]
+    for day in (month[0], month[1], DAY, NEXT):
+        write_full_day(job.raw_path, day)
+    # A line of an early day belongs to an order that comes last, and a row has no date.
+    early = item(900, month[0], order_id="late-order")
+    write_day(job.raw_path, "order_items", month[0], [*[item(i, month[0]) for i in range(120)], early])
+    daily_rows = [order(i, NEXT) for i in range(120)] + [order(700, NEXT, date="")]
+    write_day(job.raw_path, "orders", NEXT, daily_rows)
+    load(job, *month)
+    loading.load_references(job, RunReport())
+    building.build_models(job)
+    write_day(job.raw_path, "orders", DAY, [*[order(i, DAY) for i in range(110)], order(1, DAY, order_id="late-order")])
+    report = load(job, DAY)
+
+    def unreadable(layer, name, part):
+        """Its files with junk in place of their rows; what they were."""
+        folder = pathlib.Path(job.warehouse.parts(layer, name)[part])
+        before = {f: f.read_bytes() for f in [*folder.glob("*.parquet"), *folder.glob(".*.crc")]}
+        for file in before:
+            file.write_bytes(b"junk") if file.suffix == ".parquet" else file.unlink()
+        return before
+
+    unread = [unreadable(tables.RAW, t, str(month[1])) for t in ("raw_orders", "raw_order_items")]
+    unread += [unreadable(MARTS, t, str(month[1])) for t in ("fct_orders",)]
+    building.refresh_models(job, report)
+    assert checking.run_checks(job, [DAY]) == 1  # lines of orders that are no more
+    for file, content in [x for before in unread for x in before.items()]:
+        file.write_bytes(content)
+    refreshed = stored(job)
+    lines = tables.read_model(job.warehouse, MARTS, "fct_order_items").where("order_id = 'late-order'")
+    assert [r.customer_key is not None for r in lines.collect()] == [True]
+    building.build_models(job)
+    assert stored(job) == refreshed
+
+
 def test_profiles_of_raw_files(job):
     write_references(job.raw_path)
     write_full_day(job.raw_path, DAY, 4)
