@@ -20,8 +20,8 @@ def sql_round(x: Column, digits: int = 0) -> Column:
 
 
 def to_dec(x: Column, precision: int, digits: int = 2) -> Column:
-    """Double to fixed-point decimal, rounding the double and not its text."""
-    return sql_round(x, digits).cast(f"decimal({precision},{digits})")
+    """Double to fixed-point decimal, rounding the double and not its text; NULL where it doesn't fit."""
+    return sql_round(x, digits).try_cast(f"decimal({precision},{digits})")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

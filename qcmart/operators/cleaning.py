@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -118,3 +120,55 @@ def load_metrics(table: str) -> dict[str, Column]:
     if table == "order_items":
         counts["fractional_qty"] = F.count_if(fractional_qty())
     return counts
+
+
+# Digits before the point that the models keep of an amount.
+AMOUNT_DIGITS = {"total_amount": 10, "unit_price": 8, "line_total": 10}
+
+NUMBERS = {"orders": ("total_amount", "delivery_minutes"), "order_items": ("qty", "unit_price", "line_total")}
+MOMENTS = {"created_at": as_timestamp, "date": as_day}
+
+
+def dead_letters(text: DataFrame, table: str, per: Sequence[str] = ()) -> DataFrame:
+    """One row for each value that is lost or costs its row its place: (``per``, row_key, column_name,
+    value, reason, rejected).
+
+    Reasons are ``missing key``, ``unreadable``, ``out of range`` and ``fractional``. ``rejected`` says that
+    the row goes; otherwise only the value does, or the total keeps the order out of the models.
+    """
+    key = "order_id" if table == "orders" else "order_item_id"
+    return text.select(*per, F.col(key).alias("row_key"), F.inline(findings(table)))
+
+
+def findings(table: str) -> Column:
+    """The array of a raw row's findings, see ``dead_letters``."""
+    keys = ORDER_KEYS if table == "orders" else ITEM_KEYS
+    found = []
+    for column in [f.name for f in (RAW_ORDERS if table == "orders" else RAW_ORDER_ITEMS).fields]:
+        present = blank_to_null(column)
+        reason = F.when(present.isNull(), "missing key") if column in keys else F.lit(None).cast("string")
+        if column in NUMBERS[table]:
+            reason = F.get(F.transform(F.array(as_number(present)), partial(_number_finding, column)), F.lit(0))
+            reason = F.when(present.isNotNull(), reason)
+        elif column in MOMENTS:
+            unreadable = present.isNotNull() & MOMENTS[column](present).isNull()
+            reason = F.when(unreadable, "unreadable").otherwise(reason)
+        elif column == "is_late":
+            reason = F.when(unreadable_flag(column), "unreadable")
+        elif column not in keys:
+            continue
+        rejected = (reason == "fractional") | F.lit(column in keys)
+        found.append(
+            F.struct(F.lit(column).alias("column_name"), F.col(column).alias("value"), reason.alias("reason"), rejected.alias("rejected"))
+        )
+    return F.filter(F.array(*found), lambda f: f["reason"].isNotNull())
+
+
+def _number_finding(column: str, number: Column) -> Column:
+    reason = F.when(number.isNull(), "unreadable")
+    if column in AMOUNT_DIGITS:
+        largest = 10 ** AMOUNT_DIGITS[column] - 0.005
+        return reason.when(F.abs(number) >= largest, "out of range")
+    if column == "qty":
+        reason = reason.when(number != F.rint(number), "fractional")
+    return reason.when(F.rint(number).try_cast("int").isNull(), "out of range")

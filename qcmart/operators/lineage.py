@@ -5,20 +5,27 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to a new folder in the one that driver and executors share, and read it there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, which the session names in ``spark.checkpoint.dir``.
 
-    The session names the shared folder in ``spark.checkpoint.dir``. Only where it names
-    none, as on a single machine, a temporary one is named here.
+    Only on a single machine, as in tests, a temporary one is made where none is named.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="qcmart-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/cut-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to a new folder in the one that driver and executors share, and read it there."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,8 +7,9 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -58,27 +59,46 @@ def failing_rows(df: DataFrame, rule: Rule) -> DataFrame:
 def failure_counts(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
     """One row per rule with the number of failures.
 
-    All single-row rules of a table share one scan; each ``unique`` rule needs a
-    grouping of its own.
+    All single-row rules of a table share one scan. All ``unique`` rules share one grouping, by
+    rule and value, of one scan per table; values are combined before its shuffle.
     """
     together: dict[str, list[str]] = defaultdict(list)
-    parts: list[DataFrame] = []
+    unique: dict[str, list[tuple[int, Rule]]] = defaultdict(list)
+    labels: list[str] = []
     for rule in rules:
         label = (
             f"'{rule.table}' as table_name, '{rule.column}' as column_name, "
             f"'{rule.kind}' as test"
         )
         if rule.kind == "unique":
-            repeated = failing_rows(tables[rule.table], rule)
-            parts.append(repeated.selectExpr(f"inline(array(struct({label}, count(*) as failing)))"))
+            unique[rule.table].append((len(labels), rule))
+            labels.append(label)
         else:
             failing = f"count_if({violation(rule)}) as failing"
             together[rule.table].append(f"struct({label}, {failing})")
+    parts: list[DataFrame] = []
+    if unique:
+        values = [_values(tables[name], some) for name, some in unique.items()]
+        counts = reduce(DataFrame.unionAll, values).groupBy("rule", "value").agg(F.count("*").alias("n"))
+        failing = [f"struct({label}, count_if(n > 1 and rule = {k}) as failing)" for k, label in enumerate(labels)]
+        parts.append(counts.selectExpr(f"inline(array({', '.join(failing)}))"))
     for name, rows in together.items():
         parts.append(tables[name].selectExpr(f"inline(array({', '.join(rows)}))"))
     return reduce(DataFrame.unionAll, parts)
 
 
+def _values(df: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
+    """(rule, value) of every present value that a ``unique`` rule looks at; equal values are equal texts."""
+
+    def text(column: str) -> Column:
+        # zero has two signs, and equals itself whatever the sign
+        floating = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
+        return (F.col(column) + F.lit(0.0) if floating else F.col(column)).cast("string")
+
+    each = [F.struct(F.lit(k).alias("rule"), text(r.column).alias("value")) for k, r in rules]
+    return df.select(F.inline(F.array(*each))).where("value is not null")
+
+
 def daily_order_counts(raw_orders: DataFrame, min_rows: int = 100) -> DataFrame:
     """Per day of orders, in one pass: rows, NULL ids, non-positive totals, repeated
     ids (a NULL id counts as repeated) and whether there are enough rows."""

@@ -21,6 +21,7 @@ def banded(value: Column, bands: tuple[tuple[int, str], ...], top: str) -> Colum
 
 
 def stg_orders(raw_orders: DataFrame) -> DataFrame:
+    """Orders with their keys and a positive total that fits twelve digits."""
     moment = F.col("created_at").cast("timestamp_ntz")
     accepted = raw_orders.where(
         "order_id is not null and customer_id is not null and total_amount > 0"
@@ -39,7 +40,7 @@ def stg_orders(raw_orders: DataFrame) -> DataFrame:
         F.hour(moment).alias("order_hour"),
         dow0(moment).alias("order_dow"),
         is_weekend(moment).alias("is_weekend"),
-    )
+    ).where("total_amount is not null")
 
 
 def stg_order_items(raw_order_items: DataFrame) -> DataFrame:

@@ -53,6 +53,14 @@ def build_models(job: Job) -> m.Models:
     return built
 
 
+def stored_models(job: Job) -> m.Models:
+    """The models as they were written last."""
+    built = _models(job, raw_tables(job))
+    for name in m.BUILD_ORDER:
+        built.use(name, tables.read_model(job.warehouse, MARTS, name, built[name].schema))
+    return built
+
+
 def _store(job: Job, built: m.Models, name: str) -> None:
     part, by = m.part_of(name, job.calendar_start, job.calendar_end), m.PARTITIONS.get(name, ())
     built.use(name, tables.materialize(job.warehouse, MARTS, name, built[name], part, by))

@@ -31,12 +31,14 @@ def read_mart(job: Job, name: str) -> DataFrame:
 
 
 def run_range(
-    job: Job, start: dt.date, end: dt.date, incremental: bool = False
+    job: Job, start: dt.date, end: dt.date, incremental: bool = False, resume: bool = False
 ) -> RunReport:
     """Load all days of the range in one go, build the models once, check, publish.
 
     All models are rebuilt unless ``incremental``, which rewrites only what the days
-    reach and gives the same tables.
+    reach and gives the same tables. With ``resume``, files that were loaded as they are
+    now, by this run before it stopped or by another, are not loaded again, and models
+    that nothing has changed since are not built again.
     A broken rule or check stops the run after its result has been written and
     before anything is published.
     """
@@ -46,11 +48,13 @@ def run_range(
     # Set from the first load to the last model: a run that finds it follows one that
     # stopped in between, and cannot tell from its own days what is out of date.
     pending = f"{job.warehouse.path}/_models_pending"
-    incremental = incremental and not files.exists(job.spark, pending)
+    stopped = files.exists(job.spark, pending)
     files.mark(job.spark, pending)
-    loading.load_days(job, days, report)
-    loading.load_references(job, report)
-    if incremental:
+    loading.load_days(job, days, report, resume)
+    loading.load_references(job, report, resume)
+    if resume and not stopped and not any(report.loads.values()):
+        built = building.stored_models(job)
+    elif incremental and not stopped:
         built = building.refresh_models(job, report)
     else:
         built = building.build_models(job)
@@ -59,7 +63,7 @@ def run_range(
     broken = sorted(name for name, n in report.failures.items() if n)
     if broken:
         raise QualityError(f"failed rules: {', '.join(broken)}")
-    if report.loaded["raw_orders"]:
+    if report.loaded["raw_orders"] or resume:
         report.failed_checks = checking.run_checks(job, days)
     if report.failed_checks:
         raise QualityError(f"{report.failed_checks} daily checks failed")

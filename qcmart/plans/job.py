@@ -53,10 +53,11 @@ class Job:
 
 @dataclass
 class RunReport:
-    """What a run did: counts of the text that came in, rows loaded per raw table, its
+    """What a run did: counts of the text that came in and of what was wrong in it, rows loaded per raw table, its
     load days and the folders of the rows that came or went, failures per rule, failed daily checks, rows published."""
 
     extracted: dict[str, dict[str, int]] = field(default_factory=dict)
+    dead_letters: dict[str, int] = field(default_factory=dict)
     loaded: dict[str, int] = field(default_factory=dict)
     loads: dict[str, list[str]] = field(default_factory=dict)
     touched: dict[str, list[str]] = field(default_factory=dict)

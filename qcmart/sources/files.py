@@ -39,6 +39,13 @@ def older_than(spark: SparkSession, pattern: str, moment: dt.datetime) -> list[s
     return sorted(s.getPath().toString() for s in _found(spark, pattern) if s.getModificationTime() < limit)
 
 
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """What changes when a file, or a directory of files, is written again: names, sizes and times."""
+    fs, hadoop_path = _resolve(spark, path)
+    status = [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(hadoop_path)]
+    return str(sorted(status))
+
+
 def remove_tree(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _resolve(spark, path)
     fs.delete(hadoop_path, True)

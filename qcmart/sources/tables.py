@@ -7,6 +7,7 @@ cleaned daily tables are the warehouse tables; there is no second copy to load.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
@@ -241,13 +242,14 @@ def read_audit(wh: Warehouse) -> DataFrame:
 
 
 def keep_rejects(
-    wh: Warehouse, table: str, rows: DataFrame | None, load_dates: Sequence[dt.date]
+    wh: Warehouse, table: str, rows: DataFrame | None, load_dates: Sequence[dt.date], kind: str = "rejected"
 ) -> None:
-    """Keep rejected raw rows by load day, replacing those of an earlier load.
+    """Keep rows about a raw table by load day (``kind``: rejected ones, or dead letters), replacing
+    those of an earlier load.
 
     Without ``rows`` only the earlier ones go.
     """
-    name, days = f"rejected_{table}", [d.isoformat() for d in load_dates]
+    name, days = f"{kind}_{table}", [d.isoformat() for d in load_dates]
     if rows is not None:
         _replace(wh, QUALITY, name, rows, F.col(LOAD_DATE).cast("string"), days)
         return
@@ -318,3 +320,24 @@ def clean(wh: Warehouse, kept: dt.timedelta = commits.KEPT) -> None:
     """Remove what was replaced, or written and never committed, longer ago than ``kept``."""
     for log in files.glob(wh.spark, f"{wh.path}/*/*/_commits"):
         commits.clean(wh.spark, log.rsplit("/", 1)[0], kept)
+
+
+def _ledger(wh: Warehouse, table: str) -> str:
+    return f"{wh.path}/_ledger/{table}"
+
+
+def note_loaded(wh: Warehouse, table: str, inputs: Mapping[str, str]) -> None:
+    """Note that inputs, given by name with the fingerprint of their files, are loaded."""
+    for name, fingerprint in inputs.items():
+        path = f"{_ledger(wh, table)}/{name}"
+        files.remove_tree(wh.spark, path)
+        files.write_text(wh.spark, path, fingerprint)
+
+
+def loaded_inputs(wh: Warehouse, table: str, names: Iterable[str]) -> dict[str, str]:
+    """The fingerprints under which inputs were loaded last."""
+    found = {}
+    for name in names:
+        with contextlib.suppress(files.Missing):
+            found[name] = files.read_text(wh.spark, f"{_ledger(wh, table)}/{name}")
+    return found

@@ -220,6 +220,100 @@ def test_fractional_quantities_are_kept_aside(job):
     assert not job.warehouse.parts(QUALITY, "rejected_order_items")
 
 
+def test_bad_amounts_are_kept_aside_and_the_build_goes_on(job):
+    write_full_day(job.raw_path, DAY)
+    orders = [order(i, DAY) for i in range(116)]
+    orders += [
+        order(116, DAY, total_amount="1e11"),
+        order(117, DAY, total_amount="9999999999.99"),
+        order(118, DAY, customer_id="", delivery_minutes="soon", is_late="maybe"),
+        order(119, DAY, created_at="never", date="?"),
+    ]
+    write_day(job.raw_path, "orders", DAY, orders)
+    lines = [item(i, DAY) for i in range(117)]
+    lines += [
+        item(117, DAY, qty="1.5", line_total="12f"),
+        item(118, DAY, qty="99999999999", unit_price="1e8"),
+        item(119, DAY, qty="NA", line_total="inf"),
+    ]
+    write_day(job.raw_path, "order_items", DAY, lines)
+    report = load(job, DAY)
+    loading.load_references(job, RunReport())
+    assert report.dead_letters == {"orders": 6, "order_items": 5}
+
+    def letters(table):
+        kept = tables.read_model(job.warehouse, QUALITY, f"dead_letters_{table}").collect()
+        assert {r.load_date for r in kept} == {DAY}
+        return {(r.row_key[-3:], r.column_name, r.value, r.reason, r.rejected) for r in kept}
+
+    assert letters("orders") == {
+        ("116", "total_amount", "1e11", "out of range", False),
+        ("118", "customer_id", None, "missing key", True),
+        ("118", "delivery_minutes", "soon", "unreadable", False),
+        ("118", "is_late", "maybe", "unreadable", False),
+        ("119", "created_at", "never", "unreadable", True),
+        ("119", "date", "?", "unreadable", False),
+    }
+    assert letters("order_items") == {
+        ("117", "qty", "1.5", "fractional", True),
+        ("117", "line_total", "12f", "unreadable", False),
+        ("118", "qty", "99999999999", "out of range", False),
+        ("118", "unit_price", "1e8", "out of range", False),
+        ("119", "line_total", "inf", "unreadable", False),
+    }
+    raw = {r.order_id[-3:]: r.total_amount for r in raw_tables(job)["raw_orders"].collect()}
+    assert raw["116"] == 1e11 and len(raw) == 118
+    built = building.build_models(job)
+    totals = {r.order_id[-3:]: r.total_amount for r in built.fct_orders.collect()}
+    assert len(totals) == 117 and "116" not in totals and float(totals["117"]) == 9999999999.99
+    # a file without faults takes its letters back
+    write_full_day(job.raw_path, DAY)
+    assert load(job, DAY).dead_letters == {"orders": 0, "order_items": 0}
+    assert not job.warehouse.parts(QUALITY, "dead_letters_orders")
+
+
+def test_backfill_resumes_where_it_stopped(job, spark, tmp_path, monkeypatch):
+    days = [DAY + dt.timedelta(n) for n in range(4)]
+    for day in days:
+        write_full_day(job.raw_path, day)
+    monkeypatch.setattr(loading, "DAYS_AT_ONCE", 1)
+    loads, replace_days = [], tables.replace_days
+
+    def counted(wh, table, rows, load_dates, stop=None):
+        if (table, load_dates[0]) == stop:
+            raise ConnectionError("lost")
+        loads.extend((table, d) for d in load_dates)
+        return replace_days(wh, table, rows, load_dates)
+
+    monkeypatch.setattr(tables, "replace_days", lambda *a: counted(*a, stop=("orders", days[2])))
+    with pytest.raises(ConnectionError):
+        daily.run_range(job, days[0], days[-1], resume=True)
+    assert loads == [("orders", d) for d in days[:2]]
+    monkeypatch.setattr(tables, "replace_days", counted)
+    loads.clear()
+    report = daily.run_range(job, days[0], days[-1], resume=True)
+    assert loads == [("orders", d) for d in days[2:]] + [("order_items", d) for d in days]
+    assert report.loaded["raw_orders"] == 240 and report.loaded["raw_order_items"] == 480
+
+    # nothing changed: nothing is loaded or built; a changed file is
+    built = []
+    build_models = building.build_models
+    monkeypatch.setattr(building, "build_models", lambda job: built.append(1) or build_models(job))
+    loads.clear()
+    daily.run_range(job, days[0], days[-1], resume=True)
+    assert not loads and not built
+    write_day(job.raw_path, "orders", days[1], [order(i, days[1]) for i in range(110)])
+    write_day(job.raw_path, "order_items", days[1], [item(i, days[1]) for i in range(110)])
+    daily.run_range(job, days[0], days[-1], resume=True)
+    assert loads == [("orders", days[1]), ("order_items", days[1])] and built == [1]
+
+    at_once = Job(
+        spark, job.raw_path, Warehouse(spark, str(tmp_path / "at_once"), prefix=f"t{next(COUNT)}_"), as_of=job.as_of
+    )
+    daily.run_range(at_once, days[0], days[-1])
+    assert stored(job) == stored(at_once)
+
+
 def test_no_orders_means_no_checks(job):
     report = daily.run_day(job, DAY)
     assert report.failed_checks == 0
