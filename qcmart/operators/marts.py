@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qcmart.functions import davg, pct, quotient_avg, ratio, sql_round
+from qcmart.functions import davg, pct, ratio, sql_round
 from qcmart.operators.ranking import dense_rank_spread
 from qcmart.operators.sizing import broadcast_if_small
 
@@ -36,37 +36,75 @@ def _with_status(status: str) -> Column:
     return F.col("status") == status
 
 
-def _order_measures() -> dict[str, Column]:
-    """Measures shared by the two order marts."""
-    delivered, cancelled = _with_status("delivered"), _with_status("cancelled")
+# The finest grain that the marts of orders are made from.
+GRAIN = ("date_key", "order_date", "city", "store_key")
+COUNTERS = (
+    "total_orders", "delivered_orders", "cancelled_orders", "returned_orders", "late_orders",
+    "total_gmv", "net_revenue", "minutes", "timed_orders",
+)
+
+
+def order_counters(orders: DataFrame) -> DataFrame:
+    """Sums of orders per day, city and store, which add up to those of any coarser grain.
+
+    One row for each GRAIN, however many orders. ``hours`` holds the orders of each hour of the
+    day: twenty-four counters keep the aggregate fixed in size and inside code generation.
+    """
+    delivered = _with_status("delivered")
     minutes = F.when(delivered, F.col("delivery_minutes"))
-    return {
-        "total_orders": F.count("order_id"),
-        "delivered_orders": F.count_if(delivered),
-        "cancelled_orders": F.count_if(cancelled),
-        "unique_customers": F.count_distinct("customer_key"),
-        "total_gmv": F.sum("total_amount"),
-        "avg_order_value": sql_round(quotient_avg(F.col("total_amount")), 2),
-        "avg_delivery_minutes": sql_round(F.avg(minutes), 1),
-        "cancelled_pct": pct(F.count_if(cancelled), F.count("order_id")),
-        "late_pct": pct(F.count_if(F.col("is_late")), F.count_if(delivered)),
-    }
+    revenue = F.when(delivered, F.col("total_amount")).otherwise(0)
+    return orders.groupBy(*GRAIN).agg(
+        F.count("order_id").alias("total_orders"),
+        F.count_if(delivered).alias("delivered_orders"),
+        F.count_if(_with_status("cancelled")).alias("cancelled_orders"),
+        F.count_if(_with_status("returned")).alias("returned_orders"),
+        F.count_if(F.col("is_late")).alias("late_orders"),
+        F.sum("total_amount").alias("total_gmv"),
+        F.sum(revenue.cast("decimal(12,2)")).alias("net_revenue"),
+        F.sum(minutes).alias("minutes"),
+        F.count(minutes).alias("timed_orders"),
+        F.count("total_amount").alias("priced_orders"),
+        F.array(*[F.count_if(F.col("order_hour") == h) for h in range(24)]).alias("hours"),
+    )
+
+
+def order_buyers(orders: DataFrame) -> DataFrame:
+    """The distinct customers of each day, city and store, of which any coarser grain's are a subset's union."""
+    return orders.select(*GRAIN, "customer_key").distinct()
+
+
+def order_measures(counters: DataFrame, buyers: DataFrame, keys: list[str]) -> DataFrame:
+    """All measures of orders by ``keys``, columns of the counters and buyers, added up from daily state."""
+    sums = [F.sum(c).alias(c) for c in (*COUNTERS, "priced_orders")]
+    hours = [F.sum(F.col("hours")[h]).alias(f"__h{h}") for h in range(24)]
+    customers = buyers.select(*keys, "customer_key").distinct()
+    customers = customers.groupBy(*keys).agg(F.count("customer_key").alias("unique_customers"))
+    # counted apart, or every customer's row of the shuffle would carry all counters
+    added = counters.groupBy(*keys).agg(*sums, *hours)
+    same = [added[k].eqNullSafe(customers[k]) for k in keys]
+    added = added.join(customers, same).drop(*[customers[k] for k in keys])
+    hours = F.array(*[F.col(f"__h{h}") for h in range(24)])
+    most = F.array_max(hours)
+    return added.withColumns(
+        {
+            "avg_order_value": sql_round(ratio(F.col("total_gmv"), F.col("priced_orders")), 2),
+            "avg_delivery_minutes": sql_round(ratio(F.col("minutes"), F.col("timed_orders")), 1),
+            "cancelled_pct": pct(F.col("cancelled_orders"), F.col("total_orders")),
+            "late_pct": pct(F.col("late_orders"), F.col("delivered_orders")),
+            # the most frequent hour, the earliest of equals; NULL when no hour is known
+            "peak_hour": F.when(most > 0, F.array_position(hours, most).cast("int") - 1),
+        }
+    )
 
 
 def _grouped(df: DataFrame, keys: list[str], measures: dict[str, Column]) -> DataFrame:
     return df.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])
 
 
-def mart_daily_sales(orders: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Sales per day and order city. Orders outside the calendar are left out."""
-    revenue = F.when(_with_status("delivered"), F.col("total_amount")).otherwise(0)
-    measures = _order_measures() | {
-        "returned_orders": F.count_if(_with_status("returned")),
-        "net_revenue": F.sum(revenue.cast("decimal(12,2)")),
-    }
-    sales = _grouped(
-        orders.where(F.col("date_key").isNotNull()), ["date_key", "city"], measures
-    )
+def daily_sales(counters: DataFrame, buyers: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Sales per day and order city, from daily state. Orders outside the calendar are left out."""
+    counters, buyers = (df.where("date_key is not null") for df in (counters, buyers))
+    sales = order_measures(counters, buyers, ["date_key", "city"])
     return sales.join(F.broadcast(calendar), "date_key").select(
         "date_day",
         "year",
@@ -88,29 +126,18 @@ def mart_daily_sales(orders: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
-def _peak_hour() -> Column:
-    """Most frequent order hour, the earliest of equals; NULL when no hour is known.
-
-    Twenty-four counters keep the aggregate fixed in size and inside code generation.
-    """
-    hours = F.array(*[F.count_if(F.col("order_hour") == h) for h in range(24)])
-    most = F.array_max(hours)
-    return F.when(most > 0, F.array_position(hours, most).cast("int") - 1)
+def mart_daily_sales(orders: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Sales per day and order city. Orders outside the calendar are left out."""
+    return daily_sales(order_counters(orders), order_buyers(orders), calendar)
 
 
-def mart_store_performance(
-    orders: DataFrame, stores: DataFrame, calendar: DataFrame
+def store_performance(
+    counters: DataFrame, buyers: DataFrame, stores: DataFrame, calendar: DataFrame
 ) -> DataFrame:
-    """Sales per day and store, with the store's own city. Orders of unknown stores
-    or outside the calendar are left out."""
-    known = orders.where("date_key is not null and store_key is not null")
-    keys = ["date_key", "store_key"]
-    measures = _order_measures() | {"peak_hour": _peak_hour()}
-    # counted apart, or every customer's row of the shuffle would carry all counters
-    del measures["unique_customers"]
-    buyers = known.select(*keys, "customer_key").distinct()
-    buyers = buyers.groupBy(*keys).agg(F.count("customer_key").alias("unique_customers"))
-    sales = _grouped(known, keys, measures).join(buyers, keys)
+    """Sales per day and store, with the store's own city, from daily state. Orders of unknown
+    stores or outside the calendar are left out."""
+    known = "date_key is not null and store_key is not null"
+    sales = order_measures(counters.where(known), buyers.where(known), ["date_key", "store_key"])
     places = stores.select("store_key", "store_id", "city", "zone", "city_tier")
     sales = sales.join(broadcast_if_small(places), "store_key")
     return sales.join(F.broadcast(calendar), "date_key").select(
@@ -132,6 +159,31 @@ def mart_store_performance(
     )
 
 
+def mart_store_performance(
+    orders: DataFrame, stores: DataFrame, calendar: DataFrame
+) -> DataFrame:
+    """Sales per day and store, with the store's own city. Orders of unknown stores
+    or outside the calendar are left out."""
+    return store_performance(order_counters(orders), order_buyers(orders), stores, calendar)
+
+
+def monthly_sales(counters: DataFrame, buyers: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Sales per month and order city, from daily state: customers of several days count once."""
+    months = F.broadcast(calendar.select("date_key", "year", "month"))
+    counters, buyers = (df.join(months, "date_key") for df in (counters, buyers))
+    keys = ["year", "month", "city"]
+    return order_measures(counters, buyers, keys).select(
+        *keys,
+        *[c for c in COUNTERS if c not in ("minutes", "timed_orders")],
+        "unique_customers",
+        "avg_order_value",
+        "avg_delivery_minutes",
+        "cancelled_pct",
+        "late_pct",
+        "peak_hour",
+    )
+
+
 def mart_product_rankings(
     items: DataFrame,
     products: DataFrame,

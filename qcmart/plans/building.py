@@ -182,10 +182,14 @@ def refresh_models(job: Job, report: RunReport) -> m.Models:
     months |= _months(stored("fct_order_items", items_schema, item_days))
 
     orders = stored("fct_orders", fresh.schema, order_days)
-    replace("mart_daily_sales", marts.mart_daily_sales(orders, built.dim_date), order_days)
+    state = {"order_counters": marts.order_counters(orders), "order_buyers": marts.order_buyers(orders)}
+    for name, df in state.items():
+        replace(name, df, order_days)
+        state[name] = stored(name, df.schema, order_days)
+    replace("mart_daily_sales", marts.daily_sales(*state.values(), built.dim_date), order_days)
     replace(
         "mart_store_performance",
-        marts.mart_store_performance(orders, built.dim_stores, built.dim_date),
+        marts.store_performance(*state.values(), built.dim_stores, built.dim_date),
         order_days,
     )
     in_months = [d for d in _calendar(job) if (d.year, d.month) in months]

@@ -1,4 +1,4 @@
-"""The models in dependency order: staging, dimensions, facts, marts."""
+"""The models in dependency order: staging, dimensions, facts, daily state of orders, marts."""
 
 from __future__ import annotations
 
@@ -16,12 +16,15 @@ STAGING = ("stg_orders", "stg_order_items", "stg_products", "stg_customers", "st
 DIMENSIONS = ("dim_customers", "dim_products", "dim_stores", "dim_date")
 FACTS = ("fct_orders", "fct_order_items")
 MARTS = ("mart_daily_sales", "mart_store_performance", "mart_product_rankings")
-BUILD_ORDER = DIMENSIONS + FACTS + MARTS
+STATE = ("order_counters", "order_buyers")
+BUILD_ORDER = DIMENSIONS + FACTS + STATE + MARTS
 
 # Columns that name the part of a stored model that a row belongs to.
 PARTITIONS = {
     "fct_orders": ("order_date",),
     "fct_order_items": ("order_date",),
+    "order_counters": ("order_date",),
+    "order_buyers": ("order_date",),
     "mart_daily_sales": ("date_day",),
     "mart_store_performance": ("date_day",),
     "mart_product_rankings": ("year", "month"),
@@ -130,14 +133,22 @@ class Models:
             self.sketches.get("raw_order_items"),
         )
 
+    @cached_property
+    def order_counters(self) -> DataFrame:
+        return marts.order_counters(self.fct_orders)
+
+    @cached_property
+    def order_buyers(self) -> DataFrame:
+        return marts.order_buyers(self.fct_orders)
+
     @cached_property
     def mart_daily_sales(self) -> DataFrame:
-        return marts.mart_daily_sales(self.fct_orders, self.dim_date)
+        return marts.daily_sales(self.order_counters, self.order_buyers, self.dim_date)
 
     @cached_property
     def mart_store_performance(self) -> DataFrame:
-        return marts.mart_store_performance(
-            self.fct_orders, self.dim_stores, self.dim_date
+        return marts.store_performance(
+            self.order_counters, self.order_buyers, self.dim_stores, self.dim_date
         )
 
     @cached_property

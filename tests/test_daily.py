@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import collections
 import datetime as dt
 import pathlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from qcmart.operators import cleaning, profiling
+from qcmart.operators import cleaning, marts, profiling
 from qcmart.plans import building, checking, daily, loading, models
 from qcmart.plans.job import Job, QualityError, RunReport, raw_tables
 from qcmart.sources import files, raw_files, tables
@@ -449,6 +450,34 @@ def test_incremental_run_reads_only_loads_that_hold_its_keys(job):
     assert stored(job) == refreshed
 
 
+def test_month_from_daily_state_equals_that_from_the_facts(job):
+    days = [DAY, NEXT, LAST]
+    for day in days:
+        write_full_day(job.raw_path, day)
+    # buyers of several days count once, and orders outside the calendar and of unknown stores not at all
+    orders = [order(i, NEXT) for i in range(118)]
+    orders += [order(118, NEXT, date="1999-01-01"), order(119, NEXT, store_id="S9", customer_id="C9")]
+    write_day(job.raw_path, "orders", NEXT, orders)
+    load(job, *days)
+    loading.load_references(job, RunReport())
+    built = building.build_models(job)
+    months = marts.monthly_sales(built.order_counters, built.order_buyers, built.dim_date)
+    got = {(r.year, r.month, r.city): r for r in months.collect()}
+    assert len(got) == 4
+    facts = [r for r in built.fct_orders.collect() if r.date_key is not None]
+    for (year, month, city), r in got.items():
+        own = [o for o in facts if (o.date_key // 100, o.city) == (year * 100 + month, city)]
+        delivered = [o for o in own if o.status == "delivered"]
+        minutes = [o.delivery_minutes for o in delivered if o.delivery_minutes is not None]
+        hours = collections.Counter(o.order_hour for o in own)
+        assert r.total_orders == len(own) and r.total_gmv == sum(o.total_amount for o in own)
+        assert r.net_revenue == sum(o.total_amount for o in delivered)
+        assert r.unique_customers == len({o.customer_key for o in own if o.customer_key})
+        assert r.avg_delivery_minutes == pytest.approx(sum(minutes) / len(minutes), abs=0.051)
+        assert r.peak_hour == min(h for h in hours if hours[h] == max(hours.values()))
+        assert r.late_pct == pytest.approx(100 * sum(o.is_late for o in own) / len(delivered), abs=0.0051)
+
+
 def test_profiles_of_raw_files(job):
     write_references(job.raw_path)
     write_full_day(job.raw_path, DAY, 4)
