@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -14,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from qcmart.operators.lineage import shared_folder
+
 #: A row count up to which a side with short rows may be broadcast (16 to 64 MB).
 BROADCAST_ROWS = 1_000_000
 
@@ -27,11 +28,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch(spark: SparkSession) -> str:
     """A new folder name in the folder that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:  # no cluster named one: a single machine, as in tests
-        base = tempfile.mkdtemp(prefix="qcmart-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/qcmart-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/qcmart-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame) -> DataFrame:
