@@ -121,7 +121,8 @@ def sign(docs: DataFrame, width: int, keep: str = "") -> DataFrame:
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, pack = common.WordHashes(), zstandard.ZstdCompressor(level=1)
-        for batch in common.batches(rows, 200_000):
+        # permutations take SLOTS bytes a shingle
+        for batch in common.batches(rows, 50_000):
             texts = list(common.texts(batch.column("text")))
             sets = shingle_sets(texts, width, hashes)
             low = (signatures(sets) & np.uint32(0xFF)).astype(np.uint8)
@@ -339,7 +340,8 @@ def grouped(classes: DataFrame, signed: DataFrame, width: int, percent: int) ->
     texts = common.stored(texts.join(members.hint("merge"), ["id", "digest"]).select("id", "size", "sig", "packed"))
 
     pairs = common.stored(proposals(hits.join(texts.drop("packed"), "id"), percent))
-    groups = common.stored(components(verified(pairs, texts, width, percent)))
+    # stored first: two steps of Python in one stage would need two workers a task
+    groups = common.stored(components(common.stored(verified(pairs, texts, width, percent))))
     # in smaller buckets all have been compared
     large = _undecided(hits.where(F.col("n") > ALL).drop("pivot"), groups)
     found = common.stored(in_grids(large.join(texts, "id"), width, percent))
