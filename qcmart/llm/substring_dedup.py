@@ -1,20 +1,30 @@
-"""Substring dedup by looking up windows of words.
-
-Documents are dealt into blocks, and every block is compared with every other. Every window of
-``width`` words that also starts earlier in the corpus (smaller doc_id, or earlier in the same
-document) is repeated, and so are its words. The duplicate spans, called factors, are the maximal
-runs of repeated words, at least ``width`` long. They are no factors of a relative Lempel-Ziv
-parsing: they have no source, and where two repeated passages abut they are one run, though the
-windows across the seam are not repeated.
+"""Substring dedup by relative Lempel-Ziv parsing of documents against all reference blocks.
+
+Documents are dealt into blocks, and the windows of ``width`` words of every block are the reference:
+each distinct window is indexed once in the corpus, by its first start (smaller doc_id, then earlier in
+the document). A window that isn't at its first start has a match there. Matches of neighbouring windows
+on one diagonal (same source document, same distance) that meet or overlap are one match, every word of
+which equals its source.
+
+Each document is factored greedily from its first word: the factor at a word is the match that reaches
+furthest from it; a word without a match is a literal. At the end of a factor, a match may reach on by
+fewer than ``width`` words. It is checked across that boundary: as the window that ends with it and
+begins before the boundary starts earlier too, it becomes a factor that overlaps the one before.
+So each factor has at least ``width`` words, a source document and a start there, and the factors cover
+exactly the words of windows that start earlier. As a window is indexed by its first start alone, a
+factor ends where its source has no further window on that diagonal or in reach of it; a passage may
+then go on as the next factor, from an earlier source.
 
 The index is exchanged as packed arrays. A window is named by the smallest of its 8-word hashes
 (equal windows have equal smallest hashes); first only these, one seventh of the words, meet
 across blocks. Only windows whose name occurs in two blocks are exchanged as whole windows, once
-per block. A passage in every document is thus one entry per block and never gathers in a task.
+per block, and come back with their first start. A passage in every document is thus one entry per
+block and never gathers in a task.
 
 Defined results: null or empty text has no words. Rows that share a doc_id lie on top of each
 other: a start in one is earlier than a later start in another, and equal starts are level. A null
-doc_id comes after all others. Other columns are ignored. Windows are compared by 64-bit hashes.
+doc_id comes after all others, and is null as a source. Other columns are ignored. Windows are compared
+by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -23,6 +33,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,20 +77,19 @@ class Windows:
         names = common.gram_hashes(flat, name_words)
         span = width - name_words + 1
         self.name = _lowest(names, span)[at] if len(at) else np.empty(0, np.uint64)
-        ids = table.column("doc_id").to_pandas()
-        self.doc = ids.fillna(LAST).astype("int64").to_numpy()[self.row]
+        ids = pc.fill_null(table.column("doc_id"), LAST)  # as whole numbers: a double is not exact
+        self.doc = ids.to_numpy()[self.row]
 
-    def earliest(self) -> tuple[np.ndarray, np.ndarray]:
-        """The windows in order of (hash, document, start), and which are level with the
-        first of their hash."""
+    def earliest(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The windows in order of (hash, document, start), the first of the hash of each, and
+        which are level with that."""
         order = np.lexsort((self.start, self.doc, self.hash))
         h, d, s = self.hash[order], self.doc[order], self.start[order]
         new = np.ones(len(order), bool)
         new[1:] = h[1:] != h[:-1]
-        group = np.cumsum(new) - 1
-        where = np.flatnonzero(new)
-        level = (d == d[where][group]) & (s == s[where][group]) if len(order) else new
-        return order, level
+        first = np.flatnonzero(new)[np.cumsum(new) - 1]
+        level = (d == d[first]) & (s == s[first])
+        return order, order[first], level
 
 
 def _packed(buckets: np.ndarray, block: int, columns: list[np.ndarray]) -> pa.Table:
@@ -100,9 +110,9 @@ def _unpacked(table: pa.Table, name: str, kind: type) -> list[np.ndarray]:
     return [np.frombuffer(x.as_py(), kind) for x in table.column(name)]
 
 
-def _by_block(blocks: np.ndarray, values: np.ndarray) -> pa.Table:
-    out = _packed(blocks, 0, [values])
-    return pa.table({"block": out.column("bucket"), "data0": out.column("data0")})
+def _by_block(blocks: np.ndarray, columns: list[np.ndarray]) -> pa.Table:
+    out = _packed(blocks, 0, columns)
+    return out.drop_columns(["block"]).rename_columns({"bucket": "block"})
 
 
 def _all(table: pa.Table) -> np.ndarray:
@@ -137,7 +147,7 @@ def _shared_names(table: pa.Table) -> pa.Table:
     shared = np.zeros(len(names), bool)
     shared[1:] |= same
     shared[:-1] |= same
-    return _by_block(blocks[shared], names[shared])
+    return _by_block(blocks[shared], [names[shared]])
 
 
 def _candidates(buckets: int, width: int):
@@ -145,7 +155,7 @@ def _candidates(buckets: int, width: int):
         if not docs.num_rows:
             return _packed(np.empty(0, np.int32), 0, [np.empty(0, np.uint64)] * 3)
         windows = Windows(docs, width)
-        order, level = windows.earliest()
+        order, _, level = windows.earliest()
         pick = order[level]
         pick = pick[_among(windows.name[pick], _all(shared))]
         # level windows of one hash are told once
@@ -162,7 +172,7 @@ def _candidates(buckets: int, width: int):
 
 
 def _earlier_elsewhere(table: pa.Table) -> pa.Table:
-    """The windows of a bucket that start earlier in another block, for each block."""
+    """The windows of a bucket that start earlier in another block, and where, for each block."""
     hashes = _unpacked(table, "data0", np.uint64)
     blocks = np.repeat(table.column("block").to_numpy(), [len(x) for x in hashes])
     h = np.concatenate(hashes)
@@ -174,44 +184,113 @@ def _earlier_elsewhere(table: pa.Table) -> pa.Table:
     new[1:] = h[1:] != h[:-1]
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
     later = (d != d[first]) | (s != s[first])
-    return _by_block(blocks[later], h[later])
-
-
-FACTORS = "doc_id long, n_words long, starts array<int>, ends array<int>, n_removed long, kept_sha256 string"
+    first = first[later]
+    return _by_block(blocks[later], [h[later], d[first], s[first]])
+
+
+class Matches:
+    """The words of a block that equal words of an earlier start, as runs on one diagonal: document
+    row, first word, word after the last, source document and start; by row, then first word."""
+
+    def __init__(self, windows: Windows, earlier: pa.Table, width: int) -> None:
+        order, first, level = windows.earliest()
+        doc, start = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        doc[order], start[order] = windows.doc[first], windows.start[first]
+        found = np.ones(len(order), bool)
+        found[order[level]] = False
+        hashes = np.concatenate([*_unpacked(earlier, "data0", np.uint64), np.empty(0, np.uint64)])
+        if len(hashes):
+            by_hash = np.argsort(hashes)
+            hashes = hashes[by_hash]
+            at = np.minimum(np.searchsorted(hashes, windows.hash), len(hashes) - 1)
+            elsewhere = hashes[at] == windows.hash
+            at = by_hash[at[elsewhere]]
+            doc[elsewhere] = np.concatenate(_unpacked(earlier, "data1", np.int64))[at]
+            start[elsewhere] = np.concatenate(_unpacked(earlier, "data2", np.int32))[at]
+            found |= elsewhere
+        row, word, doc, start = windows.row[found], windows.start[found], doc[found], start[found]
+        order = np.lexsort((word, word - start, doc, row))
+        row, word, doc, start = row[order], word[order], doc[order], start[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (
+            (row[1:] != row[:-1])
+            | (doc[1:] != doc[:-1])
+            | (word[1:] - start[1:] != word[:-1] - start[:-1])
+            | (word[1:] - word[:-1] > width)
+        )
+        last = np.ones(len(row), bool)
+        last[:-1] = new[1:]
+        runs = row[new], word[new], word[last] + width, doc[new], start[new]
+        order = np.lexsort((runs[4], runs[3], runs[1], runs[0]))
+        self.row, *self.runs = (x[order] for x in runs)
+
+    def of(self, row: int) -> list[tuple[int, int, int, int]]:
+        a, b = np.searchsorted(self.row, [row, row + 1])
+        return list(zip(*(x[a:b].tolist() for x in self.runs), strict=True))
+
+
+def parsed(matches: list[tuple[int, int, int, int]], width: int) -> list[tuple[int, int, int, int]]:
+    """The greedy factors of a document, as (first word, word after the last, source document, start
+    there), from its matches in the same form, each of at least width words, by first word."""
+    factors, reach, word, k = [], None, 0, 0
+    while True:
+        while k < len(matches) and matches[k][0] <= word:
+            if reach is None or matches[k][1] > reach[1]:
+                reach = matches[k]
+            k += 1
+        if reach is not None and reach[1] > word:
+            first, end, doc, start = reach
+            at = min(word, end - width)  # a shorter rest reaches back over the boundary
+            factors.append((at, end, doc, start + at - first))
+            word = end
+        elif k < len(matches):
+            word = matches[k][0]
+        else:
+            return factors
+
+
+def _kept(words: list[bytes], factors: list[tuple[int, int, int, int]]) -> list[bytes]:
+    """The words that no factor covers."""
+    out, word = [], 0
+    for a, b, _, _ in factors:
+        out += words[word:a]
+        word = b
+    return out + words[word:]
+
+
+FACTORS = (
+    "doc_id long, n_words long, starts array<int>, ends array<int>, source_docs array<long>, "
+    "source_starts array<int>, n_removed long, kept_sha256 string"
+)
 
 
 def _factors(width: int):
     def run(key, docs: pa.Table, earlier: pa.Table) -> pa.Table:
         windows = Windows(docs, width, with_words=True)
-        order, level = windows.earliest()
-        repeated = np.ones(len(order), bool)
-        repeated[order[level]] = False
-        repeated |= _among(windows.hash, _all(earlier))
-        step = np.zeros(windows.lengths.sum() + 1, np.int64)
-        at = windows.first_word[windows.row[repeated]] + windows.start[repeated]
-        np.add.at(step, at, 1)
-        np.add.at(step, at + width, -1)
-        covered = np.cumsum(step)[:-1] > 0
-        out = {k: [] for k in ("starts", "ends", "n_removed", "kept_sha256")}
-        for words, a in zip(windows.words, windows.first_word, strict=True):
-            gone = covered[a : a + len(words)]
-            edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
-            out["starts"].append(edge[::2].astype(np.int32))
-            out["ends"].append(edge[1::2].astype(np.int32))
-            out["n_removed"].append(int(gone.sum()))
-            kept = words
-            if len(edge):
-                cuts = [0, *edge.tolist(), len(words)]
-                kept = [w for x, y in zip(cuts[::2], cuts[1::2], strict=True) for w in words[x:y]]
-            out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
+        matches = Matches(windows, earlier, width)
+        flat, sizes, removed, digests = [], [0], [], []
+        for row, words in enumerate(windows.words):
+            factors = parsed(matches.of(row), width)
+            kept = _kept(words, factors)
+            flat += factors
+            sizes.append(len(flat))
+            removed.append(len(words) - len(kept))
+            digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
+        starts, ends, sources, at = np.array(flat, np.int64).reshape(-1, 4).T
+
+        def lists(values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), values)
+
         return pa.table(
             {
                 "doc_id": docs.column("doc_id"),
                 "n_words": pa.array(windows.lengths, pa.int64()),
-                "starts": pa.array(out["starts"], pa.list_(pa.int32())),
-                "ends": pa.array(out["ends"], pa.list_(pa.int32())),
-                "n_removed": pa.array(out["n_removed"], pa.int64()),
-                "kept_sha256": pa.array(out["kept_sha256"], pa.string()),
+                "starts": lists(pa.array(starts, pa.int32())),
+                "ends": lists(pa.array(ends, pa.int32())),
+                "source_docs": lists(pa.array(sources, pa.int64(), mask=sources == LAST)),
+                "source_starts": lists(pa.array(at, pa.int32())),
+                "n_removed": pa.array(removed, pa.int64()),
+                "kept_sha256": pa.array(digests, pa.string()),
             }
         )
 
@@ -220,7 +299,8 @@ def _factors(width: int):
 
 def duplicate_spans(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """For each document its words, the factors [starts, ends) in words that repeat earlier
-    text, how many words they cover and the digest of what is left."""
+    text, the documents and words that they repeat, how many words they cover and the digest of
+    what is left."""
     docs = common.clean_columns(docs, {"doc_id": "long", "text": "string"})
     blocks = common.blocks_of(docs, block_bytes)
     docs = common.dealt(docs.withColumn("block", common.block_number(blocks)), blocks, "block")
@@ -236,7 +316,7 @@ def duplicate_spans(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOC
         "bucket int, block int, data0 binary, data1 binary, data2 binary",
     )
     earlier = common.dealt(windows, blocks, "bucket").groupBy("bucket").applyInArrow(
-        _earlier_elsewhere, "block int, data0 binary"
+        _earlier_elsewhere, "block int, data0 binary, data1 binary, data2 binary"
     )
     earlier = common.dealt(earlier, blocks, "block")
     return docs.groupBy("block").cogroup(earlier.groupBy("block")).applyInArrow(
@@ -245,7 +325,7 @@ def duplicate_spans(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOC
 
 
 def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:
-    """Words of documents that repeat 20 words from earlier text, and the digest of the rest."""
+    """Words of documents in factors of 20 words or more from earlier text, and the digest of the rest."""
     spans = duplicate_spans(common.read_table(spark, sf_dir, "documents"))
     return spans.select(
         "doc_id",
