@@ -188,12 +188,12 @@ def mart_product_rankings(
     items: DataFrame,
     products: DataFrame,
     calendar: DataFrame,
-    **bounds: int,
+    parts: int | None = None,
 ) -> DataFrame:
     """Delivered sales per month and product, ranked by revenue.
 
-    A rank group holds one row per product. The monthly rows are written once and ranked
-    in ranges, however few or many products there are.
+    A rank group holds one row per product. The monthly rows are written once, in ranges of month and
+    revenue (of that many parts, if told), and ranked there, however few or many products there are.
     """
     months = F.broadcast(calendar.select("date_key", "year", "month"))
     sold = items.where(_with_status("delivered") & F.col("product_key").isNotNull())
@@ -213,7 +213,7 @@ def mart_product_rankings(
         "rank_in_category": ["year", "month", "category"],
         "overall_rank": ["year", "month"],
     }
-    sales = dense_rank_spread(sales, "total_revenue", ranks, **bounds)
+    sales = dense_rank_spread(sales, "total_revenue", ranks, parts)
     return sales.select(
         "year",
         "month",

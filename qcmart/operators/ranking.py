@@ -4,68 +4,56 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from qcmart.operators.joins import lookup
 from qcmart.operators.lineage import cut
 
-# Width of a range of values: with two digits, a range holds at most a million of them.
-STEP = 10_000
 
-# Width of a block of ranges: a block holds at most a million.
-BLOCK = 10_000_000_000
+def _offsets(placed: DataFrame, value: str, out: str, groups: list[str]) -> DataFrame:
+    """What is to be added to the ranks within a part, by (``__part``, ``__group``): the number of
+    distinct values in earlier parts of the group, less a last one that goes on in this part.
 
-
-def _ranks(values: DataFrame, out: str) -> DataFrame:
-    """Rank of every (``__group``, ``__value``), highest first, as column ``out``.
-
-    Values, ranges and blocks are structs, in which a NULL equals a NULL and sorts last.
+    Values are structs, in which a NULL equals a NULL and sorts last.
     """
-    value = "__value.v"
-    values = values.withColumns(
-        {
-            "__upper": F.expr(f"struct({value} - pmod({value}, {STEP}BD) as v)"),
-            "__top": F.expr(f"struct({value} - pmod({value}, {BLOCK}BD) as v)"),
-        }
-    )
-    ranges = values.groupBy("__group", "__top", "__upper").agg(F.count("*").alias("__n"))
-    blocks = ranges.groupBy("__group", "__top").agg(F.sum("__n").alias("__n"))
-
-    def above(within: list[str], order: str) -> Column:
-        greater = W.partitionBy(*within).orderBy(F.col(order).desc())
-        counted = F.sum("__n").over(greater.rowsBetween(W.unboundedPreceding, -1))
-        return F.coalesce(counted, F.lit(0))
-
-    blocks = blocks.select("__group", "__top", above(["__group"], "__top").alias("__b"))
-    ranges = ranges.select(
-        "__group", "__top", "__upper", above(["__group", "__top"], "__upper").alias("__r")
-    )
-    place = W.partitionBy("__group", "__top", "__upper").orderBy(F.col("__value").desc())
-    return (
-        values.withColumn("__place", F.row_number().over(place))
-        .join(ranges, ["__group", "__top", "__upper"])
-        .join(blocks, ["__group", "__top"])
-        .select("__group", "__value", F.expr("__b + __r + __place").alias(out))
+    one = F.struct(F.col(value).alias("v"))
+    parts = placed.groupBy("__part", F.struct(*groups).alias("__group")).agg(
+        F.max(out).alias("__n"), F.max(one).alias("__top"), F.min(one).alias("__low")
     )
+    before = W.partitionBy("__group").orderBy("__part")
+    goes_on = F.lag("__low").over(before).eqNullSafe(F.col("__top")).cast("long")
+    parts = parts.withColumn("__again", goes_on)
+    earlier = F.sum(F.expr("__n - __again")).over(before.rowsBetween(W.unboundedPreceding, -1))
+    offset = F.coalesce(earlier, F.lit(0)) - F.col("__again")
+    return parts.select("__part", "__group", offset.alias("__offset"))
 
 
 def dense_rank_spread(
-    df: DataFrame, value: str, ranks: Mapping[str, list[str]], **bounds: int
+    df: DataFrame, value: str, ranks: Mapping[str, list[str]], parts: int | None = None
 ) -> DataFrame:
-    """Add a dense rank of the money column ``value``, highest first, for each of
-    ``ranks``: name of the rank to its grouping columns.
-
-    The rank of a value is one plus the number of distinct greater values. Distinct
-    values are split into ranges, counted per range, and the counts are summed from the
-    top range down, all in exact decimals. No window sorts more than a million rows of a
-    group, short of values beyond 10^16. NULL values rank last. ``df`` is written once to
-    the shared folder, so that what made it is not derived again.
+    """Add a dense rank of the column ``value``, highest first, for each of ``ranks``: name of the rank
+    to its grouping columns.
+
+    Rows are dealt into ranges of (columns common to all groups, value), so that the values of every group
+    fall from one part to the next; one exchange serves all ranks. Equal values may lie in several
+    parts. Rows are ranked within their part, and a table of one row per part and group
+    tells how many values come before. So no window sorts more than a part, whatever the groups and ties,
+    save for rows that are equal in all columns, which lie together. NULL values rank last. ``df`` is
+    written once to the shared folder, in parts; Spark sets their number unless ``parts`` does.
     """
-    ranked = source = cut(df)
+    common = [c for c in df.columns if all(c in groups for groups in ranks.values())]
+    falling = F.col(value).desc_nulls_last()
+    order = [*common, falling, F.xxhash64(*df.columns)]
+    dealt = df.repartitionByRange(*order) if parts is None else df.repartitionByRange(parts, *order)
+    placed = dealt.withColumn("__part", F.spark_partition_id())
+    # the fewest columns first: their exchange serves the other windows too
+    for out, groups in sorted(ranks.items(), key=lambda r: len(r[1])):
+        within = W.partitionBy("__part", *groups).orderBy(falling)
+        placed = placed.withColumn(out, F.dense_rank().over(within).cast("long"))
+    ranked = placed = cut(placed)
     for out, groups in ranks.items():
-        keys = {"__group": F.struct(*groups), "__value": F.struct(F.col(value).alias("v"))}
-        values = source.select(*[c.alias(k) for k, c in keys.items()]).distinct()
-        ranked = lookup(ranked.withColumns(keys), _ranks(values, out), list(keys), **bounds).drop(*keys)
-    return ranked
+        ranked = ranked.withColumn("__group", F.struct(*groups))
+        ranked = ranked.join(_offsets(placed, value, out, groups), ["__part", "__group"])
+        ranked = ranked.withColumn(out, F.col(out) + F.col("__offset")).drop("__group", "__offset")
+    return ranked.select(*df.columns, *ranks)

@@ -142,8 +142,8 @@ def test_spread_rank_equals_window(spark):
     df = df.withColumn("id", F.monotonically_increasing_id()).where("g is null or id % 3 > 0").cache()
     by_window = F.dense_rank().over(W.partitionBy("g").orderBy(F.col("v").desc_nulls_last()))
     expected = rows(df.withColumn("r", by_window))
-    for bounds in ({}, LARGE):
-        assert rows(dense_rank_spread(df, "v", {"r": ["g"]}, **bounds)) == expected
+    for parts in (None, 1, 3, 40):
+        assert rows(dense_rank_spread(df, "v", {"r": ["g"]}, parts)) == expected
 
 
 def test_spread_rank_of_many_values(spark):
@@ -155,8 +155,43 @@ def test_spread_rank_of_many_values(spark):
     by_window = F.dense_rank().over(W.partitionBy("g").orderBy(F.col("v").desc()))
     overall = F.dense_rank().over(W.orderBy(F.col("v").desc()))
     expected = df.withColumn("r", by_window).withColumn("o", overall)
-    spread = dense_rank_spread(df.withColumn("one", F.lit(1)), "v", {"r": ["g"], "o": ["one"]})
-    assert rows(spread.drop("one")) == rows(expected)
+    for parts in (None, 16):
+        spread = dense_rank_spread(df.withColumn("one", F.lit(1)), "v", {"r": ["g"], "o": ["one"]}, parts)
+        assert rows(spread.drop("one")) == rows(expected)
+
+
+def test_spread_rank_of_ties_over_parts(spark):
+    """Two thirds of the rows of a month have one revenue, or none, and lie in several parts."""
+    df = spark.range(6_000).select(
+        "id",
+        F.lit(1).alias("month"),
+        F.when(F.col("id") % 7 > 0, F.col("id") % 4).alias("category"),
+        F.expr("case when id % 3 = 0 then 500 when id % 3 = 2 then id % 1000 end").cast("decimal(22,2)").alias("v"),
+    )
+    ranks = {"o": ["month"], "r": ["month", "category"]}
+    expected = df
+    for out, groups in ranks.items():
+        by_window = F.dense_rank().over(W.partitionBy(*groups).orderBy(F.col("v").desc_nulls_last()))
+        expected = expected.withColumn(out, by_window)
+    for parts in (2, 12):
+        assert rows(dense_rank_spread(df, "v", ranks, parts)) == rows(expected)
+
+
+def test_parts_of_a_spread_rank_are_balanced(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr("qcmart.operators.ranking.cut", lambda df: kept.append(cut(df)) or kept[0])
+    df = spark.range(12_000).select("id", F.lit(1).alias("g"), F.lit(None).cast("decimal(22,2)").alias("v"))
+    dense_rank_spread(df, "v", {"r": ["g"]}, 12)
+    sizes = [r["count"] for r in kept[0].groupBy("__part").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 2_000
+
+
+def test_both_ranks_share_one_exchange(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr("qcmart.operators.ranking.cut", lambda df: kept.append(plan(df)) or cut(df))
+    df = spark.range(100).select("id", F.lit(1).alias("g"), (F.col("id") % 3).alias("c"), F.col("id").alias("v"))
+    dense_rank_spread(df, "v", {"r": ["g", "c"], "o": ["g"]}, 4)
+    assert kept[0].count("Exchange rangepartitioning") == kept[0].count("Exchange hashpartitioning") == 1
 
 
 def test_facts_over_large_inputs(spark):
@@ -208,7 +243,7 @@ def test_rankings_of_a_large_product_dimension(spark):
     by_window = W.partitionBy("year", "month").orderBy(F.col("total_revenue").desc_nulls_last())
     expected = rows(ranked.withColumn("overall_rank", F.dense_rank().over(by_window).cast("bigint")))
     assert rows(ranked) == expected
-    assert rows(marts.mart_product_rankings(*args, **LARGE)) == expected
+    assert rows(marts.mart_product_rankings(*args, parts=9)) == expected
     assert "lineitem" not in plan(ranked)
 
 
@@ -217,8 +252,8 @@ def test_spread_rank_of_huge_and_missing_values(spark):
     df = spark.sql(f"select 1 g, cast(v as decimal(22,2)) v from values {values} t(v)")
     by_window = F.dense_rank().over(W.partitionBy("g").orderBy(F.col("v").desc_nulls_last()))
     expected = rows(df.withColumn("r", by_window))
-    for bounds in ({}, LARGE):
-        assert rows(dense_rank_spread(df, "v", {"r": ["g"]}, **bounds)) == expected
+    for parts in (None, 1, 3, 40):
+        assert rows(dense_rank_spread(df, "v", {"r": ["g"]}, parts)) == expected
 
 
 def test_lineage_is_cut_in_the_named_folder(spark):
