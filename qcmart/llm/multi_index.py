@@ -1,17 +1,21 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
 Fitting: both halves of the vectors are clustered apart, on a bounded sample (SAMPLE vectors of the
-smallest hashed ids), giving K centroids each and K * K cells. On the same sample, held against brute
-force, the share of all vectors that a query has to look at is raised until RECALL of the ten nearest
-are found; this share, not a number, is what larger tables use.
+smallest hashed ids). The number K of centroids of a half grows with the table, so that the K * K cells
+hold about CELL vectors each, up to MOST_CENTROIDS, which bounds what the driver keeps of the cells.
 
 Index: every vector goes to the cell of its two nearest centroids. Cells in order are cut into blocks
 of BLOCK vectors by hashed id, so a cell with a third of all vectors is many blocks.
 
+Calibration: TRIES of the queries (of the smallest hashed ids) are held against all rows by brute force, in
+the tasks that hold the rows. How many vectors a query looks at is the smallest number, at every size of
+table, with which the index finds RECALL of their true nearest.
+
 Search: from the two lists of centroids by distance a heap yields cells by increasing sum of the
-two squared distances, until their vectors make up the share. A query goes, with its cells, to each
+two squared distances, until they hold that many vectors. A query goes, with its cells, to each
 block that holds some; there the entries of its cells are reranked by exact distances and the nearest
-kept, and these lists meet. Queries come in chunks, so neither side of a block is unbounded.
+kept, and these lists meet. A block that more than CHUNK queries look at is copied for each chunk of
+them, any other is sent once, and one that none looks at stays.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor
 do those whose length is not the commonest, nor rows without an id. Rows that share an id count as
@@ -33,11 +37,10 @@ from pyspark.sql import functions as F
 from qcmart.llm import common
 
 SAMPLE = 16_384
-CENTROIDS = 48
+CELL = 4
+MOST_CENTROIDS = 512
 ROUNDS = 12
 RECALL = 0.95
-SHARES = (0.01, 0.02, 0.04, 0.08, 0.12, 0.16, 0.2, 0.25, 0.3, 0.4, 0.5, 0.65, 0.8, 1.0)
-LEAST = 2_000
 TRIES = 200
 BLOCK = 8_192
 CHUNK = 4_096
@@ -88,10 +91,11 @@ def nearest(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
 class Codebooks:
     """The centroids of both halves."""
 
-    def __init__(self, sample: np.ndarray) -> None:
+    def __init__(self, sample: np.ndarray, total: int) -> None:
+        most = min(MOST_CENTROIDS, math.ceil(math.sqrt(total / CELL)))
         self.cut = max(1, sample.shape[1] // 2)
         halves = sample[:, : self.cut], sample[:, self.cut :]
-        self.centers = [kmeans(h, CENTROIDS, SEED + k) for k, h in enumerate(halves)]
+        self.centers = [kmeans(h, most, SEED + k) for k, h in enumerate(halves)]
         self.width = len(self.centers[1])
 
     def cells(self, vectors: np.ndarray) -> np.ndarray:
@@ -133,27 +137,57 @@ def exact(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return np.sqrt(((vectors - query) ** 2).sum(1))
 
 
-def share_needed(books: Codebooks, sample: np.ndarray, k: int) -> float:
-    """The smallest share at which enough of the true nearest in the sample are found."""
-    cells = books.cells(sample)
-    counts = np.bincount(cells, minlength=len(books.centers[0]) * books.width)
-    tries = sample[:: max(1, len(sample) // TRIES)]
+def nearest_of(tries: np.ndarray, ids: np.ndarray, entries: DataFrame, k: int) -> DataFrame:
+    """(place, cell) for the k true nearest of each of a bounded number of vectors: every task keeps
+    the k nearest of its rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = [np.empty((len(ids), 0), t) for t in (np.float64, np.int64, np.int32)]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = batch.column("vec_id").to_numpy()
+            away = squared(tries, _unpacked(batch.column("vector")))
+            away[ids[:, None] == names] = np.inf
+            new = away, *(np.broadcast_to(x, away.shape) for x in (names, batch.column("cell").to_numpy()))
+            best = [np.concatenate(x, 1) for x in zip(best, new, strict=True)]
+            order = np.lexsort((best[1], best[0]))[:, :k]
+            best = [np.take_along_axis(x, order, 1) for x in best]
+        away, names, cells = best
+        place = np.repeat(np.arange(len(ids), dtype=np.int32), away.shape[1])
+        some = np.isfinite(away.ravel())
+        columns = {"place": place, "away": away.ravel(), "vec_id": names.ravel(), "cell": cells.ravel()}
+        yield pa.RecordBatch.from_pydict({n: pa.array(x[some]) for n, x in columns.items()})
+
+    near = entries.mapInArrow(run, "place int, away double, vec_id long, cell int")
+    by_distance = Window.partitionBy("place").orderBy("away", "vec_id")
+    near = near.withColumn("rank", F.row_number().over(by_distance)).where(F.col("rank") <= k)
+    return near.select("place", "cell")
+
+
+def needed(books: Codebooks, counts: np.ndarray, tries: np.ndarray, true: pa.Table) -> int:
+    """How many vectors have to be looked at to find RECALL of the true nearest of the tries."""
+    places, cells = true.column("place").to_numpy(), true.column("cell").to_numpy()
+    if not len(places):
+        return 0
     left, right = books.distances(tries)
-    places = np.empty(len(tries), object)
-    for t, query in enumerate(tries):
-        d = exact(query, sample)
-        true = np.argsort(d, kind="stable")[1 : k + 1]
-        order = traverse(left[t], right[t], counts, len(sample))
-        before = np.zeros(len(counts))
-        before[order] = np.concatenate([[0], np.cumsum(counts[order])[:-1]])
-        # a vector is found when the cells before its own don't yet make up the share
-        places[t] = before[cells[true]] / len(sample)
-    all_ = np.concatenate(places.tolist()) if len(places) else np.empty(0)
-    return next((s for s in SHARES if not len(all_) or (all_ < s).mean() >= RECALL), 1.0)
+    before = []
+    for t in range(len(tries)):
+        away = (left[t][:, None] + right[t]).ravel()
+        order = np.argsort(away, kind="stable")
+        held = np.empty(len(counts), np.int64)
+        held[order] = np.cumsum(counts[order]) - counts[order]
+        # a vector is found while the cells before its own don't hold enough
+        before.append(held[cells[places == t]])
+    before = np.sort(np.concatenate(before))
+    return int(before[math.ceil(RECALL * len(before)) - 1]) + 1
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), np.float64)
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows of equally long arrays without nulls."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def _packed(vectors: np.ndarray) -> list[bytes]:
@@ -161,22 +195,21 @@ def _packed(vectors: np.ndarray) -> list[bytes]:
 
 
 def _unpacked(column: pa.ChunkedArray) -> np.ndarray:
-    return np.array([np.frombuffer(x.as_py(), np.float64) for x in column])
+    return np.array([np.frombuffer(x, np.float64) for x in column.to_pylist()])
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """query_id, rank, vec_id, score for the vectors whose ids ``queries`` (query_id) lists."""
+    """query_id, rank, vec_id, score for the vectors whose ids ``queries`` (query_id) lists, and looked_at,
+    the number of vectors in the cells that the query visited."""
     spark = vectors.sparkSession
     rows = usable(vectors)
-    result = "query_id long, vec_id long, score double"
+    result = "query_id long, vec_id long, score double, looked_at long"
     total = rows.count()
     if not total:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double, looked_at long")
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").toArrow()
     sample = _matrix(sample.column("vector"))
-    books = Codebooks(sample)
-    share = share_needed(books, sample, k)
-    wanted = min(total, max(LEAST, math.ceil(share * total)))
+    books = Codebooks(sample, total)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +235,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         [(c, int(first[c]), int(n_blocks[c])) for c in np.flatnonzero(counts).tolist()], "cell int, first long, n long"
     )
     asked = queries.select(F.col("query_id").cast("long").alias("vec_id")).distinct()
-    asked = entries.join(asked, "vec_id", "left_semi")
+    asked = common.stored(entries.join(asked, "vec_id", "left_semi"))
+    some = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(TRIES).select("vec_id", "vector").toArrow()
+    tries, ids = _unpacked(some.column("vector")), some.column("vec_id").to_numpy()
+    true = nearest_of(tries, ids, entries, k).toArrow() if len(ids) else None
+    wanted = min(total, max(k + 1, needed(books, counts, tries, true) if len(ids) else 0))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,7 +247,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
                 continue
             found = _unpacked(batch.column("vector"))
             left, right = books.distances(found)
-            out = {"block": [], "query_id": [], "vector": [], "cells": []}
+            out = {"block": [], "query_id": [], "vector": [], "cells": [], "looked_at": []}
             for t, query in enumerate(batch.column("vec_id").to_pylist()):
                 cells = np.array(traverse(left[t], right[t], counts, wanted), np.int32)
                 start = np.repeat(first[cells], n_blocks[cells])
@@ -223,51 +260,52 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
                     out["query_id"].append(query)
                     out["vector"].append(found[t].tobytes())
                     out["cells"].append(np.unique(part).astype(np.int32).tobytes())
+                    out["looked_at"].append(int(counts[cells].sum()))
             yield pa.RecordBatch.from_pydict(
                 {
                     "block": pa.array(out["block"], pa.int64()),
                     "query_id": pa.array(out["query_id"], pa.int64()),
                     "vector": pa.array(out["vector"], pa.binary()),
                     "cells": pa.array(out["cells"], pa.binary()),
+                    "looked_at": pa.array(out["looked_at"], pa.int64()),
                 }
             )
 
-    routed = asked.mapInArrow(route, "block long, query_id long, vector binary, cells binary")
-    chunks = max(1, math.ceil(asked.count() / CHUNK))
-    routed = routed.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)))
-    placed = entries.join(F.broadcast(table), "cell").select(
+    routed = common.stored(
+        asked.mapInArrow(route, "block long, query_id long, vector binary, cells binary, looked_at long")
+    )
+    # by block: how often it is sent
+    sent = common.stored(routed.groupBy("block").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")))
+    routed = routed.join(sent, "block").withColumn("chunk", F.expr("pmod(xxhash64(query_id), chunks)")).drop("chunks")
+    placed = entries.join(F.broadcast(table), "cell").select(  # at most K * K rows
         (F.col("first") + F.pmod(F.xxhash64("vec_id"), "n")).alias("block"), "cell", "vec_id", "vector"
     )
-    placed = placed.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
+    placed = placed.join(sent, "block").withColumn("chunk", F.expr("explode(sequence(0L, chunks - 1))")).drop("chunks")
 
     def rerank(key, block: pa.Table, some: pa.Table) -> pa.Table:
-        empty = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
-        if not block.num_rows or not some.num_rows:
-            return empty.empty_table()
         ids, cells = block.column("vec_id").to_numpy(), block.column("cell").to_numpy()
-        order = np.argsort(cells, kind="stable")
-        ids, cells, held = ids[order], cells[order], _unpacked(block.column("vector"))[order]
-        out = [[], [], []]
-        for query, vector, wanted_cells in zip(
-            some.column("query_id").to_pylist(), some.column("vector"), some.column("cells"), strict=True
-        ):
-            visited = np.zeros(n_cells, bool)
-            visited[np.frombuffer(wanted_cells.as_py(), np.int32)] = True
-            at = np.flatnonzero(visited[cells] & (ids != query))
-            d = exact(np.frombuffer(vector.as_py(), np.float64), held[at])
+        held = _unpacked(block.column("vector"))
+        out = [[], [], [], []]
+        asked = [some.column(n).to_pylist() for n in ("query_id", "vector", "cells", "looked_at")]
+        for query, vector, visited, looked_at in zip(*asked, strict=True):
+            visited = np.frombuffer(visited, np.int32)  # sorted
+            at = np.minimum(np.searchsorted(visited, cells), len(visited) - 1)
+            at = np.flatnonzero((visited[at] == cells) & (ids != query))
+            d = exact(np.frombuffer(vector, np.float64), held[at])
             best = np.lexsort((ids[at], d))[:k]
             out[0] += [query] * len(best)
             out[1] += ids[at][best].tolist()
             out[2] += d[best].tolist()
-        return pa.table(
-            {"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())}
-        )
+            out[3] += [looked_at] * len(best)
+        types = pa.int64(), pa.int64(), pa.float64(), pa.int64()
+        names = "query_id", "vec_id", "score", "looked_at"
+        return pa.table({n: pa.array(x, t) for n, x, t in zip(names, out, types, strict=True)})
 
     near = placed.groupBy("block", "chunk").cogroup(routed.groupBy("block", "chunk"))
     near = near.applyInArrow(rerank, result)
     by_score = Window.partitionBy("query_id").orderBy("score", "vec_id")
     near = near.withColumn("rank", F.row_number().over(by_score).cast("int")).where(F.col("rank") <= k)
-    return near.select("query_id", "rank", "vec_id", "score")
+    return near.select("query_id", "rank", "vec_id", "score", "looked_at")
 
 
 def op4_multi_index(spark, sf_dir: str) -> DataFrame:
