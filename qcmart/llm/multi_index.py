@@ -44,6 +44,7 @@ RECALL = 0.95
 TRIES = 200
 BLOCK = 8_192
 CHUNK = 4_096
+QUERIES_A_TASK = 128
 SEED = 11
 
 
@@ -271,8 +272,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
                 }
             )
 
+    tasks = math.ceil(asked.count() / QUERIES_A_TASK)  # going through cells is slow for its few bytes
     routed = common.stored(
-        asked.mapInArrow(route, "block long, query_id long, vector binary, cells binary, looked_at long")
+        asked.repartition(max(1, tasks), "vec_id").mapInArrow(route, "block long, query_id long, vector binary, cells binary, looked_at long")
     )
     # by block: how often it is sent
     sent = common.stored(routed.groupBy("block").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")))
