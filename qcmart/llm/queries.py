@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and the SQL that checks them."""
 
-from qcmart.llm import chat_format, decontamination, filter_audit, near_dedup, warc
+from qcmart.llm import chat_format, decontamination, filter_audit, near_dedup, substring_dedup, warc
 from qcmart.llm.chat_format import op3_chat_format
 from qcmart.llm.decontamination import op6_decontamination
 from qcmart.llm.filter_audit import op11_filter_audit
@@ -36,6 +36,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op3_chat_format": chat_format.ORACLE,
+    "op5_substring_dedup": substring_dedup.ORACLE,
     "op6_decontamination": decontamination.ORACLE,
     "op8_warc": warc.ORACLE,
     "op10_minhash_near_dedup": near_dedup.ORACLE,

@@ -327,10 +327,32 @@ def duplicate_spans(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOC
 def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """Words of documents in factors of 20 words or more from earlier text, and the digest of the rest."""
     spans = duplicate_spans(common.read_table(spark, sf_dir, "documents"))
-    return spans.select(
-        "doc_id",
-        "n_words",
-        "n_removed",
-        "kept_sha256",
-        F.size("starts").cast("long").alias("n_factors"),
-    )
+    return spans.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+#: Every window looked up, which leaves the words that the factors leave.
+ORACLE = r"""
+with words as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+),
+windows as (
+    select doc_id, a, md5(array_to_string(w[a : a + 19], ' ')) as h
+    from (select doc_id, w, unnest(range(1, len(w) - 18)) as a from words where len(w) >= 20)
+),
+placed as (
+    select doc_id, a, row_number() over (partition by h order by doc_id, a) as place from windows
+),
+repeated as (
+    select distinct doc_id, unnest(range(a, a + 20)) as p from placed where place > 1
+),
+each as (
+    select doc_id, w[p] as word, p from (select doc_id, w, unnest(range(1, len(w) + 1)) as p from words)
+),
+kept as (
+    select doc_id, count(*) as n, string_agg(word, ' ' order by p) as text
+    from each anti join repeated using (doc_id, p)
+    group by doc_id
+)
+select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(text, '')) as kept_sha256
+from words left join kept using (doc_id)
+"""
