@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from qcmart.functions import ratio, sql_round
 from qcmart.operators.joins import lookup
+from qcmart.operators.sizing import BROADCAST_BYTES, input_bytes
 from qcmart.operators.sketches import key_sketches
 
 # Keys by which the facts refer to other tables.
@@ -34,17 +35,26 @@ def fct_orders(
     Dimension keys must be unique, or orders multiply. ``sketches`` of ORDER_REFERENCES,
     where they are kept, spare a further pass over the orders.
     """
-    if sketches is None:
+    kept = sketches is not None
+    if not kept:
         sketches = key_sketches(orders, ORDER_REFERENCES)
     days = calendar.select("date_key", F.col("date_day").alias("order_date"))
     keyed = lookup(
-        orders, customers.select("customer_id", "customer_key"), ["customer_id"], sketches, **bounds
+        orders,
+        customers.select("customer_id", "customer_key"),
+        ["customer_id"],
+        sketches,
+        kept=kept,
+        spread_by=["order_id"],
+        **bounds,
     )
     keyed = lookup(
         keyed,
         stores.select("store_id", "store_key"),
         ["store_id"],
         sketches,
+        kept=kept,
+        spread_by=["order_id"],
         **bounds,
     )
     keyed = keyed.join(F.broadcast(days), "order_date", "left")
@@ -83,20 +93,26 @@ def fct_order_items(
 
     ``orders`` is the order fact; lines of unknown orders and products keep NULL.
     ``sketches`` of LINE_REFERENCES, where they are kept, spare a further pass over the lines.
+    Products too large for a broadcast come first, so that their shuffle does not carry the columns of the
+    order; then the lines of an order lie together unless it is a hot one.
     """
-    if sketches is None:
+    kept = sketches is not None
+    if not kept:
         sketches = key_sketches(items, LINE_REFERENCES)
     header = orders.select(
         "order_id", "date_key", "customer_key", "store_key", "city", "status"
     )
-    keyed = lookup(items, header, ["order_id"], sketches, **bounds)
-    keyed = lookup(
-        keyed,
-        products.select("product_id", "product_key"),
-        ["product_id"],
-        sketches,
-        **bounds,
-    )
+    # staging takes only lines with an order
+    steps = [
+        (header, ["order_id"], {"all_keyed": True}),
+        (products.select("product_id", "product_key"), ["product_id"], {}),
+    ]
+    if input_bytes(products) > bounds.get("broadcast_bytes", BROADCAST_BYTES):
+        steps.reverse()
+    keyed = items
+    for table, keys, more in steps:
+        more = more | bounds | {"kept": kept, "spread_by": ["order_item_id"]}
+        keyed = lookup(keyed, table, keys, sketches, **more)
     price = sql_round(ratio(F.col("line_total"), F.col("qty")), 2)
     return keyed.select(
         "order_item_id",

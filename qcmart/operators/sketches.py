@@ -98,3 +98,8 @@ def hot_slots(sketches: DataFrame, key: Sequence[str], min_rows: int = HOT_ROWS)
     )
     many = (F.col("top.count") * HOT_FRACTION > F.col("key_rows")) & (F.col("top.count") >= min_rows)
     return found.where(many).select(F.col("top.item").alias("slot"))
+
+
+def hot_among(sketches: DataFrame, key: Sequence[str], min_rows: int = HOT_ROWS) -> list[int]:
+    """The slots of ``hot_slots``, found now: at most HOT_FRACTION numbers."""
+    return sorted(r["slot"] for r in hot_slots(sketches, key, min_rows).collect())
