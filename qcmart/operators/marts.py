@@ -7,6 +7,8 @@ A grouped row stands for one key and one day or month, so no key is hot any more
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,16 +46,16 @@ COUNTERS = (
 )
 
 
-def order_counters(orders: DataFrame) -> DataFrame:
+def order_counters(orders: DataFrame, grain: Sequence[str] = GRAIN) -> DataFrame:
     """Sums of orders per day, city and store, which add up to those of any coarser grain.
 
-    One row for each GRAIN, however many orders. ``hours`` holds the orders of each hour of the
+    One row for each ``grain``, however many orders. ``hours`` holds the orders of each hour of the
     day: twenty-four counters keep the aggregate fixed in size and inside code generation.
     """
     delivered = _with_status("delivered")
     minutes = F.when(delivered, F.col("delivery_minutes"))
     revenue = F.when(delivered, F.col("total_amount")).otherwise(0)
-    return orders.groupBy(*GRAIN).agg(
+    return orders.groupBy(*grain).agg(
         F.count("order_id").alias("total_orders"),
         F.count_if(delivered).alias("delivered_orders"),
         F.count_if(_with_status("cancelled")).alias("cancelled_orders"),
@@ -68,9 +70,9 @@ def order_counters(orders: DataFrame) -> DataFrame:
     )
 
 
-def order_buyers(orders: DataFrame) -> DataFrame:
+def order_buyers(orders: DataFrame, grain: Sequence[str] = GRAIN) -> DataFrame:
     """The distinct customers of each day, city and store, of which any coarser grain's are a subset's union."""
-    return orders.select(*GRAIN, "customer_key").distinct()
+    return orders.select(*grain, "customer_key").distinct()
 
 
 def order_measures(counters: DataFrame, buyers: DataFrame, keys: list[str]) -> DataFrame:
@@ -128,7 +130,8 @@ def daily_sales(counters: DataFrame, buyers: DataFrame, calendar: DataFrame) ->
 
 def mart_daily_sales(orders: DataFrame, calendar: DataFrame) -> DataFrame:
     """Sales per day and order city. Orders outside the calendar are left out."""
-    return daily_sales(order_counters(orders), order_buyers(orders), calendar)
+    grain = ("date_key", "city")
+    return daily_sales(order_counters(orders, grain), order_buyers(orders, grain), calendar)
 
 
 def store_performance(

@@ -64,7 +64,7 @@ class Models:
     calendar_start: dt.date = dimensions.CALENDAR_START
     calendar_end: dt.date = dimensions.CALENDAR_END
     holidays: Sequence[str] = dimensions.HOLIDAYS
-    sketches: Mapping[str, DataFrame] = field(default_factory=dict)
+    sketches: Mapping[str, DataFrame] | Callable[[str], DataFrame] = field(default_factory=dict)
 
     def use(self, name: str, df: DataFrame) -> None:
         """Take ``df`` as the model ``name`` from now on, typically its written table."""
@@ -76,6 +76,9 @@ class Models:
     def _raw(self, name: str) -> DataFrame:
         return self.raw(name) if callable(self.raw) else self.raw[name]
 
+    def _sketches(self, name: str) -> DataFrame | None:
+        return self.sketches(name) if callable(self.sketches) else self.sketches.get(name)
+
     @cached_property
     def stg_orders(self) -> DataFrame:
         return staging.stg_orders(self._raw("raw_orders"))
@@ -121,7 +124,7 @@ class Models:
             self.dim_customers,
             self.dim_stores,
             self.dim_date,
-            self.sketches.get("raw_orders"),
+            self._sketches("raw_orders"),
         )
 
     @cached_property
@@ -130,7 +133,7 @@ class Models:
             self.stg_order_items,
             self.fct_orders,
             self.dim_products,
-            self.sketches.get("raw_order_items"),
+            self._sketches("raw_order_items"),
         )
 
     @cached_property
@@ -143,6 +146,8 @@ class Models:
 
     @cached_property
     def mart_daily_sales(self) -> DataFrame:
+        if "order_counters" not in self.__dict__:
+            return marts.mart_daily_sales(self.fct_orders, self.dim_date)
         return marts.daily_sales(self.order_counters, self.order_buyers, self.dim_date)
 
     @cached_property
