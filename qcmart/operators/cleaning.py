@@ -8,6 +8,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qcmart.functions import (
     as_day,
@@ -27,11 +28,12 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     """One row per key, the first in ``order``; NULL keys count as one key.
 
     Catalyst limits each key to one row inside every map task before the shuffle,
-    so a key that holds a third of all rows sends one row per task. The key's hash
-    leads the sort because ids share long prefixes and a number decides at once.
+    so a key that holds a third of all rows sends one row per task. The hash of a key with
+    text leads the sort because ids share long prefixes and a number decides at once.
     """
     sorting = [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
-    first = W.partitionBy(F.xxhash64(*keys), *keys).orderBy(*sorting)
+    text = any(isinstance(df.schema[k].dataType, T.StringType) for k in keys)
+    first = W.partitionBy(*([F.xxhash64(*keys)] if text else []), *keys).orderBy(*sorting)
     return df.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
 
 

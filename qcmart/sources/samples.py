@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qcmart.operators.cleaning import keep_first
+from qcmart.operators.facts import LINE_REFERENCES, ORDER_REFERENCES
 from qcmart.operators.joins import lookup
-from qcmart.operators.sketches import key_sketches
+from qcmart.operators.sizing import ONE_TASK_BYTES, input_bytes
+from qcmart.operators.sketches import hot_among, key_sketches
 from qcmart.sources.schemas import RAW_ORDER_ITEMS, RAW_ORDERS
 
 # Rows of one order line are told apart by these columns.
@@ -142,18 +144,43 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keyed_orders(spark, sf_dir).select(*RAW_ORDERS.names)
 
 
-def _order_lines(spark: SparkSession, sf_dir: str, lineitem: DataFrame) -> DataFrame:
-    """Order lines with the numbers behind their id as ``key`` and LINE_ORDER."""
+def _hot_orders(spark: SparkSession, sf_dir: str) -> list[int]:
+    """The orders with so many lines that their rows must not meet in one task."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    if input_bytes(lineitem) <= ONE_TASK_BYTES:
+        return []
+    return hot_among(key_sketches(lineitem, [["l_orderkey"]]), ["l_orderkey"])
+
+
+def sketches(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Sketches of the keys by which raw orders or order lines refer to others, from one scan of the table
+    behind them. The rows that the raw tables leave out are sketched too."""
+    if name == "raw_orders":
+        n_stores = table(spark, sf_dir, "supplier").count()
+        orders = table(spark, sf_dir, "orders").withColumn("__store", F.col("o_orderkey") % n_stores)
+        ids = [text_id("C", "o_custkey").alias("customer_id"), text_id("DS", "__store", 6).alias("store_id")]
+        return key_sketches(orders.select(*ids), ORDER_REFERENCES)
+    ids = [text_id("ORD", "l_orderkey").alias("order_id"), text_id("P", "l_partkey").alias("product_id")]
+    return key_sketches(table(spark, sf_dir, "lineitem").select(*ids), LINE_REFERENCES)
+
+
+def _order_lines(
+    spark: SparkSession, sf_dir: str, lineitem: DataFrame, hot: list[int] | None = None
+) -> DataFrame:
+    """Order lines with the numbers behind their id as ``key`` and LINE_ORDER. ``hot``: _hot_orders()."""
     days = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         _moved("o_orderdate").cast("date").alias("date"),
         F.lit(True).alias("__known"),
     )
+    # lines without an order are left out below
     lines = lookup(
-        lineitem,
+        lineitem.where("l_orderkey is not null"),
         days,
         ["l_orderkey"],
-        key_sketches(table(spark, sf_dir, "lineitem"), [["l_orderkey"]]),
+        hot=_hot_orders(spark, sf_dir) if hot is None else hot,
+        spread_by=["l_linenumber", "l_partkey"],
+        all_keyed=True,
     ).where("__known")
     line = F.col("l_linenumber").cast("string")
     price = F.round(F.col("l_extendedprice") / F.col("l_quantity") * 100) / 100
@@ -176,10 +203,18 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with the first copy of each."""
-    lineitem = table(spark, sf_dir, "lineitem")
-    first = keep_first(lineitem, ["l_orderkey", "l_linenumber"], LINE_ORDER)
-    return _order_lines(spark, sf_dir, first).drop("key", *LINE_ORDER)
+    """Order lines with the first copy of each.
+
+    Unless an order is hot, lines are shuffled once, by order, to find first copies and the order's day.
+    """
+    lineitem = table(spark, sf_dir, "lineitem").where("l_orderkey is not null")
+    hot = _hot_orders(spark, sf_dir)
+    if not hot:
+        lineitem = lineitem.repartition("l_orderkey")
+    # copies that are equal up to the price give the same order line, whatever discount and tax
+    decisive = LINE_ORDER[: LINE_ORDER.index("l_extendedprice") + 1]
+    first = keep_first(lineitem, ["l_orderkey", "l_linenumber"], decisive)
+    return _order_lines(spark, sf_dir, first, hot).drop("key", *LINE_ORDER)
 
 
 def _planted(key: str, every: int, value: Column, otherwise: Column) -> Column:
