@@ -87,6 +87,7 @@ def fct_order_items(
     orders: DataFrame,
     products: DataFrame,
     sketches: DataFrame | None = None,
+    by_order: bool = False,
     **bounds: int,
 ) -> DataFrame:
     """Order lines with the keys, city and status of their order.
@@ -94,7 +95,8 @@ def fct_order_items(
     ``orders`` is the order fact; lines of unknown orders and products keep NULL.
     ``sketches`` of LINE_REFERENCES, where they are kept, spare a further pass over the lines.
     Products too large for a broadcast come first, so that their shuffle does not carry the columns of the
-    order; then the lines of an order lie together unless it is a hot one.
+    order; then the lines of an order lie together unless it is a hot one. Lines that lie ``by_order`` already meet their
+    order first, without a shuffle.
     """
     kept = sketches is not None
     if not kept:
@@ -107,7 +109,7 @@ def fct_order_items(
         (header, ["order_id"], {"all_keyed": True}),
         (products.select("product_id", "product_key"), ["product_id"], {}),
     ]
-    if input_bytes(products) > bounds.get("broadcast_bytes", BROADCAST_BYTES):
+    if not by_order and input_bytes(products) > bounds.get("broadcast_bytes", BROADCAST_BYTES):
         steps.reverse()
     keyed = items
     for table, keys, more in steps:

@@ -54,7 +54,8 @@ class Models:
     """The models over a set of raw tables, each built when first asked for.
 
     ``raw`` maps ``raw_orders`` and its siblings to DataFrames; ``sketches``, where they
-    are kept, ``raw_orders`` and ``raw_order_items`` to sketches of their keys.
+    are kept, ``raw_orders`` and ``raw_order_items`` to sketches of their keys. ``by_order``: raw order lines
+    lie by order.
     """
 
     spark: SparkSession
@@ -65,6 +66,7 @@ class Models:
     calendar_end: dt.date = dimensions.CALENDAR_END
     holidays: Sequence[str] = dimensions.HOLIDAYS
     sketches: Mapping[str, DataFrame] | Callable[[str], DataFrame] = field(default_factory=dict)
+    by_order: bool = False
 
     def use(self, name: str, df: DataFrame) -> None:
         """Take ``df`` as the model ``name`` from now on, typically its written table."""
@@ -134,6 +136,7 @@ class Models:
             self.fct_orders,
             self.dim_products,
             self._sketches("raw_order_items"),
+            by_order=self.by_order,
         )
 
     @cached_property

@@ -167,9 +167,12 @@ def sketches(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _order_lines(
     spark: SparkSession, sf_dir: str, lineitem: DataFrame, hot: list[int] | None = None
 ) -> DataFrame:
-    """Order lines with the numbers behind their id as ``key`` and LINE_ORDER. ``hot``: _hot_orders()."""
+    """Order lines with the numbers behind their id as ``key`` and LINE_ORDER. ``hot``: _hot_orders(). Lines
+    that have their ``order_id`` already are joined by it, and so stay where it put them."""
+    by = "order_id" if "order_id" in lineitem.columns else "l_orderkey"
     days = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"),
+        *([text_id("ORD", "o_orderkey").alias(by)] if by == "order_id" else []),
+        F.col("o_orderkey").alias("__order" if by == "order_id" else by),
         _moved("o_orderdate").cast("date").alias("date"),
         F.lit(True).alias("__known"),
     )
@@ -177,16 +180,21 @@ def _order_lines(
     lines = lookup(
         lineitem.where("l_orderkey is not null"),
         days,
-        ["l_orderkey"],
+        [by],
         hot=_hot_orders(spark, sf_dir) if hot is None else hot,
         spread_by=["l_linenumber", "l_partkey"],
         all_keyed=True,
     ).where("__known")
+    if by == "order_id":
+        # ids of odd numbers may clash; an equality would join, and shuffle, by the numbers too
+        lines = lines.where("l_orderkey >= __order and l_orderkey <= __order")
+    else:
+        lines = lines.withColumn("order_id", text_id("ORD", "l_orderkey"))
     line = F.col("l_linenumber").cast("string")
     price = F.round(F.col("l_extendedprice") / F.col("l_quantity") * 100) / 100
     return lines.select(
         F.concat(text_id("OI", "l_orderkey"), F.lit("-"), line).alias("order_item_id"),
-        text_id("ORD", "l_orderkey").alias("order_id"),
+        "order_id",
         text_id("P", "l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("qty"),
         price.alias("unit_price"),
@@ -205,15 +213,18 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with the first copy of each.
 
-    Unless an order is hot, lines are shuffled once, by order, to find first copies and the order's day.
+    Unless an order is hot, lines are shuffled once, by ``order_id``, to find first copies and the order's day, and
+    whatever joins them by it later.
     """
     lineitem = table(spark, sf_dir, "lineitem").where("l_orderkey is not null")
     hot = _hot_orders(spark, sf_dir)
+    keys = ["l_orderkey", "l_linenumber"]
     if not hot:
-        lineitem = lineitem.repartition("l_orderkey")
+        lineitem = lineitem.withColumn("order_id", text_id("ORD", "l_orderkey")).repartition("order_id")
+        keys.insert(0, "order_id")
     # copies that are equal up to the price give the same order line, whatever discount and tax
     decisive = LINE_ORDER[: LINE_ORDER.index("l_extendedprice") + 1]
-    first = keep_first(lineitem, ["l_orderkey", "l_linenumber"], decisive)
+    first = keep_first(lineitem, keys, decisive)
     return _order_lines(spark, sf_dir, first, hot).drop("key", *LINE_ORDER)
 
 

@@ -7,7 +7,7 @@ from functools import partial
 import pytest
 from pyspark.sql import functions as F
 
-from qcmart.operators import facts
+from qcmart.operators import facts, staging
 from qcmart.operators.joins import lookup
 from qcmart.operators.sketches import key_sketches
 from qcmart.sources import samples
@@ -119,3 +119,38 @@ def test_sample_sketches_count_all_keys(spark, tables):
     )
     found = {r.key: r.key_rows for n in ("raw_orders", "raw_order_items") for r in samples.sketches(spark, tables, n).collect()}
     assert found == {"customer_id": 300, "store_id": 300, "order_id": 1960, "product_id": 2000}
+
+
+def test_lines_meet_their_order_where_they_lie(spark, tables, monkeypatch):
+    """mart_product_rankings: lines that were shuffled for first copies are not shuffled for their order again."""
+    _, orders, products = _facts(spark)
+    orders = orders.withColumn("order_id", F.concat(F.lit("ORD"), F.lpad(F.substring("order_id", 2, 9), 8, "0")))
+    products = products.withColumn("product_id", F.concat(F.lit("P"), F.lpad(F.substring("product_id", 2, 9), 8, "0")))
+    items = staging.stg_order_items(samples.raw_order_items(spark, tables))
+    expected = rows(facts.fct_order_items(items, orders, products))
+    assert sum(r["status"] is not None for r in facts.fct_order_items(items, orders, products).collect()) > 100
+    monkeypatch.setattr(samples, "lookup", partial(lookup, **LARGE))
+    monkeypatch.setattr(samples, "ONE_TASK_BYTES", 0)
+    with settings(spark, **SHUFFLED):
+        items = staging.stg_order_items(samples.raw_order_items(spark, tables))
+        sketches = samples.sketches(spark, tables, "raw_order_items")
+        lines = facts.fct_order_items(items, orders, products, sketches, by_order=True, **LARGE)
+        # lines, days and orders by order; lines and products by product
+        assert plan(lines).count("Exchange hash") == 5
+        assert rows(lines) == expected
+
+
+def test_days_of_clashing_ids(spark, tmp_path):
+    """Lines are shuffled by order id; orders of the same id, as of odd numbers, still keep to their own lines."""
+    keys = "case id when 0 then -100000000 when 1 then -99999999 else id end"
+    spark.range(40).selectExpr(
+        f"{keys} o_orderkey", "1L o_custkey", "'F' o_orderstatus", "1d o_totalprice",
+        "timestamp_ntz '1996-03-01' + make_dt_interval(cast(id as int)) o_orderdate", "'x' o_orderpriority",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(40).selectExpr(
+        f"{keys} l_orderkey", "id l_partkey", "1L l_suppkey", "1 l_linenumber", "2d l_quantity", "3d l_extendedprice",
+        "0d l_discount", "0d l_tax", "'N' l_returnflag", "'O' l_linestatus", "timestamp_ntz '1996-04-01' l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    every = samples.raw_order_lines(spark, str(tmp_path)).drop(*samples.LINE_ORDER)
+    assert rows(samples.raw_order_items(spark, str(tmp_path))) == rows(every)
+    assert every.count() == 40 and every.select("order_id").distinct().count() == 39
